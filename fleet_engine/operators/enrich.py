@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleet_engine.functions.text import sentences, tokens
-from fleet_engine.operators.skew import salted_join, topk
+from fleet_engine.operators.skew import frequent_join, topk
 
 # Words of the default lexicon.
 POSITIVE_WORDS = ["good", "great", "excellent", "happy", "normal", "resolved", "fixed", "smooth", "quiet", "stable",
@@ -33,7 +33,7 @@ FAULT_RULES = {
 }
 
 
-def document_frequency(df: DataFrame, id: str, text: str) -> DataFrame:
+def document_frequency(df: DataFrame, text: str) -> DataFrame:
     """Documents per term. Each document contributes a term once, so counts combine before the shuffle."""
     return (df.select(F.explode(F.array_distinct(tokens(text))).alias("term"))
             .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
@@ -49,11 +49,11 @@ def summarize(df: DataFrame, id: str, text: str, k: int = 1) -> DataFrame:
     Only (document, sentence, word) rows meet the term table; the texts themselves are read again by position.
     """
     docs = df.select(id, F.col(text).alias("_text")).filter(F.col("_text").isNotNull())
-    frequency = document_frequency(docs, id, "_text")
-    terms = with_idf(frequency, docs.agg(F.count(F.lit(1))).scalar())
+    n_docs = docs.agg(F.count(F.lit(1))).scalar()
+    terms = with_idf(document_frequency(docs, "_text"), n_docs)
     words = (docs.select(id, F.posexplode(sentences("_text")).alias("_pos", "_sentence"))
              .select(id, "_pos", F.explode(tokens("_sentence")).alias("term")))
-    scored = (salted_join(words, terms.select("term", "idf"), "term", [id, "_pos"], counts=frequency, weight="df")
+    scored = (frequent_join(words, terms, "term", "df")
               .groupBy(id, "_pos").agg(F.round(F.avg("idf"), 6).alias("_score")))
     best = topk(scored, [id], [F.col("_score").desc(), F.col("_pos")], k, "_rank")
     picks = best.groupBy(id).agg(F.array_sort(F.collect_list("_pos")).alias("_picks"), F.max("_score").alias("score"))
@@ -80,12 +80,12 @@ def sentiment(df: DataFrame, id: str, text: str, lexicon: DataFrame | None = Non
         words = df.select(id, tokens(text).alias("_w"))
         score = _polarity(_count_in(F.col("_w"), POSITIVE_WORDS), _count_in(F.col("_w"), NEGATIVE_WORDS))
         return words.select(id, F.round(F.coalesce(score, F.lit(0.0)), 6).alias("sentiment"))
-    words = df.select(id, F.explode_outer(tokens(text)).alias("term")).groupBy(id, "term").agg(F.count(F.lit(1)).alias("tf"))
-    hits = salted_join(words, lexicon.select("term", "weight"), "term", id, counts=lexicon, weight="docs", how="left")
-    weight = F.col("tf") * F.col("weight")
-    sums = hits.groupBy(id).agg(
-        F.coalesce(F.sum(F.when(weight > 0, weight)), F.lit(0.0)).alias("pos"),
-        F.coalesce(F.sum(F.when(weight < 0, -weight)), F.lit(0.0)).alias("neg"))
+    words = df.select(id, F.explode(tokens(text)).alias("term"))
+    hits = frequent_join(words, lexicon, "term", "docs").select(id, "weight")
+    every = df.select(id, F.lit(0.0).alias("weight"))          # texts without a listed word count as 0
+    weight = F.col("weight")
+    sums = hits.unionByName(every).groupBy(id).agg(F.sum(F.greatest(weight, F.lit(0.0))).alias("pos"),
+                                                   F.sum(F.greatest(-weight, F.lit(0.0))).alias("neg"))
     return sums.select(id, F.round(_polarity(F.col("pos"), F.col("neg")), 6).alias("sentiment"))
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from fleet_engine.functions.text import tokens
 from fleet_engine.operators.blocks import BLOCK_ROWS, BROADCAST_BYTES, SubstringKernel, block_search
-from fleet_engine.operators.skew import salted_join, topk
+from fleet_engine.operators.skew import frequent_join, hot_keys, salted_join, topk
+from fleet_engine.workspace import stage
 
 K1, B = 1.2, 0.75
 SLACK = 1e-5          # scores are compared after rounding to 6 decimals
@@ -49,7 +50,7 @@ def score_postings(counts: DataFrame, lengths: DataFrame, attributes: tuple[str,
     """Postings (term, doc_id, impact, df, attributes): the finished BM25 share of a term in a document."""
     stats = lengths.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("doc_len").alias("avg_len"))).scalar()
     frequency = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    joined = salted_join(counts, frequency, "term", "doc_id", counts=frequency, weight="df").withColumn("_s", stats)
+    joined = frequent_join(counts, frequency, "term", "df").withColumn("_s", stats)
     idf = F.log(1 + (F.col("_s.n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     share = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("doc_len") / F.col("_s.avg_len")))
     return joined.select("term", "doc_id", (idf * share).alias("impact"), "df", *attributes)
@@ -71,10 +72,9 @@ def index_terms(postings: DataFrame) -> DataFrame:
     return postings.groupBy("term").agg(F.first("df").alias("df"), F.max("impact").alias("peak"))
 
 
-def _partial(postings: DataFrame, asked: DataFrame, terms: DataFrame) -> DataFrame:
+def _partial(postings: DataFrame, asked: DataFrame, hot: list) -> DataFrame:
     """Summed impacts per query and document over the query terms in ``asked``."""
-    hits = salted_join(postings.select("term", "doc_id", "impact"), asked.select("term", "query_id"), "term", "doc_id",
-                       counts=terms, weight="df")
+    hits = salted_join(postings.select("term", "doc_id", "impact"), asked.select("term", "query_id"), "term", "doc_id", hot=hot)
     return hits.groupBy("query_id", "doc_id").agg(F.sum("impact").alias("score"))
 
 
@@ -85,34 +85,38 @@ def _kth(scores: DataFrame, k: int) -> DataFrame:
 
 
 def bm25_topk(postings: DataFrame, queries: DataFrame, k: int, query_id: str = "query_id", text: str = "text",
-              seeds: int = 2, terms: DataFrame | None = None) -> DataFrame:
+              seeds: int = 2) -> DataFrame:
     """Best ``k`` documents per query by BM25 (6 decimals, ties by id): exact, without scoring what frequent words match.
 
     1. The ``seeds`` query terms of highest peak give partial scores; the k-th of them is a floor for the final k-th.
     2. The query's weakest terms whose peaks together stay below the floor cannot lift a document into the result on
        their own. Only the other terms produce candidates, so lists of frequent words are not expanded.
     3. Candidates that cannot reach the floor even with all weak terms are dropped; the rest are looked up exactly.
+
+    ``postings`` is read several times and should be a written index.
     """
-    terms = terms if terms is not None else index_terms(postings)
     words = queries.select(F.col(query_id).alias("query_id"), F.explode(F.array_distinct(tokens(text))).alias("term"))
-    asked = salted_join(words, terms, "term", "query_id", counts=terms, weight="df")
+    relevant = postings.select("term", "doc_id", "impact", "df").join(words.select("term").distinct(), "term", "left_semi")
+    terms = stage(index_terms(relevant), "terms")
+    hot = hot_keys(terms, "term", "df")
+    asked = words.join(terms, "term")
     by_peak = Window.partitionBy("query_id").orderBy(F.col("peak").desc(), "term")
     ranked = asked.withColumn("_n", F.row_number().over(by_peak))
-    floor = _kth(_partial(postings, ranked.filter(F.col("_n") <= seeds), terms), k)
+    floor = _kth(_partial(relevant, ranked.filter(F.col("_n") <= seeds), hot), k)
     weak_first = Window.partitionBy("query_id").orderBy("peak", F.col("term").desc())
-    placed = (ranked.join(floor, "query_id", "left")
-              .withColumn("_below", F.sum("peak").over(weak_first.rowsBetween(Window.unboundedPreceding, 0)))
-              .withColumn("_weak", F.coalesce(F.col("_below") < F.col("_kth") - SLACK, F.lit(False)))
-              .select("query_id", "term", "peak", "_kth", "_weak"))
-    strong = _partial(postings, placed.filter(~F.col("_weak")), terms)
+    # as small as the queries, and read by every later step
+    placed = stage(ranked.join(floor, "query_id", "left")
+                   .withColumn("_below", F.sum("peak").over(weak_first.rowsBetween(Window.unboundedPreceding, 0)))
+                   .withColumn("_weak", F.coalesce(F.col("_below") < F.col("_kth") - SLACK, F.lit(False)))
+                   .select("query_id", "term", "peak", "_kth", "_weak"), "query-terms")
+    strong = _partial(relevant, placed.filter(~F.col("_weak")), hot)
     rest = placed.groupBy("query_id").agg(
         F.coalesce(F.sum(F.when(F.col("_weak"), F.col("peak"))), F.lit(0.0)).alias("_rest"), F.first("_kth").alias("_kth"),
         F.collect_list(F.when(F.col("_weak"), F.col("term"))).alias("_weak_terms"))
     open_ = (strong.join(rest, "query_id")
              .filter(F.col("_kth").isNull() | (F.col("score") + F.col("_rest") >= F.col("_kth") - SLACK)))
     lookups = open_.select("query_id", "doc_id", F.explode("_weak_terms").alias("term"))
-    weak = (lookups.join(postings.select("term", "doc_id", "impact"), ["doc_id", "term"])
-            .groupBy("query_id", "doc_id").agg(F.sum("impact").alias("_more")))
-    total = (open_.join(weak, ["query_id", "doc_id"], "left")
-             .select("query_id", "doc_id", F.round(F.col("score") + F.coalesce("_more", F.lit(0.0)), 6).alias("score")))
+    weak = lookups.join(relevant, ["doc_id", "term"]).select("query_id", "doc_id", F.col("impact").alias("score"))
+    total = (open_.select("query_id", "doc_id", "score").unionByName(weak)
+             .groupBy("query_id", "doc_id").agg(F.round(F.sum("score"), 6).alias("score")))
     return topk(total, ["query_id"], [F.col("score").desc(), F.col("doc_id")], k)

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleet_engine.workspace import stage
+
 HOT_ROWS = 200_000     # a key with fewer rows than this never needs splitting
 HOT_KEYS = 1_000       # the most frequent keys; any other key holds under 1/1000 of the rows
 SALTS = 64
+FREQUENT_SHARE = 1e-5  # at most 100,000 keys can each hold this share
 
 
 def key_counts(df: DataFrame, key: str, name: str = "n_rows") -> DataFrame:
@@ -15,29 +18,31 @@ def key_counts(df: DataFrame, key: str, name: str = "n_rows") -> DataFrame:
     return df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
 
-def hot_keys(counts: DataFrame, key: str, weight: str = "n_rows", min_rows: int = HOT_ROWS) -> DataFrame:
-    """The at most ``HOT_KEYS`` heaviest keys: a size that does not grow with the data."""
-    return (counts.filter(F.col(weight) >= min_rows)
-            .orderBy(F.col(weight).desc(), F.col(key)).limit(HOT_KEYS)
-            .select(key, F.lit(True).alias("_hot")))
+def hot_keys(counts: DataFrame, key: str, weight: str = "n_rows", min_rows: int = HOT_ROWS) -> list:
+    """The at most ``HOT_KEYS`` heaviest keys, as values: their number does not grow with the data."""
+    rows = counts.filter(F.col(weight) >= min_rows).orderBy(F.col(weight).desc(), F.col(key)).limit(HOT_KEYS)
+    return [r[0] for r in rows.select(key).collect()]
 
 
 def salted_join(facts: DataFrame, dim: DataFrame, key: str, spread: str | list[str], counts: DataFrame | None = None,
-                weight: str = "n_rows", how: str = "inner", min_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
+                weight: str = "n_rows", how: str = "inner", min_rows: int = HOT_ROWS, salts: int = SALTS,
+                hot: list | None = None) -> DataFrame:
     """Join many ``facts`` rows to the ``dim`` rows of their key, splitting the hot keys over ``salts`` tasks.
 
-    ``how`` is ``inner`` or ``left`` (facts kept). Rows of a hot or NULL key are spread by a hash of ``spread``; only the
-    dim rows of hot keys are repeated. ``counts`` names the rows per key where the caller already has them.
+    ``how`` is ``inner`` or ``left`` (facts kept). The keys are counted first. Rows of a hot or NULL key are then spread by a
+    hash of ``spread`` and only the dim rows of hot keys are repeated; without hot keys the join is an ordinary one.
+    ``counts`` names the rows per key, or ``hot`` the keys to split, where the caller already has them.
     """
+    if hot is None:
+        hot = hot_keys(counts if counts is not None else key_counts(facts, key), key, weight, min_rows)
+    if not hot and how == "inner":
+        return facts.join(dim, key)
     spread = [spread] if isinstance(spread, str) else spread
-    hot = F.broadcast(hot_keys(counts if counts is not None else key_counts(facts, key), key, weight, min_rows))
-    slots = F.array([F.lit(i) for i in range(salts)])
-    left = (facts.join(hot, key, "left")
-            .withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), F.pmod(F.xxhash64(*spread), F.lit(salts))).otherwise(0).cast("int"))
-            .drop("_hot"))
-    right = (dim.join(hot, key, "left")
-             .withColumn("_salt", F.explode(F.when(F.col("_hot"), slots).otherwise(F.array(F.lit(0)))))
-             .drop("_hot"))
+    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
+    slots = F.array([F.lit(i) for i in range(salts)]) if hot else F.array(F.lit(0))
+    split = F.col(key).isin(hot) if hot else F.lit(False)
+    left = facts.withColumn("_salt", F.when(F.col(key).isNull() | split, salt).otherwise(F.lit(0)))
+    right = dim.withColumn("_salt", F.explode(F.when(split, slots).otherwise(F.array(F.lit(0)))))
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
 
@@ -49,16 +54,32 @@ def dim_join(facts: DataFrame, dim: DataFrame, key: str, spread: str | list[str]
     return salted_join(facts, dim, key, spread, how=how)
 
 
+def frequent_join(facts: DataFrame, dim: DataFrame, key: str, weight: str, share: float = FREQUENT_SHARE) -> DataFrame:
+    """Inner join of very many ``facts`` rows (words of texts) to one ``dim`` row per key, mostly without a shuffle.
+
+    ``weight`` counts the rows or texts that hold a key. The keys with at least ``share`` of the total weight cover nearly
+    all facts and are broadcast: at most 1 / ``share`` keys, however large the data. Only facts of rarer keys are shuffled,
+    and none of those keys is hot.
+    """
+    edge = dim.agg(F.sum(weight) * share).scalar()
+    frequent = F.broadcast(dim.filter(F.col(weight) >= edge))
+    rare = dim.filter(F.col(weight) < edge)
+    direct = facts.join(frequent, key)
+    shuffled = facts.join(F.broadcast(frequent.select(key)), key, "left_anti").join(rare, key)
+    return direct.unionByName(shuffled)
+
+
 def with_page(df: DataFrame, key: str, row_id: str, page_rows: int, page: str = "page") -> DataFrame:
     """Number pages of about ``page_rows`` rows per key, so that a per-key array has a bounded length.
 
-    Small keys have the single page 0. The page of a row depends on its id only, not on partitioning.
+    Small keys have the single page 0. The page of a row depends on its id only, not on partitioning. The keys with several
+    pages are found first and written out: where they are few, the rows meet them without a shuffle.
     """
     keyed = df.withColumn("_key", F.coalesce(F.col(key).cast("string"), F.lit("\u0000")))   # NULL is a key of its own
-    counts = key_counts(keyed, "_key")
-    pages = counts.select("_key", F.ceil(F.col("n_rows") / page_rows).cast("int").alias("_pages"))
-    return (salted_join(keyed, pages, "_key", row_id, counts=counts)
-            .withColumn(page, F.pmod(F.xxhash64(row_id), F.col("_pages")).cast("int"))
+    large = stage(key_counts(keyed, "_key").filter(F.col("n_rows") > page_rows)
+                  .select("_key", F.ceil(F.col("n_rows") / page_rows).cast("int").alias("_pages")), "pages")
+    return (dim_join(keyed, large, "_key", row_id, "left")
+            .withColumn(page, F.coalesce(F.pmod(F.xxhash64(row_id), F.col("_pages")), F.lit(0)).cast("int"))
             .drop("_key", "_pages"))
 
 

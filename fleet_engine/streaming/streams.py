@@ -45,9 +45,12 @@ def run_queue(stream: DataFrame, files: DataFrame, out: str, checkpoint: str, no
     return _start(stream, checkpoint, interval, each)
 
 
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
+
 def watch_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """A stream of files that appear below ``path``; contents are not read."""
-    return (spark.readStream.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
+    return (spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
             .select("path", F.element_at(F.split("path", "/"), -1).alias("filename"),
                     F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified_at")))
 
