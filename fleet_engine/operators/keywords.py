@@ -14,6 +14,8 @@ from fleet_engine.workspace import stage
 
 K1, B = 1.2, 0.75
 SLACK = 1e-5          # scores are compared after rounding to 6 decimals
+SEED_SHARE = 0.1
+DIRECT_HITS = 1_000_000_000
 
 
 def keyword_search(queries: DataFrame, logs: DataFrame, key: str | None, k: int = 1, query_id: str = "query_id",
@@ -57,8 +59,10 @@ def score_postings(counts: DataFrame, lengths: DataFrame, attributes: tuple[str,
 
 
 def bm25_index(docs: DataFrame, id: str, text: str, attributes: tuple[str, ...] = ()) -> DataFrame:
-    """BM25 postings of a corpus, meant to be written once (``stage``, ``write_index``) and read by many searches."""
-    return score_postings(term_counts(docs, id, text, attributes), document_lengths(docs, id, text), attributes)
+    """BM25 postings of a corpus, meant to be written once (``stage``, ``write_index``) and read by many searches. The
+    counts are written first: document frequencies and both halves of the weighting join read them."""
+    counts = stage(term_counts(docs, id, text, attributes), "term-counts")
+    return score_postings(counts, document_lengths(docs, id, text), attributes)
 
 
 def write_index(postings: DataFrame, path: str) -> None:
@@ -85,38 +89,50 @@ def _kth(scores: DataFrame, k: int) -> DataFrame:
 
 
 def bm25_topk(postings: DataFrame, queries: DataFrame, k: int, query_id: str = "query_id", text: str = "text",
-              seeds: int = 2) -> DataFrame:
-    """Best ``k`` documents per query by BM25 (6 decimals, ties by id): exact, without scoring what frequent words match.
+              direct_hits: int = DIRECT_HITS) -> DataFrame:
+    """Best ``k`` documents per query by BM25 (6 decimals, ties by id); always exact.
 
-    1. The ``seeds`` query terms of highest peak give partial scores; the k-th of them is a floor for the final k-th.
-    2. The query's weakest terms whose peaks together stay below the floor cannot lift a document into the result on
-       their own. Only the other terms produce candidates, so lists of frequent words are not expanded.
-    3. Candidates that cannot reach the floor even with all weak terms are dropped; the rest are looked up exactly.
-
-    ``postings`` is read several times and should be a written index.
+    The (query, posting) hits are counted from the document frequencies first. Up to ``direct_hits`` they are simply summed.
+    Beyond that the lists of frequent words are not expanded; see ``_pruned_scores``. ``postings`` is read several times and
+    should be a written index.
     """
     words = queries.select(F.col(query_id).alias("query_id"), F.explode(F.array_distinct(tokens(text))).alias("term"))
     relevant = postings.select("term", "doc_id", "impact", "df").join(words.select("term").distinct(), "term", "left_semi")
-    terms = stage(index_terms(relevant), "terms")
-    hot = hot_keys(terms, "term", "df")
-    asked = words.join(terms, "term")
-    by_peak = Window.partitionBy("query_id").orderBy(F.col("peak").desc(), "term")
-    ranked = asked.withColumn("_n", F.row_number().over(by_peak))
-    floor = _kth(_partial(relevant, ranked.filter(F.col("_n") <= seeds), hot), k)
-    weak_first = Window.partitionBy("query_id").orderBy("peak", F.col("term").desc())
-    # as small as the queries, and read by every later step
-    placed = stage(ranked.join(floor, "query_id", "left")
-                   .withColumn("_below", F.sum("peak").over(weak_first.rowsBetween(Window.unboundedPreceding, 0)))
+    asked = stage(words.join(index_terms(relevant), "term"), "query-terms")      # as small as the queries
+    hot = hot_keys(asked.select("term", "df").distinct(), "term", "df")
+    hits = asked.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n")).first()["n"]
+    scores = _partial(relevant, asked, hot) if hits <= direct_hits else _pruned_scores(relevant, asked, k, hot)
+    total = scores.select("query_id", "doc_id", F.round("score", 6).alias("score"))
+    return topk(total, ["query_id"], [F.col("score").desc(), F.col("doc_id")], k)
+
+
+def _pruned_scores(relevant: DataFrame, asked: DataFrame, k: int, hot: list) -> DataFrame:
+    """Exact scores of every document that can be among the best ``k`` of its query.
+
+    1. The query terms of highest peak, up to ``SEED_SHARE`` of the query's hits, give partial scores; the k-th of them is a
+       floor for the final k-th score.
+    2. The weakest terms whose peaks together stay below the floor cannot lift a document into the result on their own.
+       Only the other, strong terms produce candidates.
+    3. The k-th score over the strong terms is a higher floor. Candidates that cannot reach it even with all weak terms are
+       dropped; for the rest the weak terms are looked up by document.
+    """
+    strongest = Window.partitionBy("query_id").orderBy(F.col("peak").desc(), "term").rowsBetween(Window.unboundedPreceding, 0)
+    query_hits = F.sum("df").over(Window.partitionBy("query_id"))
+    seeds = (asked.withColumn("_n", F.count(F.lit(1)).over(strongest)).withColumn("_hits", F.sum("df").over(strongest))
+             .withColumn("_all", query_hits).filter((F.col("_n") <= 2) | (F.col("_hits") <= SEED_SHARE * F.col("_all"))))
+    floor = _kth(_partial(relevant, seeds, hot), k)
+    weakest = Window.partitionBy("query_id").orderBy("peak", F.col("term").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    placed = stage(asked.join(floor, "query_id", "left").withColumn("_below", F.sum("peak").over(weakest))
                    .withColumn("_weak", F.coalesce(F.col("_below") < F.col("_kth") - SLACK, F.lit(False)))
-                   .select("query_id", "term", "peak", "_kth", "_weak"), "query-terms")
-    strong = _partial(relevant, placed.filter(~F.col("_weak")), hot)
+                   .select("query_id", "term", "peak", "_weak"), "query-terms")
+    strong = stage(_partial(relevant, placed.filter(~F.col("_weak")), hot), "candidates")
     rest = placed.groupBy("query_id").agg(
-        F.coalesce(F.sum(F.when(F.col("_weak"), F.col("peak"))), F.lit(0.0)).alias("_rest"), F.first("_kth").alias("_kth"),
+        F.coalesce(F.sum(F.when(F.col("_weak"), F.col("peak"))), F.lit(0.0)).alias("_rest"),
         F.collect_list(F.when(F.col("_weak"), F.col("term"))).alias("_weak_terms"))
-    open_ = (strong.join(rest, "query_id")
-             .filter(F.col("_kth").isNull() | (F.col("score") + F.col("_rest") >= F.col("_kth") - SLACK)))
+    reach = F.col("score") + F.col("_rest") >= F.col("_kth") - SLACK
+    open_ = (strong.join(rest, "query_id").join(_kth(strong, k), "query_id", "left")
+             .filter(F.coalesce(reach, F.lit(True))))
     lookups = open_.select("query_id", "doc_id", F.explode("_weak_terms").alias("term"))
     weak = lookups.join(relevant, ["doc_id", "term"]).select("query_id", "doc_id", F.col("impact").alias("score"))
-    total = (open_.select("query_id", "doc_id", "score").unionByName(weak)
-             .groupBy("query_id", "doc_id").agg(F.round(F.sum("score"), 6).alias("score")))
-    return topk(total, ["query_id"], [F.col("score").desc(), F.col("doc_id")], k)
+    return (open_.select("query_id", "doc_id", "score").unionByName(weak)
+            .groupBy("query_id", "doc_id").agg(F.sum("score").alias("score")))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from fleet_engine.operators.clean import clean_sentinel, fault_base, silver_telemetry
 from fleet_engine.operators.enrich import answer_column, classify_keywords, fit_lexicon, sentiment, summarize
+from fleet_engine.workspace import spread
 
 AS_OF = "2024-01-31 00:00:00"
 COMPONENT_QUESTION = "What was the specific vehicle component mentioned? In the end, or on the whole?"
@@ -24,8 +25,13 @@ LANGUAGE_RULES = {
 }
 
 
+# text tables and their keys: work on them is bound by the processor, so small ones are dealt out to all cores
+TEXT_TABLES = {"documents": "doc_id", "pages": "page_id"}
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+    rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+    return spread(rows, TEXT_TABLES[table]) if table in TEXT_TABLES else rows
 
 
 def vin(col: str = "user_id"):

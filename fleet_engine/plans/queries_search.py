@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from fleet_engine.functions.text import like_escape
 from fleet_engine.operators import fusion, keywords, retrieval, vectors
 from fleet_engine.operators.enrich import embed_text, fit_embedding
 from fleet_engine.plans import domain
-from fleet_engine.plans.domain import words_sql
+from fleet_engine.plans.domain import REQUESTS_SQL, words_sql
 from fleet_engine.plans.queries_gold import registry
-from fleet_engine.plans.queries_text import count_model
 from fleet_engine.plans.registry import query
 from fleet_engine.workspace import run_dir, stage
 
@@ -102,6 +103,12 @@ def bm25_topk(spark, sf_dir):
     return keywords.bm25_topk(postings(spark, sf_dir), query_texts(spark, sf_dir), 10)
 
 
+@query("h4_bm25_topk_pruned", f"WITH {bm25_sql(QUERY_TEXTS, 10)} SELECT query_id, doc_id, score, rank FROM best")
+def bm25_topk_pruned(spark, sf_dir):
+    """The same search when the hits are too many to sum them all."""
+    return keywords.bm25_topk(postings(spark, sf_dir), query_texts(spark, sf_dir), 10, direct_hits=0)
+
+
 @query("h5_rrf", f"""WITH {pairs_sql('true')}, {nearest_sql(10, 'pairs', 'a')},
 kin AS (SELECT p.* FROM pairs p JOIN embeddings q ON q.vec_id = query_id JOIN embeddings c ON c.vec_id = item_id WHERE q.label = c.label),
 {nearest_sql(10, 'kin', 'b')},
@@ -149,16 +156,29 @@ def search_service(spark, sf_dir):
     return service.search(query_texts(spark, sf_dir), 5, {"lang": LANG})
 
 
-TEMPLATES = {"diagnostic_agent_v2": "Context: {context} Symptoms: {symptoms}",
+TEMPLATES = {"diagnostic_agent_v2": "Context: {context} Symptoms: {symptoms} Code: {error_code}",
              "diagnostic_agent_v1": "Context: {context} Question: {question}",
-             "diagnostic_expert_json": "Context: {context} Symptoms: {symptoms} Code: {error_code}"}
+             "diagnostic_expert_json": "Manual: {context} Symptoms: {symptoms} Code: {error_code}"}
+
+
+def echo_model(prompts: list[str]) -> list[str]:
+    """Deterministic stand-in for a model: a structured answer that repeats the symptoms it was given."""
+    answers = []
+    for prompt in prompts:
+        symptoms = prompt.rpartition("Symptoms: ")[2].rpartition(" Code: ")[0]
+        answers.append("```json\n" + json.dumps({
+            "diagnosis": symptoms, "confidence_score": 0.5, "supporting_evidence": "context",
+            "recommended_actions": [{"action": "inspect", "acceptance_criteria": "no code"}]}) + "\n```")
+    return answers
 
 
-@query("h9_diagnose_batch")
+@query("h9_diagnose_batch", f"""WITH {REQUESTS_SQL}
+SELECT request_id, CASE experiment_id WHEN 'EXP_B' THEN 'OPENAI' ELSE 'SNOWFLAKE' END AS provider_used,
+       CASE WHEN experiment_id <> 'EXP_B' THEN symptoms END AS diagnosis,
+       CASE WHEN experiment_id = 'EXP_B' THEN 'question' END AS rejected_field FROM requests""")
 def diagnose_batch(spark, sf_dir):
     manuals = domain.manuals(spark, sf_dir).select(F.col("doc_id").alias("item_id"), "vin", "content")
     model = fit_embedding(manuals, "content", 256)
     embedded = stage(embed_text(manuals, "item_id", "content", model=model, keep=("vin", "content")), "manuals")
-    return (retrieval.diagnose_batch(domain.requests(spark, sf_dir), registry(spark), embedded, manuals, model, TEMPLATES, count_model)
-            .select("request_id", "provider_used", F.round("search_confidence", 3).alias("search_confidence"),
-                    "result.diagnosis", "tokens", "rejected_field"))
+    return (retrieval.diagnose_batch(domain.requests(spark, sf_dir), registry(spark), embedded, manuals, model, TEMPLATES, echo_model)
+            .select("request_id", "provider_used", "result.diagnosis", "rejected_field"))

@@ -41,3 +41,10 @@ def broadcast_bounded(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
     """Hint a broadcast only after counting at most ``max_rows`` + 1 rows; larger inputs join by shuffle."""
     small = df.limit(max_rows + 1).agg(F.count("*").alias("n")).first()["n"] <= max_rows
     return F.broadcast(df) if small else df
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal a small input that sits in a few unsplittable files out to all cores. Inputs with enough partitions, which is all
+    large ones, stay as they are and are not shuffled."""
+    cores, parts = df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
+    return df if parts >= cores else df.repartition(min(cores, 8 * parts), *keys)
