@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -19,6 +19,18 @@ def _pieces(text: Column, pattern: str) -> Column:
     return F.array_remove(F.transform(F.split(text, pattern), lambda s: F.trim(s)), "")
 
 
+def explode_each(df: DataFrame, keep: list[str], array: Column, value: str, index: str | None = None) -> DataFrame:
+    """One row per array element with its position from 0; empty and NULL arrays give none.
+
+    The outer form with a filter behind it matters: for the inner form Spark adds a filter on the size of the array below
+    the explode, which computes the whole array a second time.
+    """
+    if index is None:
+        return df.select(*keep, F.explode_outer(array).alias(value)).filter(F.col(value).isNotNull())
+    rows = df.select(*keep, F.posexplode_outer(array).alias(index, value))
+    return rows.filter(F.col(index).isNotNull())
+
+
 def sentences(text: str | Column) -> Column:
     """Trimmed sentences, split at full stops and line ends."""
     return _pieces(_col(text), "[.\\n]+")

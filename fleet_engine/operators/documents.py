@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleet_engine.functions.text import html_blocks, text_blocks
+from fleet_engine.functions.text import explode_each, html_blocks, text_blocks
 
 
 def _blocks(text, mode: str):
@@ -16,7 +16,7 @@ def _blocks(text, mode: str):
 
 def flatten_array(df: DataFrame, col: str, keep: list[str], value: str = "value", index: str = "index") -> DataFrame:
     """One row per element with its position; rows with an empty or NULL array disappear."""
-    return df.select(*keep, F.posexplode(col).alias(index, value))
+    return explode_each(df, keep, F.col(col), value, index)
 
 
 def chunk_documents(df: DataFrame, id: str, text: str, mode: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -45,9 +45,9 @@ def process_pending(queue: DataFrame, files: DataFrame, now: str, mode: str = "t
             .withColumn("_blocks", _blocks("_content", mode))
             .withColumn("error_message", F.when(F.col("_found").isNull(), "file not found")
                         .when(F.col("_content").isNull() | (F.size("_blocks") == 0), "no text in file")))
-    chunks = (work.filter(F.col("error_message").isNull())
-              .select(F.col(filename).alias("source_file"), "vin_reference",
-                      F.posexplode("_blocks").alias("chunk_index", "chunk_text"), at.alias("extracted_at")))
+    # a failed file has no blocks, so the chunks need no look at the status
+    chunks = (flatten_array(work, "_blocks", [filename, "vin_reference"], "chunk_text", "chunk_index")
+              .withColumnRenamed(filename, "source_file").withColumn("extracted_at", at))
     status = work.select("ingestion_id",
                          F.when(F.col("error_message").isNull(), "COMPLETED").otherwise("FAILED").alias("status"),
                          "error_message", at.alias("processed_at"))

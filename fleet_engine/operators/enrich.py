@@ -14,7 +14,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleet_engine.functions.text import sentences, tokens
+from fleet_engine.functions.text import explode_each, sentences, tokens
 from fleet_engine.operators.skew import frequent_join, topk
 
 # Words of the default lexicon.
@@ -35,8 +35,7 @@ FAULT_RULES = {
 
 def document_frequency(df: DataFrame, text: str) -> DataFrame:
     """Documents per term. Each document contributes a term once, so counts combine before the shuffle."""
-    return (df.select(F.explode(F.array_distinct(tokens(text))).alias("term"))
-            .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    return (explode_each(df, [], F.array_distinct(tokens(text)), "term").groupBy("term").agg(F.count(F.lit(1)).alias("df")))
 
 
 def with_idf(frequency: DataFrame, n_docs: Column) -> DataFrame:
@@ -51,8 +50,8 @@ def summarize(df: DataFrame, id: str, text: str, k: int = 1) -> DataFrame:
     docs = df.select(id, F.col(text).alias("_text")).filter(F.col("_text").isNotNull())
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
     terms = with_idf(document_frequency(docs, "_text"), n_docs)
-    words = (docs.select(id, F.posexplode(sentences("_text")).alias("_pos", "_sentence"))
-             .select(id, "_pos", F.explode(tokens("_sentence")).alias("term")))
+    words = explode_each(explode_each(docs, [id], sentences("_text"), "_sentence", "_pos"),
+                         [id, "_pos"], tokens("_sentence"), "term")
     scored = (frequent_join(words, terms, "term", "df")
               .groupBy(id, "_pos").agg(F.round(F.avg("idf"), 6).alias("_score")))
     best = topk(scored, [id], [F.col("_score").desc(), F.col("_pos")], k, "_rank")
@@ -80,7 +79,7 @@ def sentiment(df: DataFrame, id: str, text: str, lexicon: DataFrame | None = Non
         words = df.select(id, tokens(text).alias("_w"))
         score = _polarity(_count_in(F.col("_w"), POSITIVE_WORDS), _count_in(F.col("_w"), NEGATIVE_WORDS))
         return words.select(id, F.round(F.coalesce(score, F.lit(0.0)), 6).alias("sentiment"))
-    words = df.select(id, F.explode(tokens(text)).alias("term"))
+    words = explode_each(df, [id], tokens(text), "term")
     hits = frequent_join(words, lexicon, "term", "docs").select(id, "weight")
     every = df.select(id, F.lit(0.0).alias("weight"))          # texts without a listed word count as 0
     weight = F.col("weight")
@@ -92,8 +91,8 @@ def sentiment(df: DataFrame, id: str, text: str, lexicon: DataFrame | None = Non
 def fit_lexicon(labelled: DataFrame, text: str, positive: str, clip: float = 3.0) -> DataFrame:
     """Term weights from texts with a boolean ``positive`` column: smoothed log-odds, clipped."""
     flags = labelled.agg(F.struct(F.count_if(positive).alias("p"), F.count_if(~F.col(positive)).alias("n"))).scalar()
-    terms = (labelled.select(F.col(positive).alias("_p"), F.explode(F.array_distinct(tokens(text))).alias("term"))
-             .groupBy("term").agg(F.count_if("_p").alias("_in"), F.count_if(~F.col("_p")).alias("_out")))
+    terms = (explode_each(labelled, [positive], F.array_distinct(tokens(text)), "term").groupBy("term")
+             .agg(F.count_if(positive).alias("_in"), F.count_if(~F.col(positive)).alias("_out")))
     odds = F.log(((F.col("_in") + 1) / (F.col("_totals.p") + 2)) / ((F.col("_out") + 1) / (F.col("_totals.n") + 2)))
     return (terms.withColumn("_totals", flags)
             .select("term", F.round(F.greatest(F.lit(-clip), F.least(F.lit(clip), odds)), 6).alias("weight"),

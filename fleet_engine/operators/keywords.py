@@ -7,7 +7,7 @@ from functools import partial
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleet_engine.functions.text import tokens
+from fleet_engine.functions.text import explode_each, tokens
 from fleet_engine.operators.blocks import BLOCK_ROWS, BROADCAST_BYTES, SubstringKernel, block_search
 from fleet_engine.operators.skew import frequent_join, hot_keys, salted_join, topk
 from fleet_engine.workspace import stage
@@ -37,20 +37,20 @@ def keyword_search(queries: DataFrame, logs: DataFrame, key: str | None, k: int
 def term_counts(docs: DataFrame, id: str, text: str, attributes: tuple[str, ...] = ()) -> DataFrame:
     """Words per document (term, doc_id, tf, doc_len, attributes). Words are counted in the task that holds the document, so
     the shuffle carries one row per document and term."""
-    words = (docs.select(F.col(id).alias("doc_id"), *attributes, tokens(text).alias("_w"))
-             .withColumn("doc_len", F.size("_w")).filter(F.col("doc_len") > 0))
-    return (words.select("doc_id", *attributes, "doc_len", F.explode("_w").alias("term"))
-            .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("doc_len").alias("doc_len"),
-                                           *[F.first(a).alias(a) for a in attributes]))
+    words = docs.select(F.col(id).alias("doc_id"), *attributes, tokens(text).alias("_w")).withColumn("doc_len", F.size("_w"))
+    rows = explode_each(words, ["doc_id", *attributes, "doc_len"], F.col("_w"), "term")
+    return (rows.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("doc_len").alias("doc_len"),
+                                               *[F.first(a).alias(a) for a in attributes]))
 
 
 def document_lengths(docs: DataFrame, id: str, text: str) -> DataFrame:
-    return docs.select(F.col(id).alias("doc_id"), F.size(tokens(text)).alias("doc_len")).filter(F.col("doc_len") > 0)
+    return docs.select(F.col(id).alias("doc_id"), F.size(tokens(text)).alias("doc_len"))
 
 
 def score_postings(counts: DataFrame, lengths: DataFrame, attributes: tuple[str, ...] = ()) -> DataFrame:
     """Postings (term, doc_id, impact, df, attributes): the finished BM25 share of a term in a document."""
-    stats = lengths.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("doc_len").alias("avg_len"))).scalar()
+    n = F.count_if(F.col("doc_len") > 0)           # documents without a word are not part of the corpus
+    stats = lengths.agg(F.struct(n.alias("n"), F.try_divide(F.sum("doc_len"), n).alias("avg_len"))).scalar()
     frequency = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     joined = frequent_join(counts, frequency, "term", "df").withColumn("_s", stats)
     idf = F.log(1 + (F.col("_s.n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
@@ -96,7 +96,8 @@ def bm25_topk(postings: DataFrame, queries: DataFrame, k: int, query_id: str = "
     Beyond that the lists of frequent words are not expanded; see ``_pruned_scores``. ``postings`` is read several times and
     should be a written index.
     """
-    words = queries.select(F.col(query_id).alias("query_id"), F.explode(F.array_distinct(tokens(text))).alias("term"))
+    asked = queries.select(F.col(query_id).alias("query_id"), F.array_distinct(tokens(text)).alias("_w"))
+    words = explode_each(asked, ["query_id"], F.col("_w"), "term")
     relevant = postings.select("term", "doc_id", "impact", "df").join(words.select("term").distinct(), "term", "left_semi")
     asked = stage(words.join(index_terms(relevant), "term"), "query-terms")      # as small as the queries
     hot = hot_keys(asked.select("term", "df").distinct(), "term", "df")

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleet_engine.functions.text import _col
+from fleet_engine.functions.text import _col, explode_each
 from fleet_engine.operators.clean import STAMP
 
 
@@ -102,15 +102,16 @@ def scan_rules(docs: DataFrame, rules: dict[str, str], id: str = "doc_id", text:
                comment: str | None = None) -> DataFrame:
     """Lines that break a rule (id, line_no, rule, line). ``rules`` maps names to patterns, matched in any case;
     ``comment`` is a pattern whose match starts a comment. Rules are literals: one pass over the lines, no join."""
-    lines = docs.select(id, F.posexplode(F.split(_col(text), "\\r?\\n")).alias("_pos", "_line"))
+    lines = explode_each(docs, [id], F.split(_col(text), "\\r?\\n"), "_line", "_pos")
     body = _searched(F.col("_line"), comment)
     broken = F.array_compact(F.array(*[F.when(F.rlike(body, F.lit(f"(?i){pattern}")), F.lit(name))
                                        for name, pattern in rules.items()]))
-    return lines.select(id, (F.col("_pos") + 1).alias("line_no"), F.explode(broken).alias("rule"), F.trim("_line").alias("line"))
+    found = explode_each(lines, [id, "_pos", "_line"], broken, "rule")
+    return found.select(id, (F.col("_pos") + 1).alias("line_no"), "rule", F.trim("_line").alias("line"))
 
 
 def require_rules(docs: DataFrame, rules: dict[str, str], id: str = "doc_id", text: str = "text") -> DataFrame:
     """Documents that lack a required pattern (id, rule)."""
     absent = F.array_compact(F.array(*[F.when(~F.coalesce(F.rlike(_col(text), F.lit(f"(?i){pattern}")), F.lit(False)), F.lit(name))
                                        for name, pattern in rules.items()]))
-    return docs.select(id, F.explode(absent).alias("rule"))
+    return explode_each(docs, [id], absent, "rule")

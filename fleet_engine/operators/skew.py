@@ -10,6 +10,7 @@ from fleet_engine.workspace import stage
 HOT_ROWS = 200_000     # a key with fewer rows than this never needs splitting
 HOT_KEYS = 1_000       # the most frequent keys; any other key holds under 1/1000 of the rows
 SALTS = 64
+BROADCAST_BYTES = 32 << 20
 FREQUENT_SHARE = 1e-5  # at most 100,000 keys can each hold this share
 
 
@@ -54,16 +55,21 @@ def dim_join(facts: DataFrame, dim: DataFrame, key: str, spread: str | list[str]
     return salted_join(facts, dim, key, spread, how=how)
 
 
-def frequent_join(facts: DataFrame, dim: DataFrame, key: str, weight: str, share: float = FREQUENT_SHARE) -> DataFrame:
+def frequent_join(facts: DataFrame, dim: DataFrame, key: str, weight: str, share: float = FREQUENT_SHARE,
+                  broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Inner join of very many ``facts`` rows (words of texts) to one ``dim`` row per key, mostly without a shuffle.
 
-    ``weight`` counts the rows or texts that hold a key. The keys with at least ``share`` of the total weight cover nearly
-    all facts and are broadcast: at most 1 / ``share`` keys, however large the data. Only facts of rarer keys are shuffled,
-    and none of those keys is hot.
+    ``dim`` is written once and measured. Up to ``broadcast_bytes`` it is broadcast. A larger one is split: the keys with at
+    least ``share`` of the total of ``weight`` (rows or texts that hold the key) cover nearly all facts and are broadcast, at
+    most 1 / ``share`` keys however large the data; only facts of rarer keys are shuffled, and none of those keys is hot.
     """
-    edge = dim.agg(F.sum(weight) * share).scalar()
-    frequent = F.broadcast(dim.filter(F.col(weight) >= edge))
-    rare = dim.filter(F.col(weight) < edge)
+    dim = stage(dim, "keys")
+    size = dim.agg(F.sum(F.octet_length(F.col(key).cast("string")) + 8 * len(dim.columns)).alias("bytes"),
+                   F.sum(weight).alias("weight")).first()
+    if (size["bytes"] or 0) <= broadcast_bytes:
+        return facts.join(F.broadcast(dim), key)
+    frequent = F.broadcast(dim.filter(F.col(weight) >= size["weight"] * share))
+    rare = dim.filter(F.col(weight) < size["weight"] * share)
     direct = facts.join(frequent, key)
     shuffled = facts.join(F.broadcast(frequent.select(key)), key, "left_anti").join(rare, key)
     return direct.unionByName(shuffled)

@@ -11,6 +11,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleet_engine.functions.text import explode_each
 from fleet_engine.operators.blocks import BLOCK_ROWS, BROADCAST_BYTES, VectorKernel, block_search
 from fleet_engine.workspace import broadcast_bounded
 
@@ -93,7 +94,7 @@ def ann_topk(queries: DataFrame, indexed: DataFrame, centres: np.ndarray, k: int
     corpus = indexed.select(F.col(item_id).alias("item_id"), F.col("cell").alias("block_key"), "embedding")
 
     def visit(cells):
-        return _search(asked.select("query_id", F.explode(cells).alias("block_key"), "embedding"), corpus, k, **sizes)
+        return _search(explode_each(asked, ["query_id", "embedding"], cells, "block_key"), corpus, k, **sizes)
 
     first = visit(F.transform(F.slice("_cells", 1, probes), lambda c: c["cell"]))
     if not exact:
