@@ -154,22 +154,27 @@ def _scan(corpus: DataFrame, rows: list, columns: list[str], kernel: Kernel, sch
     return corpus.mapInPandas(run, schema)
 
 
-def _grid(queries: DataFrame, corpus: DataFrame, kernel: Kernel, schema: str, block_rows: int) -> DataFrame:
+def _grid(queries: DataFrame, corpus: DataFrame, kernel: Kernel, schema: str, block_rows: int, keyed: bool) -> DataFrame:
     """Cut both sides into blocks per key and run the kernel once per pair of blocks."""
-    q_counts, c_counts = key_counts(queries, "block_key", "_q"), key_counts(corpus, "block_key", "_c")
-    cells = q_counts.join(c_counts, "block_key").select(
-        "block_key", F.ceil(F.col("_q") / block_rows).cast("int").alias("_nq"),
-        F.ceil(F.col("_c") / block_rows).cast("int").alias("_nc"))
-
-    def cut(df, row_id, counts, weight, own, other):
-        met = salted_join(df, cells, "block_key", row_id, counts=counts, weight=weight)
-        return (met.withColumn(f"_b{own}", F.pmod(F.xxhash64(row_id), F.col(f"_n{own}")).cast("int"))
+    if keyed:
+        counts = {"q": key_counts(queries, "block_key", "_q"), "c": key_counts(corpus, "block_key", "_c")}
+        cells = counts["q"].join(counts["c"], "block_key").select(
+            "block_key", *[F.ceil(F.col(f"_{s}") / block_rows).cast("int").alias(f"_n{s}") for s in counts])
+    else:
+        blocks = {s: F.lit(max(1, -(-df.count() // block_rows))) for s, df in (("q", queries), ("c", corpus))}
+
+    def cut(df, row_id, own, other):
+        if keyed:
+            df = salted_join(df, cells, "block_key", row_id, counts=counts[own], weight=f"_{own}")
+        else:
+            df = df.withColumns({f"_n{s}": n for s, n in blocks.items()})
+        return (df.withColumn(f"_b{own}", F.pmod(F.xxhash64(row_id), F.col(f"_n{own}")).cast("int"))
                 .withColumn(f"_b{other}", F.explode(F.sequence(F.lit(0), F.col(f"_n{other}") - 1)))
                 .drop("_nq", "_nc"))
 
     group = ["block_key", "_bq", "_bc"]
-    left = cut(queries, "query_id", q_counts, "_q", "q", "c").groupBy(*group)
-    right = cut(corpus, "item_id", c_counts, "_c", "c", "q").groupBy(*group)
+    left = cut(queries, "query_id", "q", "c").groupBy(*group)
+    right = cut(corpus, "item_id", "c", "q").groupBy(*group)
 
     def run(some: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         if some.empty or rows.empty:
@@ -181,11 +186,11 @@ def _grid(queries: DataFrame, corpus: DataFrame, kernel: Kernel, schema: str, bl
     return left.cogroup(right).applyInPandas(run, schema)
 
 
-def block_search(queries: DataFrame, corpus: DataFrame, kernel: Kernel, k: int, row_bytes: Column,
+def block_search(queries: DataFrame, corpus: DataFrame, kernel: Kernel, k: int, row_bytes: Column, keyed: bool = True,
                  broadcast_bytes: int = BROADCAST_BYTES, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Best ``k`` corpus rows per query. ``queries`` has (query_id, block_key, ...), ``corpus`` (item_id, block_key, ...).
 
-    ``row_bytes`` measures one query; queries are sent to the executors only when together they fit ``broadcast_bytes``.
+    Without ``keyed`` the key is one constant. ``row_bytes`` measures one query; queries are sent to the executors only when together they fit ``broadcast_bytes``.
     """
     queries, corpus = (df.filter(F.col("block_key").isNotNull()) for df in (queries, corpus))
     schema = _hit_schema(queries, corpus)
@@ -193,5 +198,5 @@ def block_search(queries: DataFrame, corpus: DataFrame, kernel: Kernel, k: int,
     if size <= broadcast_bytes:
         found = _scan(corpus, queries.collect(), queries.columns, kernel, schema)
     else:
-        found = _grid(queries, corpus, kernel, schema, block_rows)
+        found = _grid(queries, corpus, kernel, schema, block_rows, keyed)
     return topk(found, ["query_id"], [F.col("score"), F.col("item_id")], k)

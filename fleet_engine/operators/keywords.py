@@ -29,7 +29,7 @@ def keyword_search(queries: DataFrame, logs: DataFrame, key: str | None, k: int
     asked = queries.select(F.col(query_id).alias("query_id"), block.alias("block_key"), F.lower(pattern).alias("pattern"))
     rows = logs.select(F.col(item_id).alias("item_id"), block.alias("block_key"), F.lower(text).alias("text"))
     found = block_search(asked.filter(F.col("pattern").isNotNull()), rows.filter(F.col("text").isNotNull()),
-                         partial(SubstringKernel, k=k), k, row_bytes=4 * F.octet_length("pattern"),
+                         partial(SubstringKernel, k=k), k, 4 * F.octet_length("pattern"), key is not None,
                          broadcast_bytes=broadcast_bytes, block_rows=block_rows)
     return found.select("query_id", "item_id", "rank")
 

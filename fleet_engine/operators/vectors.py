@@ -21,8 +21,8 @@ def _keyed(df: DataFrame, id_from: str, id_to: str, key: str | None) -> DataFram
     return df.select(F.col(id_from).alias(id_to), block.alias("block_key"), "embedding")
 
 
-def _search(queries, corpus, k, radius=None, **sizes) -> DataFrame:
-    found = block_search(queries, corpus, partial(VectorKernel, k=k, radius=radius), k, row_bytes=8 * F.size("embedding"), **sizes)
+def _search(queries, corpus, k, radius=None, keyed=True, **sizes) -> DataFrame:
+    found = block_search(queries, corpus, partial(VectorKernel, k=k, radius=radius), k, 8 * F.size("embedding"), keyed, **sizes)
     return found.select("query_id", "item_id", F.col("score").alias("distance"), "rank")
 
 
@@ -34,14 +34,14 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int, key: str | None =
     Queries whose key is NULL search every corpus row that has a key.
     """
     sizes = {"broadcast_bytes": broadcast_bytes, "block_rows": block_rows}
-    found = _search(_keyed(queries, query_id, "query_id", key), _keyed(corpus, item_id, "item_id", key), k, radius, **sizes)
+    found = _search(_keyed(queries, query_id, "query_id", key), _keyed(corpus, item_id, "item_id", key), k, radius, key is not None, **sizes)
     if key is None:
         return found
     free = queries.filter(F.col(key).isNull())
     if free.isEmpty():
         return found
     everywhere = _search(_keyed(free, query_id, "query_id", None),
-                         _keyed(corpus.filter(F.col(key).isNotNull()), item_id, "item_id", None), k, radius, **sizes)
+                         _keyed(corpus.filter(F.col(key).isNotNull()), item_id, "item_id", None), k, radius, False, **sizes)
     return found.unionByName(everywhere)
 
 
