@@ -90,6 +90,8 @@ class VectorKernel:
 class SubstringKernel:
     """Corpus texts that contain the query text; both sides are lower case already. The first ids win."""
 
+    HITS = 1 << 20                                   # hits held before they are cut to the best
+
     def __init__(self, queries: pd.DataFrame, k: int):
         import ahocorasick
 
@@ -116,8 +118,13 @@ class SubstringKernel:
                     found.update(positions)
             query.extend(found)
             rows.extend([row] * len(found))
-        if query:
-            self.best.offer(np.array(query, dtype=np.int64), np.zeros(len(query)), ids[np.array(rows)])
+            if len(query) > self.HITS:
+                self._flush(query, ids, rows)
+                query, rows = [], []
+        self._flush(query, ids, rows)
+
+    def _flush(self, query: list[int], ids: np.ndarray, rows: list[int]) -> None:
+        self.best.offer(np.array(query, dtype=np.int64), np.zeros(len(query)), ids[np.array(rows, dtype=np.int64)])
 
 
 Kernel = Callable[[pd.DataFrame], "VectorKernel | SubstringKernel"]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleet_engine.functions.text import explode_each, html_blocks, text_blocks
+from fleet_engine.operators.skew import salted_join
 
 
 def _blocks(text, mode: str):
@@ -28,7 +29,7 @@ def chunk_documents(df: DataFrame, id: str, text: str, mode: str = "text", keep:
 def lateral_chunks(files: DataFrame, docs: DataFrame, on: str = "source_file", content: str = "content",
                    mode: str = "text") -> DataFrame:
     """Chunks of the documents that ``files`` lists, with the columns of ``files``."""
-    joined = files.join(docs.select(on, content), on)
+    joined = salted_join(files, docs.select(on, content), on, files.columns)
     return chunk_documents(joined, on, content, mode, tuple(c for c in files.columns if c != on))
 
 
@@ -41,7 +42,8 @@ def process_pending(queue: DataFrame, files: DataFrame, now: str, mode: str = "t
     """
     at = F.lit(now).cast("timestamp_ntz")
     pending = queue.filter(F.col("status") == "PENDING").select("ingestion_id", filename, "vin_reference")
-    work = (pending.join(files.select(filename, F.col(content).alias("_content"), F.lit(True).alias("_found")), filename, "left")
+    stored = files.select(filename, F.col(content).alias("_content"), F.lit(True).alias("_found"))
+    work = (salted_join(pending, stored, filename, "ingestion_id", how="left")
             .withColumn("_blocks", _blocks("_content", mode))
             .withColumn("error_message", F.when(F.col("_found").isNull(), "file not found")
                         .when(F.col("_content").isNull() | (F.size("_blocks") == 0), "no text in file")))

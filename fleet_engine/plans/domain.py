@@ -42,30 +42,35 @@ def vehicle_of_event(spark: SparkSession, sf_dir: str, id: str) -> DataFrame:
     return read(spark, sf_dir, "events").select(F.col("event_id").alias(id), vin().alias("vin"))
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze(spark: SparkSession, sf_dir: str, notes: bool = True) -> DataFrame:
+    """Telemetry; the join to the notes is made only for readers of the notes."""
     events = read(spark, sf_dir, "events")
-    notes = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("event_id"), F.col("text").alias("log_text"))
     kind = F.col("event_type")
     code = (F.when(kind == "view", "NONE").when(kind == "error", "P0300").when(kind == "purchase", "P0420")
             .when(kind == "signup", "P0217"))
-    return events.join(notes, "event_id", "left").select(
+    if notes:
+        texts = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("event_id"), F.col("text").alias("log_text"))
+        events = events.join(texts, "event_id", "left")
+    else:
+        events = events.withColumn("log_text", F.lit(None).cast("string"))
+    return events.select(
         "event_id", vin().alias("vin"),
         F.when(kind == "signup", "ERROR").otherwise(F.col("value").cast("string")).alias("engine_temp_raw"),
         code.alias("error_code"), "log_text", F.col("ts").alias("recorded_at"),
         F.when(F.col("event_id") % 2 == 0, "AWS_S3").otherwise("AZURE_BLOB").alias("cloud_source"))
 
 
-def clean_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_sentinel(bronze(spark, sf_dir), "engine_temp_raw", out="engine_temp")
+def clean_bronze(spark: SparkSession, sf_dir: str, notes: bool = False) -> DataFrame:
+    return clean_sentinel(bronze(spark, sf_dir, notes), "engine_temp_raw", out="engine_temp")
 
 
-def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_telemetry(clean_bronze(spark, sf_dir), keep=("event_id", "recorded_at"))
+def silver(spark: SparkSession, sf_dir: str, notes: bool = False) -> DataFrame:
+    return silver_telemetry(clean_bronze(spark, sf_dir, notes), keep=("event_id", "recorded_at"))
 
 
 def silver_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver with summary and category of each note; rows without a note keep NULLs."""
-    rows = silver(spark, sf_dir)
+    rows = silver(spark, sf_dir, notes=True)
     notes = rows.filter(F.col("mechanic_notes").isNotNull()).select("event_id", "mechanic_notes")
     scores = (summarize(notes, "event_id", "mechanic_notes").select("event_id", F.col("summary").alias("log_summary"))
               .join(classify_keywords(notes, "event_id", "mechanic_notes", LANGUAGE_RULES)

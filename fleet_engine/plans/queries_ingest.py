@@ -23,7 +23,7 @@ def stamp(col: str):
 @query("a1_read_events", f"WITH {BRONZE_SQL} SELECT vin, engine_temp_raw AS engine_temp_c, error_code, cloud_source FROM bronze")
 def read_events(spark, sf_dir):
     path = run_dir(spark, "feed")
-    feed = domain.bronze(spark, sf_dir).withColumnRenamed("engine_temp_raw", "engine_temp_c")
+    feed = domain.bronze(spark, sf_dir, notes=False).withColumnRenamed("engine_temp_raw", "engine_temp_c")
     feed.select(*events.EVENT_SCHEMA.names).write.json(path)
     return events.read_events(spark, path, multi_line=False)
 
@@ -32,7 +32,7 @@ def read_events(spark, sf_dir):
 SELECT vin, engine_temp_raw AS engine_temp_c, error_code, 'AWS_S3' AS cloud_source FROM bronze
 UNION ALL SELECT {vin_sql('l_suppkey')}, l_quantity::DOUBLE::VARCHAR, NULL, 'AZURE_BLOB' FROM lineitem""")
 def union_sources(spark, sf_dir):
-    first = domain.bronze(spark, sf_dir).select("vin", F.col("engine_temp_raw").alias("engine_temp_c"), "error_code")
+    first = domain.bronze(spark, sf_dir, notes=False).select("vin", F.col("engine_temp_raw").alias("engine_temp_c"), "error_code")
     second = domain.read(spark, sf_dir, "lineitem").select(
         domain.vin("l_suppkey").alias("vin"), F.col("l_quantity").cast("double").cast("string").alias("engine_temp_c"))
     return events.union_sources({"AWS_S3": first, "AZURE_BLOB": second})
@@ -49,7 +49,7 @@ FAULT_CODES = [("P0300", "Random or multiple cylinder misfire"), ("P0420", "Cata
 SELECT error_code, meaning, count(*) AS n FROM bronze JOIN codes USING (error_code) GROUP BY ALL""")
 def rows_df(spark, sf_dir):
     codes = events.rows_df(spark, FAULT_CODES, "error_code string, meaning string")
-    counts = domain.bronze(spark, sf_dir).groupBy("error_code").agg(F.count("*").alias("n"))
+    counts = domain.bronze(spark, sf_dir, notes=False).groupBy("error_code").agg(F.count("*").alias("n"))
     return counts.join(codes, "error_code").select("error_code", "meaning", "n")
 
 
@@ -139,8 +139,8 @@ def clean_sentinel(spark, sf_dir):
 @query("b2_silver_telemetry", f"""WITH {SILVER_SQL} SELECT event_id, vin_reference, diagnostic_error_code,
 engine_temperature_celsius, length(mechanic_notes) AS note_chars FROM silver""")
 def silver_telemetry(spark, sf_dir):
-    return domain.silver(spark, sf_dir).select("event_id", "vin_reference", "diagnostic_error_code", "engine_temperature_celsius",
-                                               F.length("mechanic_notes").cast("long").alias("note_chars"))
+    return domain.silver(spark, sf_dir, notes=True).select("event_id", "vin_reference", "diagnostic_error_code", "engine_temperature_celsius",
+                                                           F.length("mechanic_notes").cast("long").alias("note_chars"))
 
 
 @query("b3_pending_files", f"""WITH {QUEUE_SQL} SELECT ingestion_id, filename AS source_file, vin_reference, s3_key,
@@ -157,7 +157,7 @@ def valid_logs(spark, sf_dir):
 @query("b5_fault_id", f"""WITH {BRONZE_SQL}
 SELECT event_id, md5(vin || strftime(recorded_at, {STAMP_SQL}) || error_code) AS fault_id FROM bronze""")
 def fault_id(spark, sf_dir):
-    return clean.with_fault_id(domain.bronze(spark, sf_dir)).select("event_id", "fault_id")
+    return clean.with_fault_id(domain.bronze(spark, sf_dir, notes=False)).select("event_id", "fault_id")
 
 
 HOT_VEHICLE = "VIN0000000001"
@@ -177,7 +177,7 @@ def filters(spark, sf_dir):
 SELECT 'all' AS kind, event_id FROM bronze WHERE error_code IS NOT NULL
 UNION ALL SELECT 'one', event_id FROM bronze WHERE error_code = 'P0300'""")
 def optional_eq(spark, sf_dir):
-    rows = domain.bronze(spark, sf_dir)
+    rows = domain.bronze(spark, sf_dir, notes=False)
     parts = {"all": clean.optional_eq(rows, "error_code"), "one": clean.optional_eq(rows, "error_code", "P0300")}
     return events.union_sources({k: v.select("event_id") for k, v in parts.items()}, "kind")
 
@@ -196,7 +196,7 @@ SELECT '1 HOUR' AS span, count(*) AS n FROM bronze WHERE recorded_at > TIMESTAMP
 UNION ALL SELECT '24 HOURS', count(*) FROM bronze WHERE recorded_at > TIMESTAMP '{NOW}' - INTERVAL 24 HOURS
 UNION ALL SELECT '7 DAYS', count(*) FROM bronze WHERE recorded_at > TIMESTAMP '{NOW}' - INTERVAL 7 DAYS""")
 def recent(spark, sf_dir):
-    rows = domain.bronze(spark, sf_dir)
+    rows = domain.bronze(spark, sf_dir, notes=False)
     return events.union_sources({span: clean.recent(rows, "recorded_at", span, NOW).agg(F.count("*").alias("n"))
                                  for span in ("1 HOUR", "24 HOURS", "7 DAYS")}, "span")
 
@@ -294,4 +294,4 @@ def latest_status(spark, sf_dir):
 
 @query("k2_mask_tail", f"WITH {BRONZE_SQL} SELECT event_id, '***-***-' || right(vin, 4) AS vin_masked FROM bronze")
 def masked_tail(spark, sf_dir):
-    return domain.bronze(spark, sf_dir).select("event_id", mask_tail("vin").alias("vin_masked"))
+    return domain.bronze(spark, sf_dir, notes=False).select("event_id", mask_tail("vin").alias("vin_masked"))

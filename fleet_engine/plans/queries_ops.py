@@ -97,7 +97,7 @@ def not_null(spark, sf_dir):
 @query("j2_unique", f"""WITH {BRONZE_SQL} SELECT vin, error_code, count(*) AS n FROM bronze
 WHERE vin IS NOT NULL AND error_code IS NOT NULL GROUP BY ALL HAVING count(*) > 1""")
 def unique(spark, sf_dir):
-    return quality.duplicates(domain.bronze(spark, sf_dir), ["vin", "error_code"])
+    return quality.duplicates(domain.bronze(spark, sf_dir, notes=False), ["vin", "error_code"])
 
 
 @query("j3_schema", "SELECT 'type' AS \"check\", 'value' AS \"column\", 'string' AS expected, 'double' AS actual "
@@ -125,7 +125,7 @@ def row_count(spark, sf_dir):
 max(recorded_at) >= TIMESTAMP '{NOW}' - INTERVAL 24 HOURS AS fresh, count(*) FILTER (WHERE error_code IS NULL) AS null_count,
 count(*) AS n_rows FROM bronze""")
 def freshness(spark, sf_dir):
-    rows = domain.bronze(spark, sf_dir)
+    rows = domain.bronze(spark, sf_dir, notes=False)
     nulls = quality.null_metric(rows, "error_code").agg(F.struct(F.max("null_count").alias("a"), F.max("n_rows").alias("b"))).scalar()
     return (quality.freshness(rows, "recorded_at", "24 HOURS", NOW).withColumn("_n", nulls)
             .select("newest", "fresh", F.col("_n.a").alias("null_count"), F.col("_n.b").alias("n_rows")))
@@ -142,7 +142,7 @@ def freshness(spark, sf_dir):
     WHERE vin IS NOT NULL AND error_code IS NOT NULL GROUP BY vin, error_code HAVING count(*) > 1))
 SELECT "check", failures::BIGINT AS failures, failures = 0 AS passed FROM r""")
 def run_suite(spark, sf_dir):
-    return quality.run_suite(domain.clean_bronze(spark, sf_dir), CHECKS)
+    return quality.run_suite(domain.clean_bronze(spark, sf_dir, notes=True), CHECKS)
 
 
 RULES = {"mail": "[a-z0-9._]+@[a-z0-9.]+", "license": "licen[cs]e", "secret": "(api[_-]?key|password|secret)"}

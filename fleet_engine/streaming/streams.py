@@ -24,9 +24,10 @@ def _put(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
-def stream_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """New files of a Parquet table; the checkpoint of the reader remembers which it has seen."""
-    return spark.readStream.schema(schema).parquet(path)
+def stream_table(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
+    """New files of a Parquet table; the checkpoint of the reader remembers which it has seen. ``max_files`` bounds a batch."""
+    reader = spark.readStream.schema(schema)
+    return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).parquet(path)
 
 
 def stream_pending(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
