@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleet_engine.operators.skew import key_counts, salted_join, topk
+from fleet_engine.workspace import stage
 
 BROADCAST_BYTES = 32 << 20
 BLOCK_ROWS = 4096
@@ -130,10 +131,14 @@ class SubstringKernel:
 Kernel = Callable[[pd.DataFrame], "VectorKernel | SubstringKernel"]
 
 
-def _hits(kernel) -> pd.DataFrame:
-    best = kernel.best
-    ids = best.id if best.id is not None else np.empty(0, dtype=np.int64)
-    return pd.DataFrame({"query_id": kernel.ids[best.query], "item_id": ids, "score": best.score})
+def _hits(kernels: list) -> pd.DataFrame:
+    """The hits of all kernels as one frame: with many keys, a frame per key would cost more than the search."""
+    found = [k for k in kernels if len(k.best.query)]
+    if not found:
+        return pd.DataFrame(columns=["query_id", "item_id", "score"])
+    return pd.DataFrame({"query_id": np.concatenate([k.ids[k.best.query] for k in found]),
+                         "item_id": np.concatenate([k.best.id for k in found]),
+                         "score": np.concatenate([k.best.score for k in found])})
 
 
 def _hit_schema(queries: DataFrame, corpus: DataFrame) -> str:
@@ -149,14 +154,14 @@ def _scan(corpus: DataFrame, rows: list, columns: list[str], kernel: Kernel, sch
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kernels = {}
         for batch in batches:
-            for key, part in batch.groupby("block_key", sort=False):
+            for key, positions in batch.groupby("block_key", sort=False).indices.items():
                 if key not in shared.value:
                     continue
                 if key not in kernels:
                     kernels[key] = kernel(shared.value[key])
-                kernels[key].feed(part)
-        for done in kernels.values():
-            yield _hits(done)
+                kernels[key].feed(batch.iloc[positions])
+        if kernels:
+            yield _hits(list(kernels.values()))
 
     return corpus.mapInPandas(run, schema)
 
@@ -188,7 +193,7 @@ def _grid(queries: DataFrame, corpus: DataFrame, kernel: Kernel, schema: str, bl
             return pd.DataFrame(columns=["query_id", "item_id", "score"])
         block = kernel(some)
         block.feed(rows)
-        return _hits(block)
+        return _hits([block])
 
     return left.cogroup(right).applyInPandas(run, schema)
 
@@ -200,6 +205,7 @@ def block_search(queries: DataFrame, corpus: DataFrame, kernel: Kernel, k: int,
     Without ``keyed`` the key is one constant. ``row_bytes`` measures one query; queries are sent to the executors only when together they fit ``broadcast_bytes``.
     """
     queries, corpus = (df.filter(F.col("block_key").isNotNull()) for df in (queries, corpus))
+    queries = stage(queries, "queries")             # measured first, then read again
     schema = _hit_schema(queries, corpus)
     size = queries.agg(F.coalesce(F.sum(row_bytes + F.lit(64)), F.lit(0)).alias("size")).first()["size"]
     if size <= broadcast_bytes:

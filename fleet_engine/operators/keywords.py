@@ -31,21 +31,22 @@ def keyword_search(queries: DataFrame, logs: DataFrame, key: str | None, k: int
     rows = logs.select(F.col(item_id).alias("item_id"), block.alias("block_key"), F.lower(text).alias("text"))
     found = block_search(distinct, rows.filter(F.col("text").isNotNull()), partial(SubstringKernel, k=k), k,
                          4 * F.octet_length("pattern"), key is not None, broadcast_bytes=broadcast_bytes, block_rows=block_rows)
-    return _for_all(asked, found.select("query_id", "item_id", "rank"))
+    return _for_all(asked, distinct, found.select("query_id", "item_id", "rank"))
 
 
 def _once(queries: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Queries with the hash of what they ask, and each question once under its hash: copies are not searched again."""
+    """Queries with the hash of what they ask, and each question once under its smallest query id: copies are not searched
+    again."""
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
     marked = queries.withColumn("_asks", F.sha2(F.concat_ws("\u0001", *parts), 256))
-    distinct = marked.select(F.col("_asks").alias("query_id"), *columns).dropDuplicates(["query_id"])
+    distinct = marked.groupBy("_asks").agg(F.min("query_id").alias("query_id"), *[F.first(c).alias(c) for c in columns])
     return marked.select("query_id", "_asks"), distinct
 
 
-def _for_all(asked: DataFrame, found: DataFrame) -> DataFrame:
+def _for_all(asked: DataFrame, distinct: DataFrame, found: DataFrame) -> DataFrame:
     """Give the hits of a question to every query that asks it."""
-    hits = found.withColumnRenamed("query_id", "_asks")
-    return salted_join(asked, hits, "_asks", "query_id").drop("_asks").select("query_id", *hits.drop("_asks").columns)
+    hits = found.join(distinct.select("query_id", "_asks"), "query_id").drop("query_id")
+    return salted_join(asked, hits, "_asks", "query_id").select("query_id", *[c for c in found.columns if c != "query_id"])
 
 
 def term_counts(docs: DataFrame, id: str, text: str, attributes: tuple[str, ...] = ()) -> DataFrame:
@@ -116,9 +117,9 @@ def bm25_topk(postings: DataFrame, queries: DataFrame, k: int, query_id: str = "
     asked = stage(words.join(index_terms(relevant), "term"), "query-terms")      # as small as the queries
     hot = hot_keys(asked.select("term", "df").distinct(), "term", "df")
     hits = asked.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n")).first()["n"]
-    scores = _partial(relevant, asked, hot) if hits <= direct_hits else _pruned_scores(relevant, asked, k, hot)
+    scores = _partial(postings, asked, hot) if hits <= direct_hits else _pruned_scores(relevant, asked, k, hot)
     total = scores.select("query_id", "doc_id", F.round("score", 6).alias("score"))
-    return _for_all(everyone, topk(total, ["query_id"], [F.col("score").desc(), F.col("doc_id")], k))
+    return _for_all(everyone, distinct, topk(total, ["query_id"], [F.col("score").desc(), F.col("doc_id")], k))
 
 
 def _pruned_scores(relevant: DataFrame, asked: DataFrame, k: int, hot: list) -> DataFrame:

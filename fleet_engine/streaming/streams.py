@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from fleet_engine.operators.clean import clean_sentinel, silver_telemetry
 from fleet_engine.operators.documents import process_pending
 from fleet_engine.operators.keywords import document_lengths, score_postings, term_counts
+from fleet_engine.workspace import spread
 
 
 def _start(stream: DataFrame, checkpoint: str, interval: str | None, each: Callable[[DataFrame, int], None]) -> StreamingQuery:
@@ -65,6 +66,7 @@ def refresh_index(stream: DataFrame, id: str, text: str, index_path: str, checkp
                   attributes: tuple[str, ...] = ()) -> StreamingQuery:
     """Add new documents to the index. Only counts are stored, so earlier batches stay valid as the corpus grows."""
     def each(batch: DataFrame, batch_id: int) -> None:
+        batch = spread(batch, id)
         _put(term_counts(batch, id, text, attributes), f"{index_path}/terms", batch_id)
         _put(document_lengths(batch, id, text), f"{index_path}/docs", batch_id)
 
