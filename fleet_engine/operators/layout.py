@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import time
+import uuid
+from datetime import datetime, timezone
+
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleet_engine.session import tagged
 from fleet_engine.sources.tables import materialize
 from fleet_engine.workspace import stage
 
@@ -33,8 +38,6 @@ def lookup(table: DataFrame, key: str, value) -> DataFrame:
 def _running(df: DataFrame, order: str, values: list[str]) -> DataFrame:
     """Running totals over a global order without sorting everything in one task: totals inside range partitions, plus the
     sums of the partitions before (one small row per partition)."""
-    from pyspark.sql import Window
-
     # written once, so that both readers see the same partition numbers
     parts = stage(df.repartitionByRange(order).withColumn("_part", F.spark_partition_id()), "ranges")
     sums = parts.groupBy("_part").agg(*[F.sum(v).alias(f"_sum_{v}") for v in values])
@@ -141,6 +144,20 @@ def refresh_mv(df: DataFrame, name: str, path: str) -> DataFrame:
     return materialize(df, name, "table", "overwrite", path)
 
 
+TRACK_SCHEMA = ("query_id string, query_text string, query_tag string, start_time timestamp_ntz, elapsed_ms bigint, "
+                "rows_written bigint")
+
+
+def tracked_write(df: DataFrame, path: str, history: str, tag: str, text: str) -> None:
+    """Write a table under a job tag and append what ran to the history table; rows are counted while they are written."""
+    spark, seen, started = df.sparkSession, Observation(), time.time()
+    with tagged(spark, tag, text):
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    row = (uuid.uuid4().hex, text, tag, datetime.fromtimestamp(started, timezone.utc).replace(tzinfo=None),
+           round((time.time() - started) * 1000), seen.get["n"])
+    spark.createDataFrame([row], TRACK_SCHEMA).coalesce(1).write.mode("append").parquet(history)
+
+
 LOG_SCHEMA = T.StructType([
     T.StructField("Event", T.StringType()),
     T.StructField("Job ID", T.LongType()),

@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleet_engine.operators.clean import clean_sentinel, fault_base, silver_telemetry
-from fleet_engine.operators.enrich import answer_column, classify_keywords, fit_lexicon, sentiment, summarize
+from fleet_engine.operators.clean import clean_sentinel, silver_telemetry
+from fleet_engine.operators.enrich import fit_lexicon
+from fleet_engine.plans.medallion import score_faults, score_telemetry
 from fleet_engine.workspace import spread
 
 AS_OF = "2024-01-31 00:00:00"
@@ -70,12 +71,7 @@ def silver(spark: SparkSession, sf_dir: str, notes: bool = False) -> DataFrame:
 
 def silver_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver with summary and category of each note; rows without a note keep NULLs."""
-    rows = silver(spark, sf_dir, notes=True)
-    notes = rows.filter(F.col("mechanic_notes").isNotNull()).select("event_id", "mechanic_notes")
-    scores = (summarize(notes, "event_id", "mechanic_notes").select("event_id", F.col("summary").alias("log_summary"))
-              .join(classify_keywords(notes, "event_id", "mechanic_notes", LANGUAGE_RULES)
-                    .withColumnRenamed("category", "fault_category"), "event_id"))
-    return rows.join(scores, "event_id", "left")
+    return score_telemetry(silver(spark, sf_dir, notes=True), "event_id", LANGUAGE_RULES)
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,11 +85,7 @@ def learned_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults with a note, scored by the lexicon learned from the labels."""
-    notes = fault_base(bronze(spark, sf_dir), keep=("event_id",))
-    scores = (sentiment(notes, "event_id", "raw_log", learned_lexicon(spark, sf_dir))
-              .withColumnRenamed("sentiment", "driver_frustration_score"))
-    return notes.join(scores, "event_id").withColumn(
-        "target_component_extracted", F.get(answer_column("raw_log", COMPONENT_QUESTION), 0)["answer"])
+    return score_faults(bronze(spark, sf_dir), "event_id", learned_lexicon(spark, sf_dir), COMPONENT_QUESTION)
 
 
 def manuals(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from fleet_engine.operators import aggregates, documents, joins, ranking
 from fleet_engine.operators.clean import STAMP
 from fleet_engine.operators.skew import topk
-from fleet_engine.plans import domain
-from fleet_engine.plans.domain import FAULTS_SQL, MANUALS_SQL, REQUESTS_SQL, SCORED_SQL, SILVER_SQL, STAMP_SQL, vin_sql
+from fleet_engine.plans import domain, medallion
+from fleet_engine.plans.domain import FAULTS_SQL, MANUALS_SQL, REQUESTS_SQL, SCORED_SQL, SILVER_SQL, STAMP_SQL, summary_sql
 from fleet_engine.plans.queries_ingest import TEXT_BLOCKS_SQL, experiment_runs
 from fleet_engine.plans.queries_text import AUDIT_SQL, JUDGED_SQL, TRUTH_JOIN_SQL, audit, judged
 from fleet_engine.plans.registry import query
@@ -130,6 +130,16 @@ def gold_dealership(spark, sf_dir):
         F.size("full_vehicle_history_summaries").cast("long").alias("n_summaries"), F.size("vehicle_history_embedding").alias("dim"))
 
 
+@query("f0_fault_analysis", f"""WITH {FAULTS_SQL}, {summary_sql('notes', 'event_id', 'raw_log')}
+SELECT event_id, fault_id, vin_masked, driver_frustration_score, target_component_extracted, summary AS concise_fault_summary
+FROM faults JOIN summaries USING (event_id)""")
+def fault_analysis(spark, sf_dir):
+    model = medallion.fault_analysis(domain.bronze(spark, sf_dir), "event_id", domain.learned_lexicon(spark, sf_dir),
+                                     domain.COMPONENT_QUESTION)
+    return model.select("event_id", "fault_id", "vin_masked", "driver_frustration_score", "target_component_extracted",
+                        "concise_fault_summary")
+
+
 # the mean times the count has the few decimals of the scores; the mean itself may lie on a rounding edge
 FAULT_SUMMARY_COLUMNS = f"""vin_masked, count(*) AS total_fault_count,
        round(avg(driver_frustration_score) * count(*), 6) AS total_frustration,

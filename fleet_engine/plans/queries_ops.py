@@ -294,6 +294,15 @@ def snapshot_diff(spark, sf_dir):
     return layout.snapshot_diff(a, b, ["vin_reference"])
 
 
+@query("m5_tracked_write", " UNION ALL ".join(f"SELECT 'fleet.{t}' AS query_tag, 'copy {t}' AS query_text, count(*) AS rows_written FROM {t}"
+                                               for t in ("events", "conversations", "lineitem")))
+def tracked_write(spark, sf_dir):
+    history = run_dir(spark, "history")
+    for table in ("events", "conversations", "lineitem"):
+        layout.tracked_write(domain.read(spark, sf_dir, table), run_dir(spark, table), history, f"fleet.{table}", f"copy {table}")
+    return spark.read.parquet(history).select("query_tag", "query_text", "rows_written")
+
+
 @query("m6_refresh_mv", FAULT_SUMMARY_SQL)
 def refresh_mv(spark, sf_dir):
     path = run_dir(spark, "mv")

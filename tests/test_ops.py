@@ -203,6 +203,14 @@ def test_metrics_layer(spark):
     assert worst.first()["fault_id"] == "f1"
 
 
+def test_tracked_write(spark, tmp_path):
+    for n in (3, 5):
+        layout.tracked_write(spark.range(n), str(tmp_path / "t"), str(tmp_path / "h"), "fleet.ml", f"write {n}")
+    got = spark.read.parquet(str(tmp_path / "h"))
+    assert rows(got.select("query_text", "query_tag", "rows_written")) == [("write 3", "fleet.ml", 3), ("write 5", "fleet.ml", 5)]
+    assert got.filter("elapsed_ms >= 0 and start_time is not null").count() == 2 and spark.read.parquet(str(tmp_path / "t")).count() == 5
+
+
 HISTORY_JOB = """
 import sys
 sys.path.insert(0, {root!r})
