@@ -69,6 +69,12 @@ def _polarity(pos: Column, neg: Column) -> Column:
     return F.when(pos + neg > 0, (pos - neg) / (pos + neg)).otherwise(F.lit(0.0))
 
 
+def sentiment_column(words: Column) -> Column:
+    """Sentiment of a word list by the built-in lexicon."""
+    score = _polarity(_count_in(words, POSITIVE_WORDS), _count_in(words, NEGATIVE_WORDS))
+    return F.round(F.coalesce(score, F.lit(0.0)), 6)
+
+
 def sentiment(df: DataFrame, id: str, text: str, lexicon: DataFrame | None = None) -> DataFrame:
     """Score in [-1, 1]: (positive - negative) / (positive + negative), 0 without a listed word.
 
@@ -76,9 +82,7 @@ def sentiment(df: DataFrame, id: str, text: str, lexicon: DataFrame | None = Non
     words of the texts; ``docs`` tells which terms are frequent.
     """
     if lexicon is None:
-        words = df.select(id, tokens(text).alias("_w"))
-        score = _polarity(_count_in(F.col("_w"), POSITIVE_WORDS), _count_in(F.col("_w"), NEGATIVE_WORDS))
-        return words.select(id, F.round(F.coalesce(score, F.lit(0.0)), 6).alias("sentiment"))
+        return df.select(id, tokens(text).alias("_w")).select(id, sentiment_column(F.col("_w")).alias("sentiment"))
     words = explode_each(df, [id], tokens(text), "term")
     hits = frequent_join(words, lexicon, "term", "docs").select(id, "weight")
     every = df.select(id, F.lit(0.0).alias("weight"))          # texts without a listed word count as 0

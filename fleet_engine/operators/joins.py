@@ -64,8 +64,12 @@ def assemble_context(requests: DataFrame, manuals: DataFrame, logs: DataFrame, k
     return joined.withColumn("context", F.when(named, known).otherwise(F.lit(NO_VEHICLE))).drop("manual_context", "log_context")
 
 
-def apply_experiments(requests: DataFrame, registry: DataFrame, provider: str = "SNOWFLAKE",
-                      prompt_version: str = "diagnostic_expert_json") -> DataFrame:
+# Provider and prompt version of a request without an experiment.
+DEFAULT_PROVIDER, DEFAULT_PROMPT_VERSION = "SNOWFLAKE", "diagnostic_expert_json"
+
+
+def apply_experiments(requests: DataFrame, registry: DataFrame, provider: str = DEFAULT_PROVIDER,
+                      prompt_version: str = DEFAULT_PROMPT_VERSION) -> DataFrame:
     """Provider and prompt version per request: the experiment's where it names one, else the defaults."""
     known = registry.select(F.col("id").alias("experiment_id"), F.col("llm_provider").alias("_p"),
                             F.col("prompt_version").alias("_v"))

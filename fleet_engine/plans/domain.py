@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from fleet_engine.operators.clean import clean_sentinel, silver_telemetry
 from fleet_engine.operators.enrich import fit_lexicon
 from fleet_engine.plans.medallion import score_faults, score_telemetry
-from fleet_engine.workspace import spread
+from fleet_engine.workspace import spread, stage
 
 AS_OF = "2024-01-31 00:00:00"
 COMPONENT_QUESTION = "What was the specific vehicle component mentioned? In the end, or on the whole?"
@@ -71,7 +71,7 @@ def silver(spark: SparkSession, sf_dir: str, notes: bool = False) -> DataFrame:
 
 def silver_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver with summary and category of each note; rows without a note keep NULLs."""
-    return score_telemetry(silver(spark, sf_dir, notes=True), "event_id", LANGUAGE_RULES)
+    return score_telemetry(stage(silver(spark, sf_dir, notes=True), "silver"), "event_id", LANGUAGE_RULES)
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -163,3 +163,19 @@ def test_guard_vin_and_context(spark):
     asked = spark.createDataFrame([(1, "E1"), (2, "E9"), (3, None)], "request_id int, experiment_id string")
     assert rows(joins.apply_experiments(asked, registry).select("request_id", "provider", "prompt_version")) == [
         (1, "OPENAI", "v2"), (2, "SNOWFLAKE", "diagnostic_expert_json"), (3, "SNOWFLAKE", "diagnostic_expert_json")]
+
+
+def test_silver_models(spark):
+    from fleet_engine.plans import medallion
+
+    silver = spark.createDataFrame([(1, "Engine misfire. Fuel fine. Fuel fine"), (2, None), (3, "brake pads worn")], "event_id long, mechanic_notes string")
+    got = {r["event_id"]: (r["log_summary"], r["fault_category"]) for r in medallion.score_telemetry(silver, "event_id").collect()}
+    assert got == {1: ("Engine misfire", "ENGINE"), 2: (None, None), 3: ("brake pads worn", "BRAKES")}
+    bronze = spark.createDataFrame([(1, "VIN0001234", "P1", "Broken pump. All good good", "2024-01-01 00:00:00"), (2, "V", "P1", "", "2024-01-01 00:00:00"),
+                                    (3, "V", None, "component pump failed", "2024-01-01 00:00:00")],
+                                   "event_id long, vin string, error_code string, log_text string, recorded_at string")
+    bronze = bronze.withColumn("recorded_at", F.col("recorded_at").cast("timestamp_ntz"))
+    faults = {r["event_id"]: r for r in medallion.fault_analysis(bronze, "event_id").collect()}
+    assert set(faults) == {1, 3} and faults[1]["vin_masked"] == "***-***-1234" and faults[3]["fault_id"] is None
+    assert faults[1]["driver_frustration_score"] == round(1 / 3, 6) and faults[3]["driver_frustration_score"] == -1.0
+    assert faults[3]["target_component_extracted"] == "component pump failed" and faults[1]["target_component_extracted"] is None
