@@ -33,7 +33,8 @@ def _ordered(order: str, value: str):
 def gold_history(silver: DataFrame, order: str = "event_id", page_rows: int = PAGE_ROWS) -> DataFrame:
     """Summaries and categories per vehicle as arrays in ``order``; ``fault_categories_distinct`` has no repeats.
 
-    An array holds about ``page_rows`` entries at most: vehicles with more rows have several pages, together whole.
+    An array holds about ``page_rows`` entries at most: vehicles with more rows have several pages, together whole. The rows
+    are counted first, so ``silver`` should be a written table.
     """
     return (with_page(silver, "vin_reference", order, page_rows).groupBy("vin_reference", "page").agg(
         _ordered(order, "log_summary").alias("full_vehicle_history_summaries"),

@@ -70,8 +70,9 @@ def silver(spark: SparkSession, sf_dir: str, notes: bool = False) -> DataFrame:
 
 
 def silver_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver with summary and category of each note; rows without a note keep NULLs."""
-    return score_telemetry(stage(silver(spark, sf_dir, notes=True), "silver"), "event_id", LANGUAGE_RULES)
+    """Silver with summary and category of each note, written: histories count the rows before they read them."""
+    rows = spread(stage(silver(spark, sf_dir, notes=True), "silver"), "event_id")
+    return stage(score_telemetry(rows, "event_id", LANGUAGE_RULES), "scored")
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from fleet_engine.functions.text import tokens
 from fleet_engine.operators.clean import fault_base
 from fleet_engine.operators.enrich import (FAULT_RULES, answer_column, category_votes, sentiment, sentiment_column,
                                            summarize)
-from fleet_engine.workspace import stage
+from fleet_engine.workspace import spread, stage
 
 # Fixed value: what the fault model asks each note.
 COMPONENT_QUESTION = "What was the specific vehicle component mentioned?"
@@ -41,6 +41,7 @@ def score_faults(bronze: DataFrame, id: str, lexicon: DataFrame | None = None, q
 
 def fault_analysis(bronze: DataFrame, id: str, lexicon: DataFrame | None = None, question: str = COMPONENT_QUESTION) -> DataFrame:
     """``score_faults`` with a one-sentence summary per note."""
-    faults = stage(score_faults(bronze, id, lexicon, question), "faults")      # the summary reads the notes three times
+    # written because the summary reads the notes three times
+    faults = spread(stage(score_faults(bronze, id, lexicon, question), "faults"), id)
     summaries = summarize(faults, id, "raw_log").select(id, F.col("summary").alias("concise_fault_summary"))
     return faults.join(summaries, id)

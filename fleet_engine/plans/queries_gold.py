@@ -13,7 +13,7 @@ from fleet_engine.plans.queries_ingest import TEXT_BLOCKS_SQL, experiment_runs
 from fleet_engine.plans.queries_text import AUDIT_SQL, JUDGED_SQL, TRUTH_JOIN_SQL, audit, judged
 from fleet_engine.plans.registry import query
 from fleet_engine.sources import tables
-from fleet_engine.workspace import run_dir, stage
+from fleet_engine.workspace import run_dir, spread
 
 NOW = domain.AS_OF
 
@@ -124,7 +124,7 @@ def gold_context(spark, sf_dir):
 @query("f4_gold_dealership", f"""WITH {HISTORY_SQL}, {GOLD_SQL.split(', gold AS (')[1].join(['gold AS (', ''])}
 SELECT vin_reference, total_critical_errors, max_engine_temp_recorded, n_summaries, 768 AS dim FROM gold JOIN history USING (vin_reference)""")
 def gold_dealership(spark, sf_dir):
-    scored = stage(domain.silver_scored(spark, sf_dir), "silver")
+    scored = spread(domain.silver_scored(spark, sf_dir), "event_id")
     return aggregates.gold_dealership(scored, NOW).select(
         "vin_reference", "total_critical_errors", "max_engine_temp_recorded",
         F.size("full_vehicle_history_summaries").cast("long").alias("n_summaries"), F.size("vehicle_history_embedding").alias("dim"))

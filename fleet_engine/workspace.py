@@ -44,7 +44,8 @@ def broadcast_bounded(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal a small input that sits in a few unsplittable files out to all cores. Inputs with enough partitions, which is all
-    large ones, stay as they are and are not shuffled."""
+    """Deal a small table that sits in a few unsplittable files out to all cores. Tables with enough partitions, which is all
+    large ones, stay as they are and are not shuffled. Meant for tables as read: asking a longer plan for its partitions
+    would run its shuffles."""
     cores, parts = df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
     return df if parts >= cores else df.repartition(min(cores, 8 * parts), *keys)
