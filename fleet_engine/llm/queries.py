@@ -14,7 +14,8 @@ from fleet_engine.llm.line_dedup import line_dedup
 from fleet_engine.llm.packing import pack
 from fleet_engine.llm.quality_rules import quality_rules, train_quality
 from fleet_engine.llm.sharding import shard_documents
-from fleet_engine.llm.sql import JACCARD_SQL, LICENSES_SQL, LINES_SQL, WARC_SQL
+from fleet_engine.llm.sql import JACCARD_SQL, LICENSES_SQL, LINES_SQL, REPEATS_SQL, WARC_SQL
+from fleet_engine.llm.suffixes import remove_repeats
 from fleet_engine.llm.toxicity import score_toxicity, train_toxicity
 from fleet_engine.llm.warc import read_records, write_archive
 from fleet_engine.workspace import run_dir
@@ -56,6 +57,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), digest_only=True)
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules(docs, train_quality(docs, table(spark, sf_dir, "labels")))
@@ -66,5 +71,6 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_toxicity, op3_license_scan, op4_warc, op5_packing, op6_jaccard_join, op7_line_dedup,
-                                   op9_quality, op10_decontamination)}
-ORACLE = {"op3_license_scan": LICENSES_SQL, "op4_warc": WARC_SQL, "op6_jaccard_join": JACCARD_SQL, "op7_line_dedup": LINES_SQL}
+                                   op8_suffix_dedup, op9_quality, op10_decontamination)}
+ORACLE = {"op3_license_scan": LICENSES_SQL, "op4_warc": WARC_SQL, "op6_jaccard_join": JACCARD_SQL, "op7_line_dedup": LINES_SQL,
+          "op8_suffix_dedup": REPEATS_SQL}

@@ -47,7 +47,7 @@ def _licenses_sql() -> str:
     """Words stand between two blanks here, so that a match can take the blanks at its ends and leave the neighbours theirs."""
     wide = lambda text: text.replace(" ", "  ")
     table = ", ".join(f"({i}, {r.tier}, {_quote(r.label)}, {_quote(wide(r.keyword))}, {_quote(' (?:' + wide(r.pattern) + ') ')})" for i, r in enumerate(rules()))
-    base = ", ".join(f"({_quote(wide(f' {p} '))}, {_quote(label)})" for p, label in BASE.items())
+    base = ", ".join(f"({_quote(' ' + wide(p) + ' ')}, {_quote(label)})" for p, label in BASE.items())
     sure = " ".join(f"WHEN {t} THEN {v}" for t, v in CONFIDENCE.items())
     return f"""WITH rules(rule, tier, label, keyword, pattern) AS (VALUES {table}),
  base(phrase, label) AS (VALUES {base}),
@@ -60,8 +60,8 @@ def _licenses_sql() -> str:
  kept AS (SELECT * FROM dets d WHERE NOT EXISTS (SELECT 1 FROM dets o WHERE o.doc_id = d.doc_id AND o.tier <= d.tier AND o.e >= d.e
      AND (o.b < d.b OR (o.b = d.b AND (o.e > d.e OR (o.e = d.e AND (o.tier < d.tier OR (o.tier = d.tier AND o.rule < d.rule)))))))),
  named AS (SELECT doc_id, list(DISTINCT label) AS labels, max(CASE tier {sure} END)::DOUBLE AS score FROM kept GROUP BY doc_id),
- hits AS (SELECT doc_id, label, unnest(list_filter(range(1, length(s) + 1), lambda i: substr(s, i, length(phrase)) = phrase)) AS at, s FROM w JOIN base ON contains(s, phrase)),
- at_word AS (SELECT doc_id, label, (length(substr(s, 1, at)) - length(replace(substr(s, 1, at), ' ', '')) - 1) // 2 AS word FROM hits),
+ hits AS (SELECT doc_id, label, unnest(list_filter(range(1, length(s) + 1), lambda i: substr(s, i, length(phrase)) = phrase)) AS spot, s FROM w JOIN base ON contains(s, phrase)),
+ at_word AS (SELECT doc_id, label, (length(substr(s, 1, spot)) - length(replace(substr(s, 1, spot), ' ', '')) - 1) // 2 AS word FROM hits),
  based AS (SELECT doc_id, count(*) AS n_base, min(word) AS first_word, max(word) AS last_word, list(DISTINCT label) AS labels FROM at_word GROUP BY doc_id)
 SELECT w.doc_id, (CASE WHEN s = '  ' THEN 0 ELSE (length(s) - length(replace(s, ' ', ''))) // 2 END)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
        first_word::BIGINT AS first_word, last_word::BIGINT AS last_word, coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
@@ -71,3 +71,15 @@ FROM w LEFT JOIN based b USING (doc_id) LEFT JOIN named n USING (doc_id)"""
 
 
 LICENSES_SQL = _licenses_sql()
+
+REPEATS_SQL = """WITH b AS (SELECT row_number() OVER () AS r, doc_id, hex(coalesce(text, '')) AS x, strlen(coalesce(text, ''))::BIGINT AS n FROM documents),
+ w AS (SELECT r, p, md5_number(substr(x, (2 * p + 1)::BIGINT, 400)) AS h FROM (SELECT r, x, unnest(range(0, n - 199)) AS p FROM b WHERE n >= 200)),
+ d AS (SELECT r, p, lag(p) OVER (PARTITION BY r ORDER BY p) AS before FROM (SELECT r, p, count(*) OVER (PARTITION BY h) AS c FROM w) WHERE c > 1),
+ i AS (SELECT r, p, count(*) FILTER (WHERE before IS NULL OR p > before + 200) OVER (PARTITION BY r ORDER BY p) AS island FROM d),
+ s AS (SELECT r, island, min(p) AS low, max(p) + 200 AS high FROM i GROUP BY r, island),
+ e AS (SELECT s.*, coalesce(lag(high) OVER (PARTITION BY r ORDER BY low), 0) AS since FROM s),
+ k AS (SELECT e.r, sum(high - low)::BIGINT AS n_removed, count(*) AS n_spans, max(high) AS last,
+              string_agg(substr(x, (2 * since + 1)::BIGINT, (2 * (low - since))::BIGINT), '' ORDER BY low) AS head FROM e JOIN b ON b.r = e.r GROUP BY e.r)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(x, (2 * coalesce(last, 0) + 1)::BIGINT))) AS kept_sha256
+FROM b LEFT JOIN k ON k.r = b.r"""
