@@ -59,7 +59,7 @@ def _fit(triples, y, ids) -> bytes:
     for rounds in (40, 80):      # all n-grams first, then those whose weight is worth keeping
         used = np.flatnonzero(ratio[bucket])
         owner, bucket = owner[used], bucket[used]
-        w, b = fit_logistic(owner, bucket, ratio[bucket], y, size, l2=1e-5, rounds=rounds, rate=0.02)
+        w, b = fit_logistic(owner, bucket, ratio[bucket], y, size, l2=1e-3, rounds=rounds, rate=0.02)
         weights = w * ratio
         ratio[np.abs(weights) < LEAST_WEIGHT * np.abs(weights).max()] = 0.0
     weights = (w * ratio).astype(np.float32)
