@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fleet_engine.workspace import stage
 
-ROUNDS = 4             # rounds of moves; links of equal texts settle in two or three
+ROUNDS = 6             # rounds of moves; links of equal texts settle in two or three unless shards are full
 BUCKET_ROWS = 20_000   # rows that are numbered together; the number of buckets grows with the data
 
 
@@ -23,7 +23,8 @@ def propagate(members: DataFrame, quota: list[int], rounds: int = ROUNDS) -> Dat
 
     ``members`` (id, link) says which rows a link holds; a link may hold two rows or any number, so a hundred thousand copies are one link and not all
     their pairs. Every round counts the rows of each link per shard (combined before the shuffle, one narrow row per link), lets every member see the
-    sums over its links, itself included, and moves it to the shard with most neighbours that still has room. The rows that want to come to a
+    sums over its links, itself included, and moves it to the shard with most neighbours: in even rounds any shard, whose room then counts half of the rows
+    that want to leave it, in odd rounds one that still has room. The rows that want to come to a
     shard are admitted up to its room by a hash of their link, whole links together; a link with more members than that is split by a hash of the id.
     ``quota`` bounds the linked rows per shard up to the chance of that hash; the caller makes the counts exact.
     """
@@ -42,14 +43,16 @@ def propagate(members: DataFrame, quota: list[int], rounds: int = ROUNDS) -> Dat
             *(F.count(F.when(F.col("shard") == s, 1)).alias(n) for s, n in enumerate(names)))
         seen = members.join(stage(spread, "shard-counts"), "link").groupBy("id").agg(*(F.sum(n).alias(n) for n in names))
         room = [quota[s] - load.get(s, 0) for s in range(shards)]
-        wish = stage(labels.join(seen, "id").select("id", "_home", "_size", "shard", _wish([F.col(n) for n in names], room, F.col("_home")).alias("_to")), "shard-wishes")
+        wish = stage(labels.join(seen, "id").select("id", "_home", "_size", "shard", _wish([F.col(n) for n in names], [1] * shards if turn % 2 == 0 else room, F.col("_home")).alias("_to")), "shard-wishes")
         flows = wish.filter("_to <> shard").groupBy("_to").agg(F.count(F.lit(1)).alias("n")).collect()                 # one row per shard
-        if not flows:
+        if not flows and turn % 2:
             labels = wish.select("id", "_home", "_size", "shard")
             break
+        leaving = {r["shard"]: r["n"] for r in wish.filter("_to <> shard").groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
         share = F.lit(0.0)
         for r in flows:
-            share = F.when(F.col("_to") == r["_to"], F.lit(min(1.0, max(0.0, room[r["_to"]] / r["n"])))).otherwise(share)
+            place = room[r["_to"]] + (leaving.get(r["_to"], 0) / 2 if turn % 2 == 0 else 0)
+            share = F.when(F.col("_to") == r["_to"], F.lit(min(1.0, max(0.0, place / r["n"])))).otherwise(share)
         big = F.col("_size") > min(max(1, r) for r in quota) // 8
         draw = F.pmod(F.xxhash64(F.when(big, F.xxhash64("id")).otherwise(F.xxhash64("_home")), F.col("_to"), F.lit(turn)), F.lit(1 << 20)) / float(1 << 20)
         moved = wish.select("id", "_home", "_size", F.when(draw < share, F.col("_to")).otherwise(F.col("shard")).alias("shard"))
