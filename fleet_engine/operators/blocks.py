@@ -77,12 +77,14 @@ class VectorKernel:
         for start in range(0, len(self.ids), step):
             part = slice(start, start + step)
             approx = self.square[part, None] + square[None, :] - 2.0 * (self.matrix[part] @ rows.T)
-            # the product form loses the last digits, so it only selects; survivors are measured again exactly
+            # the product form loses the last digits, the more the longer the vectors, so it only selects; survivors are measured again exactly
+            unit = np.finfo(float).eps * (64 + rows.shape[1])
+            error = unit * (self.square[part, None] + square[None, :])
             bound = np.minimum(self.best.limit[part], self.radius) + 1e-5
             if len(rows) > self.best.k:
                 kth = np.partition(approx, self.best.k - 1, axis=1)[:, self.best.k - 1]
-                bound = np.minimum(bound, np.sqrt(np.maximum(kth, 0.0)) + 1e-5)
-            q, c = np.nonzero(approx <= (bound ** 2)[:, None])
+                bound = np.minimum(bound, np.sqrt(np.maximum(kth + error.max(axis=1), 0.0)) + 1e-5)
+            q, c = np.nonzero(approx - error <= (bound ** 2)[:, None])
             exact = np.round(np.sqrt(((self.matrix[part][q] - rows[c]) ** 2).sum(axis=1)), DECIMALS)
             near = exact < self.radius
             self.best.offer(q[near] + start, exact[near], ids[c[near]])

@@ -36,7 +36,8 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def vin(col: str = "user_id"):
-    return F.concat(F.lit("VIN"), F.lpad(F.col(col).cast("string"), 10, "0"))
+    number = F.col(col).cast("string")
+    return F.concat(F.lit("VIN"), F.when(F.length(number) < 10, F.lpad(number, 10, "0")).otherwise(number))     # longer ids are never cut
 
 
 def vehicle_of_event(spark: SparkSession, sf_dir: str, id: str) -> DataFrame:
@@ -151,7 +152,7 @@ def sentences_sql(text: str) -> str:
 
 
 def vin_sql(col: str = "user_id") -> str:
-    return f"('VIN' || lpad({col}::VARCHAR, 10, '0'))"
+    return f"('VIN' || lpad({col}::VARCHAR, greatest(length({col}::VARCHAR), 10)::INT, '0'))"
 
 
 def votes_sql(words: str, rules: dict[str, list[str]]) -> str:

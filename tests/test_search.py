@@ -172,3 +172,20 @@ def test_fusion(spark):
     assert found[1]["search_confidence"] == round(0.7 * 0.82 + 0.3 * 0.9, 6) and found[1]["sources"] == ["manual", "log"]
     assert found[2]["search_confidence"] == 0.35 and found[2]["sources"] == []
     assert found[2]["context"] == "Manual Context: Fallback: Check sensor. | Log Context: No log match"
+
+
+def test_long_vectors_keep_their_near_neighbours():
+    """Vectors of norm 8,000 with copies a millionth apart: the product form alone cannot tell them apart."""
+    import numpy as np
+    import pandas as pd
+
+    from fleet_engine.operators.blocks import VectorKernel
+
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(60, 64)) * 1000
+    corpus = np.concatenate([base + rng.normal(size=base.shape) * 1e-6 for _ in range(5)])
+    ids = np.arange(len(corpus))
+    kernel = VectorKernel(pd.DataFrame({"query_id": np.arange(60), "embedding": list(base)}), 1)
+    kernel.feed(pd.DataFrame({"item_id": ids, "embedding": list(corpus)}))
+    exact = np.array([np.sqrt(((corpus - q) ** 2).sum(axis=1)).min() for q in base])
+    assert np.allclose(kernel.best.limit, exact, atol=2e-6)
