@@ -8,8 +8,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TASK_CHARS = 1 << 20   # characters handled by one vectorised step
+FILTER_BITS = 26       # a key filter is a bitmap of 2^26 bits, 8 MB at any size of the data
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,3 +72,32 @@ def gram_hashes(points: np.ndarray, starts: np.ndarray, orders: Iterable[int]) -
 
 def segment_sums(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(owner, weights=values, minlength=n) if len(values) else np.zeros(n)
+
+
+class KeyFilter:
+    """Which 64-bit hashes are worth a shuffle: a bitmap of fixed size by their upper bits, sent to all tasks before a join.
+
+    It never misses a key. Where the keys are so many that most bits are set, it stops sparing rows and the join alone decides, as it does anyway.
+    """
+
+    def __init__(self, rows: DataFrame, key: str):
+        bit = F.shiftrightunsigned(key, 64 - FILTER_BITS)
+        one = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("_bit").bitwiseAND(63).cast("int"))
+        words = (rows.select(bit.alias("_bit")).groupBy(F.shiftrightunsigned("_bit", 6).cast("int").alias("w")).agg(F.bit_or(one).alias("b"))).toPandas()
+        bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)     # at most 2^20 words reach the driver
+        bits[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64)
+        self.bits = rows.sparkSession.sparkContext.broadcast(bits.view(np.uint64))
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        bit = keys.view(np.uint64) >> np.uint64(64 - FILTER_BITS)
+        return ((self.bits.value[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1)).astype(bool)
+
+    def keep(self, df: DataFrame, key: str) -> DataFrame:
+        """Rows of ``df`` whose long column ``key`` may be among the keys."""
+        at, has = df.columns.index(key), self.has
+
+        def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(has(batch.column(at).to_numpy(zero_copy_only=False))))
+
+        return df.mapInArrow(pick, df.schema)

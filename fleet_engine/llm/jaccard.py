@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleet_engine.llm.common import gram_hashes, joined, text_chunks
+from fleet_engine.llm.common import KeyFilter, gram_hashes, joined, text_chunks
 from fleet_engine.llm.components import components
 from fleet_engine.llm.quality_rules import word_hashes
 from fleet_engine.workspace import stage
@@ -188,7 +188,8 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  pa.array([hashlib.md5(s.tobytes()).digest() for s in sets], pa.binary())], ["_digest", "v", "copies", "tasks", "grams", "_own"])
 
     # an id that stands in several rows may have several texts: only the one with the vertex's digest counts, once
-    texts = given.join(wanted, given["_id"] == wanted["_first"]).select("_text", "_digest", "v", "copies", "tasks")
+    asked = KeyFilter(wanted.select(F.xxhash64("_first").alias("_k")), "_k").keep(given.withColumn("_k", F.xxhash64("_id")), "_k")
+    texts = asked.hint("merge").join(wanted, F.col("_id") == F.col("_first")).select("_text", "_digest", "v", "copies", "tasks")
     task_type = "array<struct<task:bigint,unit:bigint,side:int>>"
     sets = (texts.mapInArrow(sets_of, f"_digest binary, v bigint, copies bigint, tasks {task_type}, grams binary, _own binary")
             .filter("_own = _digest").select("v", "copies", "grams", F.explode("tasks").alias("t")).select("v", "copies", "grams", "t.task", "t.unit", "t.side"))
