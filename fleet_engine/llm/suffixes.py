@@ -15,15 +15,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleet_engine.llm.common import KeyFilter
 from fleet_engine.workspace import run_dir, stage
 
 WINDOW = 200                 # bytes; a string of this length that starts anywhere else too is removed
 PREFIX = 64                  # bytes by which suffixes are sampled and sorted
 BACK = WINDOW - PREFIX       # a window begins at most so many bytes before its sampled suffix
-BATCHES = 4                  # batches in which a table enters the family
+BATCHES = 2                  # batches in which a table enters the family
 SLICE = 1 << 20              # bytes handled by one vectorised step; longer texts are cut into overlapping slices
-FILTER_BITS = 26             # repeated fingerprints and their texts are marked in a bitmap of 2^26 bits, 8 MB at any size of the data
-HOT = 2_000                  # contexts of one prefix that a task compares; with more, their windows are counted by Spark instead
+HOT = 16_000                 # contexts of one prefix that a task compares; with more, their windows are counted by Spark instead
 PACK = 4_000                 # contexts per task, about
 NONE = np.uint64(2 ** 64 - 1)
 
@@ -176,55 +176,35 @@ class SuffixLevels:
         return found
 
 
-def _bitmap(rows: DataFrame, key: str) -> np.ndarray:
-    """A bit for each key's upper ``FILTER_BITS`` bits, of fixed size. It spares rows without a match a shuffle; a bit too many does no harm."""
-    bit = F.shiftrightunsigned(key, 64 - FILTER_BITS)
-    words = (rows.select(bit.alias("_bit")).groupBy(F.shiftrightunsigned("_bit", 6).cast("int").alias("w"))
-             .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("_bit").bitwiseAND(63).cast("int"))).alias("b"))).toPandas()
-    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    out[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64)
-    return np.unpackbits(out.view(np.uint8), bitorder="little")
-
-
-def _in_bitmap(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    return np.unpackbits(bits, bitorder="little")[(keys.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)].astype(bool)
-
-
-def _share(spark: SparkSession, bits: np.ndarray):
-    return spark.sparkContext.broadcast(np.packbits(bits, bitorder="little"))
-
-
-def _window_prints(context: bytes, back: int) -> np.ndarray:
-    """Hash of each whole window of a context; the first begins ``back`` bytes before the sampled suffix."""
+def _windows_of(contexts: pd.Series, back: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, bytes from window start to suffix, hash) of all whole windows of the contexts that hold their suffix's prefix."""
     values, up, down = _powers()
-    raw = np.frombuffer(context, np.uint8)
-    with np.errstate(over="ignore"):
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values[raw] * up[:len(raw)])])
-        n = len(raw) - WINDOW + 1
-        return _stir((sums[WINDOW:] - sums[:n]) * down[:n])
-
-
-def _windows_of(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, bytes from window start to suffix, hash) of all whole windows that hold the suffix's prefix."""
-    rows, ds, hs = [], [], []
-    for i, (context, back) in enumerate(zip(pdf["bytes"], pdf["back"])):
-        h = _window_prints(context, back)[:back + 1]
-        rows.append(np.full(len(h), i))
-        ds.append(back - np.arange(len(h)))
-        hs.append(h)
-    return np.concatenate(rows), np.concatenate(ds), np.concatenate(hs)
+    sizes = contexts.map(len).to_numpy(np.int64)
+    out, first = [], 0
+    while first < len(sizes):
+        last = max(first + 1, int(np.searchsorted(np.cumsum(sizes[first:]), SLICE, "right")) + first)
+        raw = np.frombuffer(b"".join(contexts.iloc[first:last]), np.uint8)
+        starts = np.concatenate([[0], np.cumsum(sizes[first:last])[:-1]])
+        n = np.maximum(0, np.minimum(sizes[first:last] - WINDOW, back[first:last]) + 1)      # windows begin at 0 .. back
+        row = np.repeat(np.arange(last - first), n)
+        step = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        at = starts[row] + step
+        with np.errstate(over="ignore"):
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values[raw] * up[:len(raw)])])
+            out.append((row + first, back[first:last][row] - step, _stir((sums[at + WINDOW] - sums[at]) * down[at])))
+        first = last
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = BATCHES) -> DataFrame:
-    """(_id, _h, spans): for each text with repeated windows, the byte spans around its sampled suffixes that they cover.
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = BATCHES, hot: int = HOT) -> DataFrame:
+    """(_key, spans): for each text with repeated windows, the byte spans around its sampled suffixes that they cover. ``_key`` is a hash of id and text.
 
     The family of levels tells which prefixes repeat. Their suffixes are grouped by prefix and context: two equal contexts settle all windows around them at once,
-    counted without the texts. Only where a prefix has several contexts (the ends of a repeat) the bytes themselves are compared, one per different context.
+    counted without the texts. Only where a prefix has several contexts, one of them single (the ends of a repeat), the bytes themselves are compared, one
+    text place per different context. Prefixes with more than ``hot`` contexts do not meet in one task: their windows become rows that Spark counts.
     """
-    spark = docs.sparkSession
-    kind = docs.schema[id_col].dataType.simpleString()
-    given = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_h"), F.col(text_col).alias("_text"))
-    family, found = SuffixLevels(spark), None
+    given = docs.select(_key(id_col, text_col), F.col(text_col).alias("_text"))
+    family, found = SuffixLevels(docs.sparkSession), None
 
     def prints(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
@@ -233,126 +213,126 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bat
                     yield pa.RecordBatch.from_arrays([pa.array(p.view(np.int64))], ["print"])
 
     for i in range(batches):
-        part = given.filter(F.pmod(F.xxhash64("_h"), F.lit(batches)) == i).select("_text").mapInArrow(prints, "print bigint")
+        part = given.filter(F.pmod(F.xxhash64("_key"), F.lit(batches)) == i).select("_text").mapInArrow(prints, "print bigint")
         more = family.add(part)
         found = more if found is None else found.unionByName(more)
-    repeated = _share(spark, _bitmap(found, "print"))
+    has = KeyFilter(found, "print").has
 
     def entries(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            for first, texts in _bytes(batch.column(2)):
+            for first, texts in _bytes(batch.column(1)):
                 for of, place, p, context in suffixes(texts):
-                    hit = np.flatnonzero(_in_bitmap(repeated.value, p))
-                    at = pa.array(of[hit] + first)
+                    hit = np.flatnonzero(has(p))
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(at), batch.column(1).take(at), pa.array(place[hit]), pa.array(p[hit].view(np.int64)), pa.array(context[hit].view(np.int64))],
-                        ["_id", "_h", "place", "print", "context"])
-
-    known = stage(given.mapInArrow(entries, f"_id {kind}, _h bigint, place bigint, print bigint, context bigint"), "suffixes")
-    contexts = stage(known.groupBy("print", "context").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("_id", "_h", "place")).alias("one")), "contexts")
-    groups = stage(contexts.groupBy("print").agg(F.count(F.lit(1)).alias("n_contexts")).filter("n_contexts > 1"), "context-groups")
-    asked = stage(contexts.join(groups, "print").select("print", "context", "n", "n_contexts", "one.*")
-                  .groupBy("_id", "_h").agg(F.collect_list(F.struct("place", "print", "context", "n", "n_contexts")).alias("asks")), "context-asks")
-    wanted = _share(spark, _bitmap(asked, "_h"))
-
-    cut = "print bigint, context bigint, n bigint, n_contexts bigint, back int, bytes binary"
+                        [batch.column(0).take(pa.array(of[hit] + first)), pa.array(place[hit]), pa.array(p[hit].view(np.int64)), pa.array(context[hit].view(np.int64))],
+                        ["_key", "place", "print", "context"])
+
+    known = stage(given.mapInArrow(entries, "_key bigint, place bigint, print bigint, context bigint"), "suffixes")
+    # the first key and the first place come from one row: both are taken or left together
+    contexts = stage(known.groupBy("print", "context").agg(F.count(F.lit(1)).alias("n"), F.first("_key").alias("_key"), F.first("place").alias("place")), "contexts")
+    groups = stage(contexts.groupBy("print").agg(F.count(F.lit(1)).alias("n_contexts"), F.min("n").alias("least"))
+                   .filter("n_contexts > 1 and least = 1").select("print", "n_contexts"), "context-groups")
+    asked = stage(contexts.join(groups, "print").groupBy("_key").agg(F.collect_list(F.struct("place", "print", "context", "n", "n_contexts")).alias("asks")), "context-asks")
+    some = KeyFilter(asked, "_key").keep(given.filter(F.col("_text").isNotNull()), "_key")
+    columns = ["print", "context", "n", "n_contexts", "back", "bytes"]
 
     def cut_contexts(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             out = []
-            for text, asks in zip(batch.column(0), batch.column(1)):
+            for i, (text, asks) in enumerate(zip(batch.column(0), batch.column(1))):
                 value = text.as_py().encode("utf-8", "surrogatepass")
                 for a in asks.as_py():
                     low, high = max(0, a["place"] - BACK), min(len(value), a["place"] + WINDOW)
                     out.append((a["print"], a["context"], a["n"], a["n_contexts"], a["place"] - low, value[low:high]))
-                if len(out) > 20_000:
-                    yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=["print", "context", "n", "n_contexts", "back", "bytes"]).astype({"back": np.int32}), preserve_index=False)
+                if len(out) > 10_000 or (out and i == batch.num_rows - 1):
+                    yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in list(zip(*out))[:4]), pa.array([x[4] for x in out], pa.int32()),
+                                                      pa.array([x[5] for x in out], pa.binary())], columns)
                     out = []
-            if out:
-                yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=["print", "context", "n", "n_contexts", "back", "bytes"]).astype({"back": np.int32}), preserve_index=False)
 
-    some = _only_marked(given, wanted)
     # rows alike in id and text give the same bytes; settling counts a context once
-    pieces = some.join(asked.withColumnsRenamed({"_id": "_aid", "_h": "_ah"}), F.col("_id").eqNullSafe(F.col("_aid")) & (F.col("_h") == F.col("_ah")))
-    pieces = stage(pieces.select("_text", "asks").mapInArrow(cut_contexts, cut), "context-bytes")
-
-    def settle(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates(["print", "context"]).reset_index(drop=True)
-        row, d, h = _windows_of(pdf)
-        order = np.lexsort((h, d, pdf["print"].to_numpy()[row]))
-        row, d, h = row[order], d[order], h[order]
-        p = pdf["print"].to_numpy()[row]
-        same = np.zeros(len(row), bool)
-        same[1:] = (p[1:] == p[:-1]) & (d[1:] == d[:-1]) & (h[1:] == h[:-1])
-        twice = same.copy()
-        twice[:-1] |= same[1:]
-        row, d = row[twice], d[twice]
-        low, high = np.full(len(pdf), 1 << 30), np.full(len(pdf), -1)
-        np.minimum.at(low, row, d)
-        np.maximum.at(high, row, d)
-        kept = (high >= 0) & (pdf["n"].to_numpy() == 1)
-        return pd.DataFrame({"print": pdf["print"][kept], "context": pdf["context"][kept], "least": low[kept].astype(np.int32), "most": high[kept].astype(np.int32)})
-
-    settled = "print bigint, context bigint, least int, most int"
-    n_small = pieces.filter(F.col("n_contexts") <= HOT).count()
-    few = (pieces.filter(F.col("n_contexts") <= HOT).groupBy(F.pmod(F.xxhash64("print"), F.lit(max(1, n_small // PACK))).alias("pack")).applyInPandas(settle, settled))
-
-    def window_rows(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                row, d, h = _windows_of(part.select(["bytes", "back"]).to_pandas())
-                take = pa.array(row)
-                yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), part.column(2).take(take), pa.array(d.astype(np.int32)), pa.array(h.view(np.int64))],
-                                                 ["print", "context", "n", "d", "window"])
-
-    hot = pieces.filter(F.col("n_contexts") > HOT)
-    if hot.isEmpty():
-        ends = few
+    pieces = (some.hint("merge").join(asked, "_key").select("_text", "asks")
+              .mapInArrow(cut_contexts, "print bigint, context bigint, n bigint, n_contexts bigint, back int, bytes binary"))
+    size = groups.agg(F.sum("n_contexts").alias("n"), F.max("n_contexts").alias("most")).first()
+    if size["most"] is None:
+        ends = None
     else:
-        rows = hot.dropDuplicates(["print", "context"]).select("print", "context", "n", "n_contexts", "back", "bytes").mapInArrow(window_rows, "print bigint, context bigint, n bigint, d int, window bigint")
-        shared = rows.groupBy("print", "d", "window").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("print", "d", "window")
-        many = (rows.filter("n = 1").join(stage(shared, "shared-windows"), ["print", "d", "window"])
-                .groupBy("print", "context").agg(F.min("d").alias("least"), F.max("d").alias("most")))
-        ends = few.unionByName(many)
+        small = pieces if size["most"] <= hot else stage(pieces, "context-bytes")
+        packs = max(1, size["n"] // PACK)
+        ends = (small.filter(F.col("n_contexts") <= hot).groupBy(F.pmod(F.xxhash64("print"), F.lit(packs)).alias("pack"))
+                .applyInPandas(_settle, "print bigint, context bigint, least int, most int"))
+        if size["most"] > hot:
+            ends = ends.unionByName(_settle_hot(small.filter(F.col("n_contexts") > hot)))
     full = contexts.filter("n > 1").select("print", "context", F.lit(0).alias("least"), F.lit(BACK).alias("most"))
-    marks = stage(ends.unionByName(full), "marks")
+    marks = stage(full if ends is None else ends.unionByName(full), "marks")
     spans = known.join(marks, ["print", "context"]).select(
-        "_id", "_h", F.struct((F.col("place") - F.col("most")).alias("low"), (F.col("place") - F.col("least") + WINDOW).alias("high")).alias("span"))
-    return stage(spans.groupBy("_id", "_h").agg(F.collect_list("span").alias("spans")), "spans")
+        "_key", F.struct((F.col("place") - F.col("most")).alias("low"), (F.col("place") - F.col("least") + WINDOW).alias("high")).alias("span"))
+    return stage(spans.groupBy("_key").agg(F.collect_list("span").alias("spans")), "spans")
 
 
-def _only_marked(given: DataFrame, marked) -> DataFrame:
-    """Rows whose text hash has its bit set; a filter before a join."""
-    def keep(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
-            yield batch.filter(pa.array(_in_bitmap(marked.value, batch.column(1).to_numpy(zero_copy_only=False))))
+def _key(id_col: str, text_col: str) -> Column:
+    return F.xxhash64(id_col, text_col).alias("_key")
+
+
+def _settle(pdf: pd.DataFrame) -> pd.DataFrame:
+    """(print, context, least, most): for single contexts, how far before the suffix windows begin that another context of the same prefix has too."""
+    pdf = pdf.drop_duplicates(["print", "context"]).reset_index(drop=True)
+    row, d, h = _windows_of(pdf["bytes"], pdf["back"].to_numpy(np.int64))
+    with np.errstate(over="ignore"):
+        # equal windows at equal distance from equal prefixes
+        key = _stir(h + _stir(pdf["print"].to_numpy(np.int64).view(np.uint64))[row] + d.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    order = np.argsort(key)
+    same = key[order][1:] == key[order][:-1]
+    twice = np.zeros(len(key), bool)
+    twice[order[1:][same]] = True
+    twice[order[:-1][same]] = True
+    low, high = np.full(len(pdf), 1 << 30), np.full(len(pdf), -1)
+    np.minimum.at(low, row[twice], d[twice])
+    np.maximum.at(high, row[twice], d[twice])
+    kept = (high >= 0) & (pdf["n"].to_numpy() == 1)
+    return pd.DataFrame({"print": pdf["print"][kept], "context": pdf["context"][kept], "least": low[kept].astype(np.int32), "most": high[kept].astype(np.int32)})
+
+
+def _settle_hot(pieces: DataFrame) -> DataFrame:
+    """The same for prefixes of very many contexts: a row per window, counted with a combination in each task before the shuffle."""
+    def window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                row, d, h = _windows_of(part.column(4).to_pandas(), part.column(3).to_numpy(zero_copy_only=False).astype(np.int64))
+                take = pa.array(row)
+                yield pa.RecordBatch.from_arrays([*(part.column(i).take(take) for i in range(3)), pa.array(d.astype(np.int32)), pa.array(h.view(np.int64))],
+                                                 ["print", "context", "n", "d", "window"])
 
-    return given.filter(F.col("_text").isNotNull()).mapInArrow(keep, given.schema)
+    rows = (pieces.dropDuplicates(["print", "context"]).select("print", "context", "n", "back", "bytes")
+            .mapInArrow(window_rows, "print bigint, context bigint, n bigint, d int, window bigint"))
+    shared = stage(rows.groupBy("print", "d", "window").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("print", "d", "window"), "shared-windows")
+    return (rows.filter("n = 1").join(shared, ["print", "d", "window"]).groupBy("print", "context")
+            .agg(F.min("d").alias("least"), F.max("d").alias("most")))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = BATCHES) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = BATCHES, hot: int = HOT) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256, kept) for each row of ``docs``.
 
     Every byte is removed that a string of ``WINDOW`` bytes covers which also starts anywhere else, in the same text or another; strings are judged on the input.
     ``kept`` are the remaining bytes (a cut may fall inside a character). NULL and empty texts have no bytes. Repeated rows are repeats of each other.
     """
-    spans = repeats(docs, id_col, text_col, batches)
-    given = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_h"), F.col(text_col).alias("_text"))
+    spans = repeats(docs, id_col, text_col, batches, hot)
+    given = docs.select(_key(id_col, text_col), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
     names = [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
-    marked = _share(docs.sparkSession, _bitmap(spans, "_h"))
+    marked = KeyFilter(spans, "_key")
+    has = marked.has
 
-    def result(batch, ids, numbers, kept):
+    def result(ids, numbers, kept):
         digests = pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())
         return pa.RecordBatch.from_arrays([ids, *(pa.array([x[i] for x in numbers], pa.int64()) for i in range(3)), digests, pa.array(kept, pa.binary())], names)
 
     def whole(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            left = batch.filter(pa.array(~_in_bitmap(marked.value, batch.column(1).to_numpy(zero_copy_only=False))))
+            left = batch.filter(pa.array(~has(batch.column(0).to_numpy(zero_copy_only=False))))
             for first, texts in _bytes(left.column(2)):
-                yield result(left, left.column(0).slice(first, len(texts)), [(len(t), 0, 0) for t in texts], texts)
+                yield result(left.column(1).slice(first, len(texts)), [(len(t), 0, 0) for t in texts], texts)
 
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
@@ -368,8 +348,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     edges = [0, *(x for run in runs for x in run), len(text)]
                     kept.append(b"".join(text[i:j] for i, j in zip(edges[::2], edges[1::2])))
                     numbers.append((len(text), len(text) - len(kept[-1]), len(runs)))
-                yield result(batch, batch.column(0).slice(first, len(texts)), numbers, kept)
+                yield result(batch.column(0).slice(first, len(texts)), numbers, kept)
 
-    marks = spans.withColumnsRenamed({"_id": "_sid", "_h": "_sh"})
-    joined = _only_marked(given, marked).join(marks, F.col("_id").eqNullSafe(F.col("_sid")) & (F.col("_h") == F.col("_sh")), "left").select("_id", "_text", "spans")
+    joined = marked.keep(given, "_key").hint("merge").join(spans, "_key", "left").select("_id", "_text", "spans")
     return given.mapInArrow(whole, schema).unionByName(joined.mapInArrow(cut, schema))
