@@ -37,6 +37,19 @@ def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
     return spark.read.schema(df.schema).parquet(path)
 
 
+def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Like ``stage``, with the folder, so that the caller can drop it once no later plan reads it."""
+    path = run_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder. What was computed from it must have been written before: a lost executor cannot go back to it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def broadcast_bounded(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
     """Hint a broadcast only after counting at most ``max_rows`` + 1 rows; larger inputs join by shuffle."""
     small = df.limit(max_rows + 1).agg(F.count("*").alias("n")).first()["n"] <= max_rows
