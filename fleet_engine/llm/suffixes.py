@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleet_engine.llm.common import KeyFilter
-from fleet_engine.workspace import run_dir, stage
+from fleet_engine.workspace import drop_folder, run_dir, staged
 
 WINDOW = 200                 # bytes; a string of this length that starts anywhere else too is removed
 PREFIX = 64                  # bytes by which suffixes are sampled and sorted
@@ -149,16 +149,13 @@ class SuffixLevels:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.levels: list[tuple[int, str]] = []
+        self.scratch: list[str] = []
 
     def _write(self, rows: DataFrame) -> str:
         path = run_dir(self.spark, "suffix-level")
         rows.groupBy("print").agg(F.sum("n").alias("n")).sortWithinPartitions("print").write.parquet(path)
         return path
 
-    def _drop(self, path: str) -> None:
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
-
     def add(self, batch: DataFrame) -> DataFrame:
         """Add the fingerprints (print) of a batch; returns the prints it shares with earlier batches or holds twice, once each."""
         path = self._write(batch.select("print", F.lit(1).cast("bigint").alias("n")))
@@ -166,15 +163,22 @@ class SuffixLevels:
         found = run.filter("n > 1").select("print")
         for _, level in self.levels:
             found = found.unionByName(run.join(self.spark.read.parquet(level), "print", "left_semi").select("print"))
-        found = stage(found.distinct(), "suffix-matches")
+        found, folder = staged(found.distinct(), "suffix-matches")
+        self.scratch.append(folder)
         self.levels.append((0, path))
         while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
             (rank, a), (_, b) = self.levels.pop(), self.levels.pop()
             self.levels.append((rank + 1, self._write(self.spark.read.parquet(a).unionByName(self.spark.read.parquet(b)))))
-            self._drop(a)
-            self._drop(b)
+            drop_folder(self.spark, a)
+            drop_folder(self.spark, b)
         return found
 
+    def close(self) -> None:
+        """Delete all levels and matches."""
+        for path in [*(path for _, path in self.levels), *self.scratch]:
+            drop_folder(self.spark, path)
+        self.levels, self.scratch = [], []
+
 
 def _windows_of(contexts: pd.Series, back: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, bytes from window start to suffix, hash) of all whole windows of the contexts that hold their suffix's prefix."""
@@ -202,9 +206,21 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bat
     The family of levels tells which prefixes repeat. Their suffixes are grouped by prefix and context: two equal contexts settle all windows around them at once,
     counted without the texts. Only where a prefix has several contexts, one of them single (the ends of a repeat), the bytes themselves are compared, one
     text place per different context. Prefixes with more than ``hot`` contexts do not meet in one task: their windows become rows that Spark counts.
+    Each intermediate table is deleted when all that was computed from it is written.
     """
+    spark, scratch = docs.sparkSession, []
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        table, path = staged(df, name)
+        scratch.append(path)
+        return table
+
+    def drop(first: int = 0) -> None:
+        while len(scratch) > first:
+            drop_folder(spark, scratch.pop())
+
     given = docs.select(_key(id_col, text_col), F.col(text_col).alias("_text"))
-    family, found = SuffixLevels(docs.sparkSession), None
+    family, found = SuffixLevels(spark), None
 
     def prints(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
@@ -217,6 +233,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bat
         more = family.add(part)
         found = more if found is None else found.unionByName(more)
     has = KeyFilter(found, "print").has
+    family.close()
 
     def entries(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
@@ -261,12 +278,17 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bat
         ends = (small.filter(F.col("n_contexts") <= hot).groupBy(F.pmod(F.xxhash64("print"), F.lit(packs)).alias("pack"))
                 .applyInPandas(_settle, "print bigint, context bigint, least int, most int"))
         if size["most"] > hot:
-            ends = ends.unionByName(_settle_hot(small.filter(F.col("n_contexts") > hot)))
+            shared = stage(_shared_windows(small.filter(F.col("n_contexts") > hot)), "shared-windows")
+            ends = ends.unionByName(_settle_hot(small.filter(F.col("n_contexts") > hot), shared))
     full = contexts.filter("n > 1").select("print", "context", F.lit(0).alias("least"), F.lit(BACK).alias("most"))
-    marks = stage(full if ends is None else ends.unionByName(full), "marks")
+    marks, marks_at = staged(full if ends is None else ends.unionByName(full), "marks")
+    drop(1)                         # all but the sampled suffixes
+    scratch.append(marks_at)
     spans = known.join(marks, ["print", "context"]).select(
         "_key", F.struct((F.col("place") - F.col("most")).alias("low"), (F.col("place") - F.col("least") + WINDOW).alias("high")).alias("span"))
-    return stage(spans.groupBy("_key").agg(F.collect_list("span").alias("spans")), "spans")
+    found, _ = staged(spans.groupBy("_key").agg(F.collect_list("span").alias("spans")), "spans")
+    drop()
+    return found
 
 
 def _key(id_col: str, text_col: str) -> Column:
@@ -292,8 +314,8 @@ def _settle(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"print": pdf["print"][kept], "context": pdf["context"][kept], "least": low[kept].astype(np.int32), "most": high[kept].astype(np.int32)})
 
 
-def _settle_hot(pieces: DataFrame) -> DataFrame:
-    """The same for prefixes of very many contexts: a row per window, counted with a combination in each task before the shuffle."""
+def _window_rows(pieces: DataFrame) -> DataFrame:
+    """A row per window of the contexts."""
     def window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -303,10 +325,19 @@ def _settle_hot(pieces: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*(part.column(i).take(take) for i in range(3)), pa.array(d.astype(np.int32)), pa.array(h.view(np.int64))],
                                                  ["print", "context", "n", "d", "window"])
 
-    rows = (pieces.dropDuplicates(["print", "context"]).select("print", "context", "n", "back", "bytes")
+    return (pieces.dropDuplicates(["print", "context"]).select("print", "context", "n", "back", "bytes")
             .mapInArrow(window_rows, "print bigint, context bigint, n bigint, d int, window bigint"))
-    shared = stage(rows.groupBy("print", "d", "window").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("print", "d", "window"), "shared-windows")
-    return (rows.filter("n = 1").join(shared, ["print", "d", "window"]).groupBy("print", "context")
+
+
+def _shared_windows(pieces: DataFrame) -> DataFrame:
+    """Windows that several contexts of a prefix have at one distance; combined in each task before the shuffle."""
+    return (_window_rows(pieces).groupBy("print", "d", "window").agg(F.count(F.lit(1)).alias("m"))
+            .filter("m > 1").select("print", "d", "window"))
+
+
+def _settle_hot(pieces: DataFrame, shared: DataFrame) -> DataFrame:
+    """The same as ``_settle`` for prefixes of very many contexts, by the windows that they share."""
+    return (_window_rows(pieces).filter("n = 1").join(shared, ["print", "d", "window"]).groupBy("print", "context")
             .agg(F.min("d").alias("least"), F.max("d").alias("most")))
 
 
