@@ -12,7 +12,7 @@ from fleet_engine.llm.jaccard import keep_one
 from fleet_engine.llm.line_dedup import line_dedup
 from fleet_engine.llm.packing import pack
 from fleet_engine.llm.quality_rules import quality_rules, train_quality
-from fleet_engine.workspace import stage
+from fleet_engine.workspace import drop_folder, staged
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -50,7 +50,10 @@ ORACLE_SQL = None    # trained verdicts and a greedy packing are not SQL; tests/
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(*COLUMNS)
+    docs, before = table(spark, sf_dir, "documents").select(*COLUMNS), None
     for name, apply in STAGES[:-1]:
-        docs = stage(apply(spark, docs, sf_dir), f"pipeline-{name}")
+        docs, path = staged(apply(spark, docs, sf_dir), f"pipeline-{name}")
+        if before:
+            drop_folder(spark, before)      # the next stage's table is whole: nothing reads this one again
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
