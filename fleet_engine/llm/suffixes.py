@@ -26,6 +26,7 @@ SLICE = 1 << 20              # bytes handled by one vectorised step; longer text
 HOT = 16_000                 # contexts of one prefix that a task compares; with more, their windows are counted by Spark instead
 PACK = 4_000                 # contexts per task, about
 NONE = np.uint64(2 ** 64 - 1)
+LOW = 1 << 32                # a span is one number, its first byte times LOW plus the byte behind it; a text has fewer than 2^31 bytes
 
 
 _POWERS: list = []           # filled by each Python worker for itself
@@ -201,7 +202,7 @@ def _windows_of(contexts: pd.Series, back: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = BATCHES, hot: int = HOT) -> DataFrame:
-    """(_key, spans): for each text with repeated windows, the byte spans around its sampled suffixes that they cover. ``_key`` is a hash of id and text.
+    """(_key, spans): for each text with repeated windows, the byte spans around its sampled suffixes that they cover, see ``LOW``. ``_key`` is a hash of id and text.
 
     The family of levels tells which prefixes repeat. Their suffixes are grouped by prefix and context: two equal contexts settle all windows around them at once,
     counted without the texts. Only where a prefix has several contexts, one of them single (the ends of a repeat), the bytes themselves are compared, one
@@ -284,8 +285,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bat
     marks, marks_at = staged(full if ends is None else ends.unionByName(full), "marks")
     drop(1)                         # all but the sampled suffixes
     scratch.append(marks_at)
-    spans = known.join(marks, ["print", "context"]).select(
-        "_key", F.struct((F.col("place") - F.col("most")).alias("low"), (F.col("place") - F.col("least") + WINDOW).alias("high")).alias("span"))
+    low, high = F.greatest(F.lit(0), F.col("place") - F.col("most")), F.col("place") - F.col("least") + WINDOW
+    spans = known.join(marks, ["print", "context"]).select("_key", (low * LOW + high).alias("span"))
     found, _ = staged(spans.groupBy("_key").agg(F.collect_list("span").alias("spans")), "spans")
     drop()
     return found
@@ -371,7 +372,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 numbers, kept = [], []
                 for text, found in zip(texts, batch.column(2).slice(first, len(texts))):
                     runs = []
-                    for low, high in sorted((max(0, s["low"]), min(len(text), s["high"])) for s in (found.as_py() or ())):
+                    for low, high in (divmod(span, LOW) for span in sorted(found.as_py() or ())):
+                        high = min(len(text), high)
                         if runs and low <= runs[-1][1]:
                             runs[-1][1] = max(runs[-1][1], high)
                         else:
