@@ -11,8 +11,8 @@ def _col(c: str | Column) -> Column:
 
 
 def tokens(text: str | Column) -> Column:
-    """Lower-case ASCII words and numbers, in order."""
-    return F.array_remove(F.split(F.lower(_col(text)), "[^a-z0-9]+"), "")
+    """Lower-case words and numbers of any script, in order."""
+    return F.array_remove(F.split(F.lower(_col(text)), "[^\\p{L}\\p{N}]+"), "")
 
 
 def _pieces(text: Column, pattern: str) -> Column:

@@ -31,10 +31,10 @@ def _ordered(order: str, value: str):
 
 
 def gold_history(silver: DataFrame, order: str = "event_id", page_rows: int = PAGE_ROWS) -> DataFrame:
-    """Summaries and categories per vehicle as arrays in ``order``; ``fault_categories_distinct`` has no repeats.
+    """Summaries and categories per vehicle and ``page`` as arrays in ``order``; ``fault_categories_distinct`` has no repeats.
 
-    An array holds about ``page_rows`` entries at most: vehicles with more rows have several pages, together whole. The rows
-    are counted first, so ``silver`` should be a written table.
+    Page p of a vehicle holds its rows p * ``page_rows`` and following, so the pages in their order are the whole history and no array
+    grows with it. ``silver`` should be a written table.
     """
     return (with_page(silver, "vin_reference", order, page_rows).groupBy("vin_reference", "page").agg(
         _ordered(order, "log_summary").alias("full_vehicle_history_summaries"),
@@ -42,27 +42,31 @@ def gold_history(silver: DataFrame, order: str = "event_id", page_rows: int = PA
         F.array_sort(F.collect_set("fault_category")).alias("fault_categories_distinct")))
 
 
+def _history_of(vin: str):
+    return F.concat(F.lit("Vehicle "), F.coalesce(vin, F.lit("")), F.lit(" history: "))
+
+
 def gold_context(history: DataFrame) -> DataFrame:
     """Readable history per vehicle and page."""
     return history.select("vin_reference", "page", F.concat(
-        F.lit("Vehicle "), F.col("vin_reference"), F.lit(" history: "),
-        F.array_join("full_vehicle_history_summaries", " | ")).alias("context"))
+        _history_of("vin_reference"), F.array_join("full_vehicle_history_summaries", " | ")).alias("context"))
+
 
+def gold_dealership(silver: DataFrame, as_of: str, dim: int = 768, model: IDFModel | None = None) -> DataFrame:
+    """One row per vehicle: facts, number of summaries, and the vector of "Vehicle <vin> history: <summaries>".
 
-def gold_dealership(silver: DataFrame, as_of: str, dim: int = 768, order: str = "event_id",
-                    page_rows: int = PAGE_ROWS, model: IDFModel | None = None) -> DataFrame:
-    """Facts, history arrays and history vector per vehicle. Facts and vector cover the whole vehicle on each of its pages."""
-    facts = gold_errors(silver)
+    Word counts add up, so that text is never built; its summaries in order are ``gold_history``.
+    """
+    facts = silver.groupBy("vin_reference").agg(
+        F.count("diagnostic_error_code").alias("total_critical_errors"),
+        F.max("engine_temperature_celsius").alias("max_engine_temp_recorded"), F.count("log_summary").alias("n_summaries"))
     model = model or fit_embedding(silver, "log_summary", dim)
-    named = silver.withColumn("_text", F.coalesce("log_summary", F.lit("")))
-    vectors = embed_groups(named, "vin_reference", "_text", dim, model)
-    history = gold_history(silver, order, page_rows)
-    return (history.join(facts, history.vin_reference.eqNullSafe(facts.vin_reference)).drop(facts.vin_reference)
-            .join(vectors, "vin_reference", "left")
-            .select("vin_reference", "page", "total_critical_errors", "max_engine_temp_recorded",
-                    "full_vehicle_history_summaries", "distinct_fault_categories",
-                    F.col("embedding").alias("vehicle_history_embedding"),
-                    F.lit(as_of).cast("timestamp").alias("last_aggregated_at")))
+    notes = silver.select("vin_reference", F.col("log_summary").alias("_text")).filter(F.col("_text").isNotNull())
+    prefixes = facts.select("vin_reference", _history_of("vin_reference").alias("_text"))
+    vectors = embed_groups(notes.unionByName(prefixes), "vin_reference", "_text", dim, model)
+    return (facts.join(vectors.withColumnRenamed("vin_reference", "_vin"), F.col("vin_reference").eqNullSafe(F.col("_vin")))
+            .select("vin_reference", "total_critical_errors", "max_engine_temp_recorded", "n_summaries",
+                    F.col("embedding").alias("vehicle_history_embedding"), F.lit(as_of).cast("timestamp").alias("last_aggregated_at")))
 
 
 def fault_summary(faults: DataFrame, key: str, score: str = "driver_frustration_score", ts: str = "recorded_at") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleet_engine.functions.text import explode_each, html_blocks, text_blocks
 from fleet_engine.operators.skew import salted_join
+from fleet_engine.workspace import stage
 
 
 def _blocks(text, mode: str):
@@ -43,10 +44,12 @@ def process_pending(queue: DataFrame, files: DataFrame, now: str, mode: str = "t
     at = F.lit(now).cast("timestamp_ntz")
     pending = queue.filter(F.col("status") == "PENDING").select("ingestion_id", filename, "vin_reference")
     stored = files.select(filename, F.col(content).alias("_content"), F.lit(True).alias("_found"))
-    work = (salted_join(pending, stored, filename, "ingestion_id", how="left")
+    # parsed once: chunks, status and report read what was written
+    work = stage(salted_join(pending, stored, filename, "ingestion_id", how="left")
             .withColumn("_blocks", _blocks("_content", mode))
             .withColumn("error_message", F.when(F.col("_found").isNull(), "file not found")
-                        .when(F.col("_content").isNull() | (F.size("_blocks") == 0), "no text in file")))
+                        .when(F.col("_content").isNull() | (F.size("_blocks") == 0), "no text in file"))
+                 .drop("_content"), "parsed")
     # a failed file has no blocks, so the chunks need no look at the status
     chunks = (flatten_array(work, "_blocks", [filename, "vin_reference"], "chunk_text", "chunk_index")
               .withColumnRenamed(filename, "source_file").withColumn("extracted_at", at))

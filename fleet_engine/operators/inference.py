@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from fleet_engine.functions.text import token_estimate, tokens
 from fleet_engine.operators.skew import key_counts, salted_join
 from fleet_engine.sources.tables import prompt_hash, with_response_cache
+from fleet_engine.workspace import stage
 
 # The structured answer and what replaces an answer that cannot be read.
 DIAGNOSIS_TYPE = ("struct<diagnosis:string,confidence_score:double,supporting_evidence:string,"
@@ -65,7 +66,8 @@ def complete_batch(df: DataFrame, prompt: str, model_fn: ModelFn, cache: DataFra
             yield pd.DataFrame({"prompt_hash": batch["prompt_hash"].tolist(), "response": answers, "error": errors,
                                 "latency": each}).astype({"response": object, "error": object})
 
-    answers = todo.mapInPandas(run, "prompt_hash string, response string, error string, latency double")
+    # written, so that no later reader asks the model again
+    answers = stage(todo.mapInPandas(run, "prompt_hash string, response string, error string, latency double"), "answers")
     if cache is not None:
         answers = answers.unionByName(known.select("prompt_hash", "response", F.lit(None).cast("string").alias("error"),
                                                    F.lit(0.0).alias("latency")))

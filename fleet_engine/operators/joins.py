@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleet_engine.operators.skew import dim_join, key_counts, salted_join, topk
-from fleet_engine.workspace import broadcast_bounded
+from fleet_engine.workspace import broadcast_bounded, stage
 
 # Texts that stand in for missing context.
 NO_MANUAL = "No manual data found for this VIN."
@@ -19,7 +19,7 @@ def eval_join(truth: DataFrame, audit: DataFrame, truth_key: str = "vin_context"
 
     A vehicle with very many audit rows is split over tasks; only its ground truth is repeated.
     """
-    audit = audit.withColumnRenamed(audit_key, truth_key)
+    audit = stage(audit.withColumnRenamed(audit_key, truth_key), "audit")      # read three times
     counts = key_counts(audit, truth_key)
     rest = [c for c in audit.columns if c != truth_key]
     scored = salted_join(audit.filter(F.col(truth_key).isNotNull()), broadcast_bounded(truth), truth_key, rest, counts=counts)

@@ -75,18 +75,23 @@ def frequent_join(facts: DataFrame, dim: DataFrame, key: str, weight: str, share
     return direct.unionByName(shuffled)
 
 
-def with_page(df: DataFrame, key: str, row_id: str, page_rows: int, page: str = "page") -> DataFrame:
-    """Number pages of about ``page_rows`` rows per key, so that a per-key array has a bounded length.
+def with_page(df: DataFrame, key: str, order: str, page_rows: int, page: str = "page", seq: str = "seq") -> DataFrame:
+    """Number the rows of each key from 0 in ``order`` (``seq``) and cut them into contiguous pages of ``page_rows`` rows.
 
-    Small keys have the single page 0. The page of a row depends on its id only, not on partitioning. The keys with several
-    pages are found first and written out: where they are few, the rows meet them without a shuffle.
+    No key is gathered in one task: rows are ranged by key and order, numbered inside each range, and a key that goes on in the next
+    range continues its numbers there. Equal values of ``order`` follow a hash of the row; NULL is a key of its own. ``df`` is sampled
+    for the ranges and should be a written table.
     """
-    keyed = df.withColumn("_key", F.coalesce(F.col(key).cast("string"), F.lit("\u0000")))   # NULL is a key of its own
-    large = stage(key_counts(keyed, "_key").filter(F.col("n_rows") > page_rows)
-                  .select("_key", F.ceil(F.col("n_rows") / page_rows).cast("int").alias("_pages")), "pages")
-    return (dim_join(keyed, large, "_key", row_id, "left")
-            .withColumn(page, F.coalesce(F.pmod(F.xxhash64(row_id), F.col("_pages")), F.lit(0)).cast("int"))
-            .drop("_key", "_pages"))
+    ranged = df.withColumn("_tie", F.xxhash64(*df.columns)).repartitionByRange(key, order, "_tie")
+    parts = stage(ranged.withColumn("_part", F.spark_partition_id()), "ranges")
+    before = Window.partitionBy("_k").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    goes_on = (parts.groupBy(F.col(key).alias("_k"), F.col("_part").alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+               .withColumn("_off", F.sum("_n").over(before)).filter("_off > 0").drop("_n"))
+    inside = Window.partitionBy("_part", key).orderBy(order, "_tie")
+    # a range has one key at most that began in an earlier one: a row per shuffle partition
+    return (parts.join(F.broadcast(goes_on), (F.col("_part") == F.col("_p")) & F.col(key).eqNullSafe(F.col("_k")), "left")
+            .withColumn(seq, F.row_number().over(inside) - 1 + F.coalesce("_off", F.lit(0)))
+            .withColumn(page, F.floor(F.col(seq) / page_rows).cast("int")).select(*df.columns, seq, page))
 
 
 def topk(df: DataFrame, keys: list[str], order: list[Column], k: int, rank: str = "rank") -> DataFrame:

@@ -144,7 +144,7 @@ STAMP_SQL = "'%Y-%m-%d %H:%M:%S.%f'"
 
 
 def words_sql(text: str) -> str:
-    return f"list_filter(string_split_regex(lower({text}), '[^a-z0-9]+'), lambda t: t <> '')"
+    return f"list_filter(string_split_regex(lower({text}), '[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '')"
 
 
 def sentences_sql(text: str) -> str:
@@ -225,7 +225,7 @@ def answer_sql(text: str, question: str) -> str:
 
 
 FAULTS_SQL = f"""{BRONZE_SQL}, {LEXICON_SQL},
-  notes AS (SELECT event_id, md5(vin || strftime(recorded_at, {STAMP_SQL}) || error_code) AS fault_id,
+  notes AS (SELECT event_id, vin, md5(vin || strftime(recorded_at, {STAMP_SQL}) || error_code) AS fault_id,
       '***-***-' || right(vin, 4) AS vin_masked, recorded_at, log_text AS raw_log
     FROM bronze WHERE log_text IS NOT NULL AND log_text <> ''),
   {sentiment_sql('notes', 'event_id', 'raw_log')},

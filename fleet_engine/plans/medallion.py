@@ -28,8 +28,8 @@ def score_telemetry(silver: DataFrame, id: str, rules: dict[str, list[str]] | No
 
 
 def score_faults(bronze: DataFrame, id: str, lexicon: DataFrame | None = None, question: str = COMPONENT_QUESTION) -> DataFrame:
-    """Fault key, masked vehicle, note, sentiment and named component of every event with a note."""
-    notes = fault_base(bronze, keep=(id,))
+    """Fault key, vehicle with and without mask, note, sentiment and named component of every event with a note."""
+    notes = fault_base(bronze, keep=(id, "vin"))
     if lexicon is None:
         words = notes.withColumn("_w", tokens("raw_log"))
         scored = words.withColumn("driver_frustration_score", sentiment_column(F.col("_w"))).drop("_w")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from fleet_engine.functions.text import mask_tail
 from fleet_engine.operators import aggregates, documents, joins, ranking
 from fleet_engine.operators.clean import STAMP
 from fleet_engine.operators.skew import topk
@@ -98,36 +99,44 @@ def gold_errors(spark, sf_dir):
     return gold(spark, sf_dir)
 
 
-HISTORY_SQL = SCORED_SQL + """, history AS (
-  SELECT vin_reference, coalesce(string_agg(log_summary, ' | ' ORDER BY event_id) FILTER (WHERE log_summary IS NOT NULL), '') AS summaries,
+HISTORY_PAGE = 4       # entries of an array: small, so that vehicles have several pages here
+
+HISTORY_SQL = SCORED_SQL + f""", numbered AS (
+  SELECT *, ((row_number() OVER (PARTITION BY vin_reference ORDER BY event_id) - 1) // {HISTORY_PAGE})::INT AS page FROM scored),
+history AS (
+  SELECT vin_reference, page, coalesce(string_agg(log_summary, ' | ' ORDER BY event_id) FILTER (WHERE log_summary IS NOT NULL), '') AS summaries,
          coalesce(string_agg(fault_category, ',' ORDER BY event_id), '') AS categories,
          coalesce(string_agg(DISTINCT fault_category, ',' ORDER BY fault_category), '') AS distinct_categories,
-         count(log_summary) AS n_summaries FROM scored GROUP BY vin_reference)"""
+         count(log_summary) AS n_summaries FROM numbered GROUP BY vin_reference, page)"""
+
+
+def history(spark, sf_dir):
+    return aggregates.gold_history(domain.silver_scored(spark, sf_dir), page_rows=HISTORY_PAGE)
 
 
 @query("f2_gold_history", f"WITH {HISTORY_SQL} SELECT * FROM history")
 def gold_history(spark, sf_dir):
-    # a few rows per vehicle here, so every vehicle has the single page 0
-    return aggregates.gold_history(domain.silver_scored(spark, sf_dir)).select(
-        "vin_reference", F.array_join("full_vehicle_history_summaries", " | ").alias("summaries"),
+    return history(spark, sf_dir).select(
+        "vin_reference", "page", F.array_join("full_vehicle_history_summaries", " | ").alias("summaries"),
         F.array_join("distinct_fault_categories", ",").alias("categories"),
         F.array_join("fault_categories_distinct", ",").alias("distinct_categories"),
         F.size("full_vehicle_history_summaries").cast("long").alias("n_summaries"))
 
 
 @query("f3_gold_context", f"""WITH {HISTORY_SQL}
-SELECT vin_reference, 'Vehicle ' || vin_reference || ' history: ' || summaries AS context FROM history""")
+SELECT vin_reference, page, 'Vehicle ' || vin_reference || ' history: ' || summaries AS context FROM history""")
 def gold_context(spark, sf_dir):
-    return aggregates.gold_context(aggregates.gold_history(domain.silver_scored(spark, sf_dir))).select("vin_reference", "context")
+    return aggregates.gold_context(history(spark, sf_dir))
 
 
-@query("f4_gold_dealership", f"""WITH {HISTORY_SQL}, {GOLD_SQL.split(', gold AS (')[1].join(['gold AS (', ''])}
-SELECT vin_reference, total_critical_errors, max_engine_temp_recorded, n_summaries, 768 AS dim FROM gold JOIN history USING (vin_reference)""")
+@query("f4_gold_dealership", f"""WITH {SCORED_SQL}
+SELECT vin_reference, count(diagnostic_error_code) AS total_critical_errors, max(engine_temperature_celsius) AS max_engine_temp_recorded,
+       count(log_summary) AS n_summaries, 768 AS dim, 1.0::DOUBLE AS norm FROM scored GROUP BY vin_reference""")
 def gold_dealership(spark, sf_dir):
-    scored = spread(domain.silver_scored(spark, sf_dir), "event_id")
-    return aggregates.gold_dealership(scored, NOW).select(
-        "vin_reference", "total_critical_errors", "max_engine_temp_recorded",
-        F.size("full_vehicle_history_summaries").cast("long").alias("n_summaries"), F.size("vehicle_history_embedding").alias("dim"))
+    vector = F.col("vehicle_history_embedding")
+    norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    return aggregates.gold_dealership(domain.silver_scored(spark, sf_dir), NOW).select(
+        "vin_reference", "total_critical_errors", "max_engine_temp_recorded", "n_summaries", F.size(vector).alias("dim"), F.round(norm, 4).alias("norm"))
 
 
 @query("f0_fault_analysis", f"""WITH {FAULTS_SQL}, {summary_sql('notes', 'event_id', 'raw_log')}
@@ -141,22 +150,23 @@ def fault_analysis(spark, sf_dir):
 
 
 # the mean times the count has the few decimals of the scores; the mean itself may lie on a rounding edge
-FAULT_SUMMARY_COLUMNS = f"""vin_masked, count(*) AS total_fault_count,
+FAULT_SUMMARY_COLUMNS = f"""'***-***-' || right(vin, 4) AS vin_masked, count(*) AS total_fault_count,
        round(avg(driver_frustration_score) * count(*), 6) AS total_frustration,
        count(*) FILTER (WHERE driver_frustration_score < -0.5) AS high_frustration_count,
        strftime(max(recorded_at), {STAMP_SQL}) AS latest_fault_at"""
 
 
 def shown_summary(summary):
-    return summary.select("vin_masked", "total_fault_count", "high_frustration_count",
+    """The summary per vehicle, masked only here: masked names are no key."""
+    return summary.select(mask_tail("vin").alias("vin_masked"), "total_fault_count", "high_frustration_count",
                           F.round(F.col("avg_frustration") * F.col("total_fault_count"), 6).alias("total_frustration"),
                           F.date_format("latest_fault_at", STAMP).alias("latest_fault_at"))
 
 
 @query("f5_fault_summary", f"""WITH {FAULTS_SQL}
-SELECT {FAULT_SUMMARY_COLUMNS} FROM faults GROUP BY vin_masked""")
+SELECT {FAULT_SUMMARY_COLUMNS} FROM faults GROUP BY vin""")
 def fault_summary(spark, sf_dir):
-    return shown_summary(aggregates.fault_summary(domain.faults(spark, sf_dir), "vin_masked"))
+    return shown_summary(aggregates.fault_summary(domain.faults(spark, sf_dir), "vin"))
 
 
 @query("f6_quality_gate", f"""WITH {JUDGED_SQL}

@@ -71,8 +71,7 @@ def list_files(spark, sf_dir):
 
 @query("a6_validate_uploads", f"WITH {UPLOADS_SQL} SELECT bucket, key, filename, extension, size_mb, reason FROM classified")
 def validate_uploads(spark, sf_dir):
-    ok, rejects = uploads.validate_uploads(domain.uploads(spark, sf_dir))
-    return ok.withColumn("reason", F.lit(None).cast("string")).unionByName(rejects)
+    return uploads.classify_uploads(domain.uploads(spark, sf_dir))
 
 
 def queue(spark, sf_dir):
@@ -97,7 +96,7 @@ def register_uploads(spark, sf_dir):
 SELECT count(*) FILTER (WHERE reason IS NULL) AS processed, count(*) FILTER (WHERE reason IS NOT NULL) AS errors,
        count(*) AS total_records FROM classified""")
 def ingest_summary(spark, sf_dir):
-    return uploads.ingest_summary(*uploads.validate_uploads(domain.uploads(spark, sf_dir)))
+    return uploads.classified_summary(uploads.classify_uploads(domain.uploads(spark, sf_dir)))
 
 
 def experiment_runs(spark, sf_dir):

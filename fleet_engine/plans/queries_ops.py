@@ -61,7 +61,7 @@ def refresh_index(spark, sf_dir):
     return bm25_topk(stage(streams.read_index(spark, index), "postings"), query_texts(spark, sf_dir), 5)
 
 
-FAULT_SUMMARY_SQL = f"WITH {FAULTS_SQL} SELECT {FAULT_SUMMARY_COLUMNS} FROM faults GROUP BY vin_masked"
+FAULT_SUMMARY_SQL = f"WITH {FAULTS_SQL} SELECT {FAULT_SUMMARY_COLUMNS} FROM faults GROUP BY vin"
 
 
 @query("i5_stream_fault_summary", FAULT_SUMMARY_SQL)
@@ -70,8 +70,8 @@ def stream_fault_summary(spark, sf_dir):
     rows = domain.faults(spark, sf_dir)
     rows.write.parquet(source)
     stream = streams.stream_table(spark, source, rows.schema)
-    streams.stream_fault_summary(stream, "vin_masked", out, seen).awaitTermination()
-    return shown_summary(streams.read_fault_summary(spark, out, "vin_masked"))
+    streams.stream_fault_summary(stream, "vin", out, seen).awaitTermination()
+    return shown_summary(streams.read_fault_summary(spark, out, "vin"))
 
 
 @query("i6_stream_silver", f"WITH {SILVER_SQL} SELECT event_id, vin_reference, diagnostic_error_code, engine_temperature_celsius FROM silver")
@@ -79,7 +79,7 @@ def stream_silver(spark, sf_dir):
     source, out, seen = (run_dir(spark, n) for n in ("telemetry", "silver", "checkpoint"))
     rows = domain.bronze(spark, sf_dir).select(*streams.TELEMETRY_SCHEMA.names)
     rows.unionAll(rows).write.json(source)          # every event is delivered twice
-    streams.append_batches(streams.stream_silver(spark, source), out, seen).awaitTermination()
+    streams.append_once(streams.stream_silver(spark, source), "event_id", "recorded_at", out, seen).awaitTermination()
     return spark.read.parquet(out).select("event_id", "vin_reference", "diagnostic_error_code", "engine_temperature_celsius")
 
 
@@ -306,7 +306,7 @@ def tracked_write(spark, sf_dir):
 @query("m6_refresh_mv", FAULT_SUMMARY_SQL)
 def refresh_mv(spark, sf_dir):
     path = run_dir(spark, "mv")
-    summary = fault_summary(domain.faults(spark, sf_dir), "vin_masked")
+    summary = fault_summary(domain.faults(spark, sf_dir), "vin")
     return shown_summary(layout.refresh_mv(summary, "fleet_" + path.rsplit("-", 1)[1], path))
 
 

@@ -50,8 +50,12 @@ def register_uploads(ok: DataFrame, received_at: Column | str) -> DataFrame:
         at.alias("received_at"), F.lit(None).cast("timestamp_ntz").alias("processed_at"))
 
 
+def classified_summary(classified: DataFrame) -> DataFrame:
+    """Counts of accepted, rejected and all records, in one pass over the classified notifications."""
+    ok = F.col("reason").isNull()
+    return classified.agg(F.count_if(ok).alias("processed"), F.count_if(~ok).alias("errors"), F.count("*").alias("total_records"))
+
+
 def ingest_summary(ok: DataFrame, rejects: DataFrame) -> DataFrame:
-    """Counts of processed, rejected and all records."""
-    both = ok.select(F.lit(True).alias("ok")).unionAll(rejects.select(F.lit(False).alias("ok")))
-    return both.agg(F.count_if("ok").alias("processed"), F.count_if(~F.col("ok")).alias("errors"),
-                    F.count("*").alias("total_records"))
+    """The same from accepted and rejected records that were written apart."""
+    return classified_summary(ok.select(F.lit(None).cast("string").alias("reason")).unionAll(rejects.select("reason")))

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from fleet_engine.operators.clean import clean_sentinel, silver_telemetry
 from fleet_engine.operators.documents import process_pending
 from fleet_engine.operators.keywords import document_lengths, score_postings, term_counts
-from fleet_engine.workspace import spread
+from fleet_engine.workspace import spread, stage
 
 
 def _start(stream: DataFrame, checkpoint: str, interval: str | None, each: Callable[[DataFrame, int], None]) -> StreamingQuery:
@@ -62,11 +62,33 @@ def append_batches(stream: DataFrame, out: str, checkpoint: str, interval: str |
     return _start(stream, checkpoint, interval, lambda batch, batch_id: _put(batch, out, batch_id))
 
 
+def append_once(stream: DataFrame, id: str, at: str, out: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
+    """Append the rows of a stream whose ``id`` is not in the table yet, however late they come: no watermark, no state.
+
+    The table lies below ``out`` in a folder per batch and day of ``at``; a batch looks for its ids in the days that it holds. A row that is
+    delivered again must have the same ``at``. A replayed batch replaces its own folder and does not look into it.
+    """
+    spark = stream.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(out)
+    hadoop = spark._jsc.hadoopConfiguration()
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.dropDuplicates([id]).withColumn("event_day", F.coalesce(F.to_date(at), F.lit("1970-01-01").cast("date")))
+        if folder.getFileSystem(hadoop).exists(folder):
+            schema = f"`{id}` {batch.schema[id].dataType.simpleString()}, event_day date, batch_id bigint"
+            known = batch.sparkSession.read.schema(schema).parquet(out).filter(F.col("batch_id") != batch_id)
+            batch = batch.join(known, [id, "event_day"], "left_anti")
+        batch.write.mode("overwrite").partitionBy("event_day").parquet(f"{out}/batch_id={batch_id}")
+
+    return _start(stream, checkpoint, interval, each)
+
+
 def refresh_index(stream: DataFrame, id: str, text: str, index_path: str, checkpoint: str, lag: str | None = None,
                   attributes: tuple[str, ...] = ()) -> StreamingQuery:
-    """Add new documents to the index. Only counts are stored, so earlier batches stay valid as the corpus grows."""
+    """Add documents to the index. Only counts are stored, so earlier batches stay valid as the corpus grows. A document that comes
+    again replaces its older self; one that comes again with a NULL text is gone."""
     def each(batch: DataFrame, batch_id: int) -> None:
-        batch = spread(batch, id)
+        batch = spread(batch.dropDuplicates([id]), id)
         _put(term_counts(batch, id, text, attributes), f"{index_path}/terms", batch_id)
         _put(document_lengths(batch, id, text), f"{index_path}/docs", batch_id)
 
@@ -75,8 +97,11 @@ def refresh_index(stream: DataFrame, id: str, text: str, index_path: str, checkp
 
 def read_index(spark: SparkSession, index_path: str, attributes: tuple[str, ...] = ()) -> DataFrame:
     """Postings of all batches, weighted with the statistics of the whole corpus as it is now."""
-    return score_postings(spark.read.parquet(f"{index_path}/terms").drop("batch_id"),
-                          spark.read.parquet(f"{index_path}/docs").drop("batch_id"), attributes)
+    terms, docs = (spark.read.parquet(f"{index_path}/{part}") for part in ("terms", "docs"))
+    newest = docs.groupBy("doc_id").agg(F.max("batch_id").alias("_newest"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    stale = stage(docs.join(newest, "doc_id").filter("batch_id < _newest").select("doc_id", "batch_id"), "stale-documents")
+    counts, lengths = (part.join(stale, ["doc_id", "batch_id"], "left_anti").drop("batch_id") for part in (terms, docs))
+    return score_postings(stage(counts, "term-counts"), lengths, attributes)
 
 
 def stream_fault_summary(stream: DataFrame, key: str, out: str, checkpoint: str, score: str = "driver_frustration_score",
@@ -108,11 +133,8 @@ TELEMETRY_SCHEMA = T.StructType([
 ])
 
 
-def stream_silver(spark: SparkSession, path: str, schema: T.StructType = TELEMETRY_SCHEMA, watermark: str = "1 day") -> DataFrame:
-    """JSON telemetry to silver as it arrives. An event that is delivered twice within ``watermark`` counts once; the state
-    holds ids of that period only, spread over all tasks by id. ``watermark`` must exceed the longest delivery delay: Spark
-    leaves out events that arrive later still."""
+def stream_silver(spark: SparkSession, path: str, schema: T.StructType = TELEMETRY_SCHEMA) -> DataFrame:
+    """JSON telemetry to silver as it arrives, row by row; ``append_once`` drops what is delivered twice."""
     raw = spark.readStream.schema(schema).option("pathGlobFilter", "*.json").json(path)
-    once = raw.withWatermark("recorded_at", watermark).dropDuplicatesWithinWatermark(["event_id"])
-    clean = clean_sentinel(once, "engine_temp_raw", out="engine_temp")
+    clean = clean_sentinel(raw, "engine_temp_raw", out="engine_temp")
     return silver_telemetry(clean, keep=("event_id", "recorded_at"))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL_DIRS: dict[str, str] = {}
+MANY = 64              # partitions, some GB: a table with as many is never dealt out anew
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -57,8 +58,8 @@ def broadcast_bounded(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal a small table that sits in a few unsplittable files out to all cores. Tables with enough partitions, which is all
-    large ones, stay as they are and are not shuffled. Meant for tables as read: asking a longer plan for its partitions
+    """Deal a small table that sits in a few unsplittable files out to all cores. Tables of ``MANY`` partitions stay as they are
+    on any cluster and are not shuffled. Meant for tables as read: asking a longer plan for its partitions
     would run its shuffles."""
     cores, parts = df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
-    return df if parts >= cores else df.repartition(min(cores, 8 * parts), *keys)
+    return df if parts >= min(cores, MANY) else df.repartition(min(cores, 8 * parts), *keys)

@@ -60,6 +60,33 @@ def test_index_refresh_equals_full_build(spark, tmp_path):
     assert shown(streams.read_index(spark, index)) == shown(bm25_index(whole, "doc_id", "text"))
 
 
+def test_index_refresh_replaces_and_deletes(spark, tmp_path):
+    from fleet_engine.operators.keywords import bm25_index
+
+    source, index, seen = (str(tmp_path / n) for n in ("docs", "index", "seen"))
+    for batch in ([(1, "brake pad"), (2, "oil"), (3, "coil")], [(1, "brake disc"), (3, None)]):
+        df = spark.createDataFrame(batch, "doc_id long, text string")
+        df.write.mode("append").parquet(source)
+        streams.refresh_index(streams.stream_table(spark, source, df.schema), "doc_id", "text", index, seen).awaitTermination()
+    now = spark.createDataFrame([(1, "brake disc"), (2, "oil")], "doc_id long, text string")
+
+    def shown(p):
+        return rows(p.select("term", "doc_id", F.round("impact", 9), "df"))
+
+    assert shown(streams.read_index(spark, index)) == shown(bm25_index(now, "doc_id", "text"))
+
+
+def test_late_and_repeated_events_reach_silver_once(spark, tmp_path):
+    source, out, seen = (str(tmp_path / n) for n in ("in", "out", "seen"))
+    schema = "event_id long, vin string, engine_temp_raw string, error_code string, log_text string, recorded_at string"
+    for batch in ([(1, "a", "90", "P1", None, "2024-01-10 00:00:00"), (2, "a", "91", "P1", None, "2024-01-10 00:00:00")],
+                  [(3, "b", "92", "P1", None, "2024-01-02 00:00:00"), (1, "a", "90", "P1", None, "2024-01-10 00:00:00"), (4, "b", "93", "P1", None, None)],
+                  [(4, "b", "93", "P1", None, None)]):
+        spark.createDataFrame(batch, schema).write.mode("append").json(source)
+        streams.append_once(streams.stream_silver(spark, source), "event_id", "recorded_at", out, seen).awaitTermination()
+    assert rows(spark.read.parquet(out).select("event_id", "vin_reference")) == [(1, "a"), (2, "a"), (3, "b"), (4, "b")]
+
+
 def test_incremental_summary_equals_batch(spark, tmp_path):
     source, out, seen = (str(tmp_path / n) for n in ("faults", "out", "seen"))
     schema = "vin string, driver_frustration_score double, recorded_at timestamp_ntz"

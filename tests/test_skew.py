@@ -65,5 +65,7 @@ def test_history_pages_hold_everything(spark):
     pages = aggregates.gold_history(silver, page_rows=20).collect()
     assert len(pages) == 5
     assert sorted(s for p in pages for s in p["full_vehicle_history_summaries"]) == sorted(f"s{i}" for i in range(90) if i % 3)
+    in_order = [s for p in sorted(pages, key=lambda p: p["page"]) for s in p["full_vehicle_history_summaries"]]
+    assert in_order == [f"s{i}" for i in range(90) if i % 3]
     context = aggregates.gold_context(aggregates.gold_history(silver)).first()["context"]
     assert context.startswith("Vehicle v history: s1 | s2 | s4")
