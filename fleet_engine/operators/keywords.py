@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import partial
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,12 +54,30 @@ def _for_all(asked: DataFrame, distinct: DataFrame, found: DataFrame) -> DataFra
 
 
 def term_counts(docs: DataFrame, id: str, text: str, attributes: tuple[str, ...] = ()) -> DataFrame:
-    """Words per document (term, doc_id, tf, doc_len, attributes). Words are counted in the task that holds the document, so
-    the shuffle carries one row per document and term."""
-    words = docs.select(F.col(id).alias("doc_id"), *attributes, tokens(text).alias("_w")).withColumn("doc_len", F.size("_w"))
-    rows = explode_each(words, ["doc_id", *attributes, "doc_len"], F.col("_w"), "term")
-    return (rows.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("doc_len").alias("doc_len"),
-                                               *[F.first(a).alias(a) for a in attributes]))
+    """Words per document (doc_id, term, tf, doc_len, attributes, lead), counted in the task that holds the document: no shuffle.
+
+    ``doc_id`` is unique in ``docs``. ``lead`` marks one row per document, so lengths need no second pass over the texts.
+    """
+    words = docs.select(F.col(id).alias("doc_id"), *attributes, tokens(text).alias("_w"))
+    kinds = {f.name: f.dataType.simpleString() for f in words.schema.fields}
+    names = ["doc_id", "term", "tf", "doc_len", *attributes, "lead"]
+    types = {**kinds, "term": "string", "tf": "bigint", "doc_len": "int", "lead": "boolean"}
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(batch.num_columns - 1)
+            owner = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+            coded = lists.flatten().dictionary_encode()
+            n = max(1, len(coded.dictionary))
+            pair, tf = np.unique(owner * n + coded.indices.to_numpy(zero_copy_only=False), return_counts=True)
+            row, term = pair // n, pair % n
+            lengths = np.bincount(owner, minlength=batch.num_rows).astype(np.int32)
+            lead = np.concatenate([np.ones(min(1, len(row)), bool), row[1:] != row[:-1]])
+            kept = [batch.column(i).take(pa.array(row)) for i in range(1 + len(attributes))]
+            yield pa.RecordBatch.from_arrays([kept[0], coded.dictionary.take(pa.array(term)), pa.array(tf.astype(np.int64)),
+                                              pa.array(lengths[row]), *kept[1:], pa.array(lead)], names)
+
+    return words.mapInArrow(count, ", ".join(f"`{c}` {types[c]}" for c in names))
 
 
 def document_lengths(docs: DataFrame, id: str, text: str) -> DataFrame:
@@ -75,9 +97,9 @@ def score_postings(counts: DataFrame, lengths: DataFrame, attributes: tuple[str,
 
 def bm25_index(docs: DataFrame, id: str, text: str, attributes: tuple[str, ...] = ()) -> DataFrame:
     """BM25 postings of a corpus, meant to be written once (``stage``, ``write_index``) and read by many searches. The
-    counts are written first: document frequencies and both halves of the weighting join read them."""
+    counts are written first, in the one pass over the texts: lengths, document frequencies and the weighting join read them."""
     counts = stage(term_counts(docs, id, text, attributes), "term-counts")
-    return score_postings(counts, document_lengths(docs, id, text), attributes)
+    return score_postings(counts, counts.filter("lead").select("doc_id", "doc_len"), attributes)
 
 
 def write_index(postings: DataFrame, path: str) -> None:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleet_engine.functions.text import mask_tail
@@ -64,9 +67,21 @@ def materialize(spark, sf_dir):
     return tables.materialize(table, "fleet_silver_view", "view")
 
 
-@query("a5_list_files")
+GIVEN = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+         "benchmark", "labels", "conversations"]
+FILES_SQL = " UNION ALL ".join(f"SELECT '{t}.parquet' AS filename, count(*) AS n_rows, true AS has_bytes FROM {t}" for t in GIVEN)
+
+
+def with_rows(spark, sf_dir, listing):
+    """The listed files of the given tables with the rows that they hold."""
+    counts = [spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet").agg(F.count("*").alias("n_rows"))
+              .select(F.lit(f"{t}.parquet").alias("filename"), "n_rows") for t in GIVEN]
+    return listing.join(reduce(DataFrame.unionAll, counts), "filename").select("filename", "n_rows", (F.col("size_bytes") > 0).alias("has_bytes"))
+
+
+@query("a5_list_files", FILES_SQL)
 def list_files(spark, sf_dir):
-    return tables.list_files(spark, sf_dir, ".parquet").select("filename", "size_bytes")
+    return with_rows(spark, sf_dir, tables.list_files(spark, sf_dir, ".parquet"))
 
 
 @query("a6_validate_uploads", f"WITH {UPLOADS_SQL} SELECT bucket, key, filename, extension, size_mb, reason FROM classified")

@@ -11,7 +11,7 @@ from fleet_engine.operators.keywords import bm25_topk
 from fleet_engine.plans import domain
 from fleet_engine.plans.domain import BRONZE_SQL, FAULTS_SQL, REQUESTS_SQL, RESPONSES_SQL, SILVER_SQL, STAMP_SQL, words_sql
 from fleet_engine.plans.queries_gold import FAULT_SUMMARY_COLUMNS, GOLD_SQL, gold, shown_summary
-from fleet_engine.plans.queries_ingest import CHUNKS_SQL, HOT_VEHICLE, NOW, QUEUE_SQL, RUN_SQL, queue, stored_files
+from fleet_engine.plans.queries_ingest import CHUNKS_SQL, FILES_SQL, HOT_VEHICLE, NOW, QUEUE_SQL, RUN_SQL, queue, stored_files, with_rows
 from fleet_engine.plans.queries_search import QUERY_TEXTS, bm25_sql, query_texts
 from fleet_engine.plans.registry import query
 from fleet_engine.streaming import streams
@@ -47,11 +47,11 @@ def run_queue(spark, sf_dir):
     return spark.read.parquet(f"{out}/chunks").select("source_file", "vin_reference", "chunk_text", F.col("chunk_index").cast("long"))
 
 
-@query("i3_watch_files")
+@query("i3_watch_files", FILES_SQL)
 def watch_files(spark, sf_dir):
     out, seen = run_dir(spark, "files"), run_dir(spark, "checkpoint")
     streams.append_batches(streams.watch_files(spark, sf_dir, "*.parquet"), out, seen).awaitTermination()
-    return spark.read.parquet(out).select("filename", "size_bytes")
+    return with_rows(spark, sf_dir, spark.read.parquet(out))
 
 
 @query("i4_refresh_index", f"WITH {bm25_sql(QUERY_TEXTS, 5)} SELECT query_id, doc_id, score, rank FROM best")
@@ -211,16 +211,22 @@ def trained(spark, sf_dir):
     return risk.train_risk(stage(train.select("event_id", "is_at_risk", *risk.FEATURES), "train")), test
 
 
-@query("l3_train_risk")
+@query("l3_train_risk", f"WITH {RISK_SQL} SELECT count(*) AS n, 100 AS trees, true AS accurate FROM risk WHERE NOT {SLOT_SQL}")
 def train_risk(spark, sf_dir):
     model, test = trained(spark, sf_dir)
-    return risk.class_metrics(risk.score(model, test)).withColumn("trees", F.lit(model.stages[-1].getNumTrees))
+    return (risk.class_metrics(risk.score(model, test))
+            .select("n", F.lit(model.stages[-1].getNumTrees).alias("trees"), (F.col("accuracy") >= 0.98).alias("accurate")))
 
 
-@query("l4_score")
+NEAR = 5     # degrees around the threshold between which a forest of few rows may place its cut
+
+
+@query("l4_score", f"""WITH {RISK_SQL} SELECT event_id, is_at_risk,
+  CASE WHEN abs(engine_temperature_celsius - 110) > {NEAR} THEN is_at_risk END AS predicted_risk_class FROM risk WHERE NOT {SLOT_SQL}""")
 def score(spark, sf_dir):
     model, test = trained(spark, sf_dir)
-    return risk.score(model, test).select("event_id", "is_at_risk", "predicted_risk_class")
+    clear = F.abs(F.col("engine_temperature_celsius") - 110) > NEAR
+    return risk.score(model, test).select("event_id", "is_at_risk", F.when(clear, F.col("predicted_risk_class")).alias("predicted_risk_class"))
 
 
 @query("l5_class_metrics", f"""WITH {RISK_SQL}, p AS (SELECT is_at_risk AS y, CASE WHEN temp_variance > 180 THEN 1 ELSE 0 END AS h FROM risk)
@@ -231,7 +237,7 @@ def class_metrics(spark, sf_dir):
     return risk.class_metrics(rows.withColumn("predicted_risk_class", F.when(F.col("temp_variance") > 180, 1).otherwise(0)))
 
 
-@query("l6_register_model")
+@query("l6_register_model", f"WITH {RISK_SQL} SELECT count(*) AS scored, true AS first_saved, false AS second_saved FROM risk WHERE NOT {SLOT_SQL}")
 def register_model(spark, sf_dir):
     model, test = trained(spark, sf_dir)
     root = run_dir(spark, "models")
@@ -248,11 +254,14 @@ def clustered_lookup(spark, sf_dir):
     return layout.lookup(spark.read.parquet(path), "vin", HOT_VEHICLE).select("event_id", "vin", "error_code")
 
 
-@query("m2_clustering_depth")
+@query("m2_clustering_depth", "SELECT count(*) AS n_rows, false AS needs_clustering, true AS narrow FROM lineitem")
 def clustering_depth(spark, sf_dir):
     path = run_dir(spark, "clustered")
     layout.write_clustered(domain.read(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity"), path, ["l_orderkey"])
-    return layout.clustering_depth(spark.read.parquet(path), "l_orderkey")
+    table = spark.read.parquet(path)
+    depth = layout.clustering_depth(table, "l_orderkey").first()
+    return table.agg(F.count("*").alias("n_rows")).withColumns(
+        {"needs_clustering": F.lit(depth["needs_clustering"]), "narrow": F.lit(depth["max_depth"] <= 2)})
 
 
 @query("m2_depth_of_ranges", """WITH f AS (SELECT l_orderkey AS id, min(l_partkey) AS lo, max(l_partkey) AS hi FROM lineitem GROUP BY l_orderkey),

