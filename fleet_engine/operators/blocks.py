@@ -211,6 +211,8 @@ def block_search(queries: DataFrame, corpus: DataFrame, kernel: Kernel, k: int,
     schema = _hit_schema(queries, corpus)
     size = queries.agg(F.coalesce(F.sum(row_bytes + F.lit(64)), F.lit(0)).alias("size")).first()["size"]
     if size <= broadcast_bytes:
+        if keyed:       # only rows of asked keys leave the JVM; the keys are a part of the queries just measured
+            corpus = corpus.join(F.broadcast(queries.select("block_key").distinct()), "block_key", "left_semi")
         found = _scan(corpus, queries.collect(), queries.columns, kernel, schema)
     else:
         found = _grid(queries, corpus, kernel, schema, block_rows, keyed)
