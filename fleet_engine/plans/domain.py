@@ -15,7 +15,7 @@ from fleet_engine.plans.medallion import score_faults, score_telemetry
 from fleet_engine.workspace import spread, stage
 
 AS_OF = "2024-01-31 00:00:00"
-COMPONENT_QUESTION = "What was the specific vehicle component mentioned? In the end, or on the whole?"
+COMPONENT_QUESTION = "Which of the parts is it about, in the end or on the whole?"
 
 # Frequent words of the languages in the test texts; they stand in for fault categories.
 LANGUAGE_RULES = {
