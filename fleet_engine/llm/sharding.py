@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from fleet_engine.workspace import stage
@@ -18,11 +18,46 @@ def _wish(counts: list[Column], room: list[int], tie: Column) -> Column:
     return F.array_max(F.array(*each))["shard"]
 
 
+def _begin(counts: list[Row], quota: list[int]) -> Column:
+    """Shard in which a row of ``_home`` starts: a large link on as few shards as hold it, the others spread over what these leave.
+
+    ``counts`` (_home, n) are the links with more than an eighth of a shard, at most 8 * shards + shards of them.
+    """
+    def pick(parts: list[tuple[int, int]]) -> Column:
+        """One shard of (shard, rows), drawn by the row's id in proportion to the rows."""
+        draw, total, done, found = F.pmod(F.xxhash64("id"), F.lit(1 << 20)), sum(n for _, n in parts), 0, F.lit(parts[-1][0])
+        bounds = []
+        for s, n in parts:
+            done += n
+            bounds.append((done * (1 << 20) // total, s))
+        for bound, s in reversed(bounds[:-1]):
+            found = F.when(draw < bound, F.lit(s)).otherwise(found)
+        return found
+
+    free, large = list(quota), {}
+    for row in sorted(counts, key=lambda r: (-r["n"], r["_home"])):
+        parts, left = [], row["n"]
+        while left:
+            s = max(range(len(free)), key=lambda i: free[i])
+            if free[s] <= 0:    # ids held more than once can make more linked rows than the quotas sum up to
+                parts.append((s, left))
+                break
+            parts.append((s, min(left, free[s])))
+            left -= parts[-1][1]
+            free[s] -= parts[-1][1]
+        large[row["_home"]] = parts
+    rest = [(s, max(0, f)) for s, f in enumerate(free)]
+    found = pick(rest if any(f for _, f in rest) else [(s, 1) for s in range(len(quota))])
+    for home, parts in large.items():
+        found = F.when(F.col("_home") == home, pick(parts)).otherwise(found)
+    return found.cast("int")
+
+
 def propagate(members: DataFrame, quota: list[int], rounds: int = ROUNDS) -> DataFrame:
     """(id, shard) of the linked rows.
 
     ``members`` (id, link) says which rows a link holds; a link may hold two rows or any number, so a hundred thousand copies are one link and not all
-    their pairs. Every round counts the rows of each link per shard (combined before the shuffle, one narrow row per link), lets every member see the
+    their pairs. A link with more than an eighth of a shard starts on as few shards as hold it, every other row by a hash of its id. Every round counts the rows of each link per shard (combined before the shuffle, one narrow row per link), lets every member see the
     sums over its links, itself included, and moves it to the shard with most neighbours: in even rounds any shard, whose room then counts half of the rows
     that want to leave it, in odd rounds one that still has room. The rows that want to come to a
     shard are admitted up to its room by a hash of their link, whole links together; a link with more members than that is split by a hash of the id.
@@ -31,12 +66,12 @@ def propagate(members: DataFrame, quota: list[int], rounds: int = ROUNDS) -> Dat
     shards = len(quota)
     names = [f"_n{s}" for s in range(shards)]
     sizes = members.groupBy("link").agg(F.count(F.lit(1)).alias("_size"))
-    # a row's first link decides with whom it is admitted
+    # a row's largest link decides with whom it starts and is admitted
     homes = stage(members.join(sizes, "link").groupBy("id").agg(F.max(F.struct("_size", "link")).alias("h"))
-                  .select("id", F.col("h.link").alias("_home"), F.col("h._size").alias("_size"),
-                          F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard")), "shard-start")
+                  .select("id", F.col("h.link").alias("_home"), F.col("h._size").alias("_size")), "shard-start")
+    large = homes.groupBy("_home").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > min(quota) // 8).collect()    # at most 9 * shards rows
+    labels = homes.withColumn("shard", _begin(large, quota))
     members = stage(members, "shard-links")
-    labels = homes
     for turn in range(rounds):
         load = {r["shard"]: r["n"] for r in labels.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}    # one row per shard
         spread = members.join(labels.select("id", "shard"), "id").groupBy("link").agg(
