@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleet_engine.operators.skew import dim_join, key_counts, salted_join, topk
-from fleet_engine.workspace import broadcast_bounded, stage
+from fleet_engine.operators.skew import SALTS, dim_join, key_counts, salted_join, topk
+from fleet_engine.workspace import BROADCAST_BYTES, broadcast_bounded, stage
 
 # Texts that stand in for missing context.
 NO_MANUAL = "No manual data found for this VIN."
@@ -22,7 +22,8 @@ def eval_join(truth: DataFrame, audit: DataFrame, truth_key: str = "vin_context"
     audit = stage(audit.withColumnRenamed(audit_key, truth_key), "audit")      # read three times
     counts = key_counts(audit, truth_key)
     rest = [c for c in audit.columns if c != truth_key]
-    scored = salted_join(audit.filter(F.col(truth_key).isNotNull()), broadcast_bounded(truth), truth_key, rest, counts=counts)
+    small = broadcast_bounded(truth, max_bytes=BROADCAST_BYTES // SALTS)       # its rows of hot keys are repeated for each salt
+    scored = salted_join(audit.filter(F.col(truth_key).isNotNull()), small, truth_key, rest, counts=counts)
     lone = truth.join(counts.select(truth_key), truth_key, "left_anti")
     return scored.select(*truth.columns, *rest).unionByName(
         lone.select(*truth.columns, *[F.lit(None).cast(audit.schema[c].dataType).alias(c) for c in rest]))

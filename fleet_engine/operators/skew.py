@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleet_engine.workspace import stage
+from fleet_engine.workspace import BROADCAST_BYTES, fits, stage
 
 HOT_ROWS = 200_000     # a key with fewer rows than this never needs splitting
 HOT_KEYS = 1_000       # the most frequent keys; any other key holds under 1/1000 of the rows
 SALTS = 64
-BROADCAST_BYTES = 32 << 20
 FREQUENT_SHARE = 1e-5  # at most 100,000 keys can each hold this share
 
 
@@ -49,8 +48,8 @@ def salted_join(facts: DataFrame, dim: DataFrame, key: str, spread: str | list[s
 
 def dim_join(facts: DataFrame, dim: DataFrame, key: str, spread: str | list[str], how: str = "inner",
              max_rows: int = 10_000) -> DataFrame:
-    """Join ``facts`` to a dimension: by broadcast when counting shows that it is small, else by a salted shuffle join."""
-    if dim.limit(max_rows + 1).count() <= max_rows:
+    """Join ``facts`` to a dimension: by broadcast when its measured rows and bytes are few, else by a salted shuffle join."""
+    if fits(dim, max_rows):
         return facts.join(F.broadcast(dim), key, how)
     return salted_join(facts, dim, key, spread, how=how)
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL_DIRS: dict[str, str] = {}
+BROADCAST_BYTES = 32 << 20
 MANY = 64              # partitions, some GB: a table with as many is never dealt out anew
 
 
@@ -51,10 +52,16 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def broadcast_bounded(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Hint a broadcast only after counting at most ``max_rows`` + 1 rows; larger inputs join by shuffle."""
-    small = df.limit(max_rows + 1).agg(F.count("*").alias("n")).first()["n"] <= max_rows
-    return F.broadcast(df) if small else df
+def fits(df: DataFrame, max_rows: int = 10_000, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows that take at most ``max_bytes`` as JSON; one more row than that is read at most."""
+    row_bytes = F.octet_length(F.to_json(F.struct("*"))).cast("bigint") + 8 * len(df.columns)
+    size = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes), F.lit(0)).alias("bytes")).first()
+    return size["n"] <= max_rows and size["bytes"] <= max_bytes
+
+
+def broadcast_bounded(df: DataFrame, max_rows: int = 10_000, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only where ``fits`` has measured rows and bytes; larger inputs join by shuffle."""
+    return F.broadcast(df) if fits(df, max_rows, max_bytes) else df
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
