@@ -95,11 +95,16 @@ def refresh_index(stream: DataFrame, id: str, text: str, index_path: str, checkp
     return _start(stream, checkpoint, lag, each)
 
 
+def _stale(docs: DataFrame) -> DataFrame:
+    """(doc_id, batch_id) of documents that a later batch replaced."""
+    newest = docs.groupBy("doc_id").agg(F.max("batch_id").alias("_newest"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    return stage(docs.join(newest, "doc_id").filter("batch_id < _newest").select("doc_id", "batch_id"), "stale-documents")
+
+
 def read_index(spark: SparkSession, index_path: str, attributes: tuple[str, ...] = ()) -> DataFrame:
     """Postings of all batches, weighted with the statistics of the whole corpus as it is now."""
     terms, docs = (spark.read.parquet(f"{index_path}/{part}") for part in ("terms", "docs"))
-    newest = docs.groupBy("doc_id").agg(F.max("batch_id").alias("_newest"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    stale = stage(docs.join(newest, "doc_id").filter("batch_id < _newest").select("doc_id", "batch_id"), "stale-documents")
+    stale = _stale(docs)
     counts, lengths = (part.join(stale, ["doc_id", "batch_id"], "left_anti").drop("batch_id") for part in (terms, docs))
     return score_postings(stage(counts, "term-counts"), lengths, attributes)
 
@@ -123,6 +128,36 @@ def read_fault_summary(spark: SparkSession, out: str, key: str) -> DataFrame:
         F.sum("high").alias("high_frustration_count"), F.max("latest").alias("latest_fault_at"))
 
 
+def _compact(spark: SparkSession, out: str, to: str, merge: Callable[[DataFrame], DataFrame], by: tuple[str, ...] = ()) -> None:
+    """Write the batches of ``out`` to ``to`` as two: all but the last merged as batch -1, and the last as it is, since a restarted stream may replay it."""
+    batches = spark.read.parquet(out)
+    last = batches.agg(F.max("batch_id")).first()[0]
+    for part, name in ((merge(batches.filter(F.col("batch_id") < last)), -1), (batches.filter(F.col("batch_id") == last), last)):
+        part.drop("batch_id").hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(f"{to}/batch_id={name}")
+
+
+def compact_batches(spark: SparkSession, out: str, to: str, by: tuple[str, ...] = ()) -> None:
+    """A table of ``append_batches``, or with ``by=("event_day",)`` of ``append_once``, in few files; the rows stay the same.
+
+    For this and the other ``compact_`` functions: run them while the stream is stopped, start it again with ``to`` in the place of ``out`` and its old
+    checkpoint, and drop ``out`` when nothing reads it. ``to`` is a new folder, so a run that breaks off leaves ``out`` whole and can be repeated.
+    """
+    _compact(spark, out, to, lambda batches: batches, by)
+
+
+def compact_fault_summary(spark: SparkSession, out: str, to: str, key: str) -> None:
+    """The partial sums of ``stream_fault_summary`` with one row per key for all batches but the last."""
+    _compact(spark, out, to, lambda batches: batches.groupBy(key).agg(
+        *(F.sum(c).cast(batches.schema[c].dataType).alias(c) for c in ("n", "score_sum", "score_n", "high")), F.max("latest").alias("latest")))
+
+
+def compact_index(spark: SparkSession, index_path: str, to: str) -> None:
+    """The index of ``refresh_index`` without what later batches replaced; a replaced document's last batch stays in force."""
+    stale = _stale(spark.read.parquet(f"{index_path}/docs"))
+    for part in ("terms", "docs"):
+        _compact(spark, f"{index_path}/{part}", f"{to}/{part}", lambda batches: batches.join(stale, ["doc_id", "batch_id"], "left_anti"))
+
+
 TELEMETRY_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
     T.StructField("vin", T.StringType()),

@@ -101,6 +101,39 @@ def test_incremental_summary_equals_batch(spark, tmp_path):
     assert shown(streams.read_fault_summary(spark, out, "vin")) == shown(fault_summary(spark.read.parquet(source), "vin"))
 
 
+def test_compaction_keeps_the_results(spark, tmp_path):
+    """A compacted table has two folders, says the same as before, and a stream goes on with it; so it is when it is compacted again."""
+    paths = {n: str(tmp_path / n) for n in ("docs", "index0", "seen1", "events", "silver0", "seen2", "faults", "sums0", "seen3")}
+    batches = [[(1, "brake pad"), (2, "oil"), (3, "coil")], [(1, "brake disc"), (3, None)], [(4, "oil oil")], [(1, "pad"), (2, None)], [(5, "disc")]]
+
+    def state(i):
+        return (rows(streams.read_index(spark, paths[f"index{i}"]).select("term", "doc_id", F.round("impact", 9), "df")),
+                rows(spark.read.parquet(paths[f"silver{i}"]).select("event_id", "event_day")), rows(streams.read_fault_summary(spark, paths[f"sums{i}"], "vin")))
+
+    at = 0
+    for turn, batch in enumerate(batches):
+        docs = spark.createDataFrame(batch, "doc_id long, text string")
+        events = docs.selectExpr("doc_id event_id", "'v' vin", "'90' engine_temp_raw", "'P1' error_code", "text log_text", f"'2024-01-0{turn // 2 + 1} 00:00:00' recorded_at")
+        faults = docs.selectExpr("concat('v', doc_id) vin", f"-0.25D * {turn} driver_frustration_score", f"timestamp_ntz '2024-01-0{turn + 1} 00:00:00' recorded_at")
+        docs.write.mode("append").parquet(paths["docs"])
+        events.write.mode("append").json(paths["events"])
+        faults.write.mode("append").parquet(paths["faults"])
+        streams.refresh_index(streams.stream_table(spark, paths["docs"], docs.schema), "doc_id", "text", paths[f"index{at}"], paths["seen1"]).awaitTermination()
+        streams.append_once(streams.stream_silver(spark, paths["events"]), "event_id", "recorded_at", paths[f"silver{at}"], paths["seen2"]).awaitTermination()
+        streams.stream_fault_summary(streams.stream_table(spark, paths["faults"], faults.schema), "vin", paths[f"sums{at}"], paths["seen3"]).awaitTermination()
+        if turn in (2, 3):
+            before, at = state(at), at + 1
+            paths |= {n: str(tmp_path / n) for n in (f"index{at}", f"silver{at}", f"sums{at}")}
+            streams.compact_index(spark, paths[f"index{at - 1}"], paths[f"index{at}"])
+            streams.compact_batches(spark, paths[f"silver{at - 1}"], paths[f"silver{at}"], ("event_day",))
+            streams.compact_fault_summary(spark, paths[f"sums{at - 1}"], paths[f"sums{at}"], "vin")
+            assert state(at) == before and len(list((tmp_path / f"sums{at}").glob("batch_id=*"))) == 2
+    index, silver, sums = state(at)
+    assert {(r[0], r[1]) for r in index} == {("pad", 1), ("oil", 4), ("disc", 5)}
+    assert len(silver) == len(set(silver)) and {r[0] for r in silver} == {1, 2, 3, 4, 5}
+    assert sum(r[1] for r in sums) == sum(map(len, batches))
+
+
 def test_suite_and_schema(spark, diagnostics):
     checks = [quality.expect_not_null("vin"), quality.expect_not_null("error_code"), quality.expect_between("engine_temp", -40, 120),
               quality.expect_row_count(1, 10), quality.expect_row_count(6, 10), quality.expect_unique("vin"), quality.expect_unique("vin", "error_code")]
