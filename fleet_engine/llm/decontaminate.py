@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from fleet_engine.workspace import stage
 
 WINDOW = 5               # template words per window
-STRIDE = 4               # documents offer every fourth window: whoever shares 8 words in a row shares one of them
 LEAST_WORDS = 3          # words of a window that must not be placeholders
-COVERAGE = 0.5           # share of an item's windows that a document must hold; below it no run of 8 words need be shared
+COVERAGE = 0.5           # share of an item's windows that a document must hold
 SLOT_CONFLICTS = 0.2     # share of an item's different slot values that may stand for more than one value
 BAND = 16                # matches whose distance from the item's start differs by less than this belong to one passage
 BROADCAST_WINDOWS = 1_000_000   # windows (hash, item, place, 5 words: under 150 bytes each) up to which the benchmark is broadcast
@@ -41,22 +40,44 @@ def template(words: Column) -> Column:
     return F.when(F.contains(words, F.lit("#")), F.regexp_replace(words, "(?<![^ ])([npu])#[^ ]+", "#$1")).otherwise(words)
 
 
-def _windows(n: Column, stride: int) -> Column:
-    """Places of the windows of ``n`` words; none below ``WINDOW`` words."""
-    last = n - WINDOW
-    return F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)), F.lit(stride))).otherwise(F.array().cast("array<int>"))
+def _untagged(words: Column) -> Column:
+    """Tagged words without their tags: the words as they stand in the text."""
+    return F.when(F.contains(words, F.lit("#")), F.regexp_replace(words, "(?<![^ ])[npu]#", "")).otherwise(words)
+
+
+def _windows(n: Column, size: int | Column = WINDOW) -> Column:
+    """Places of the windows of ``size`` words in ``n`` words; none below ``size`` words."""
+    last = n - size
+    return F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+
+
+def _literal(words: Column) -> Column:
+    """Key of a window of words with their values; never meant to equal that of a template."""
+    return F.xxhash64(F.lit("words"), words)
 
 
 def item_windows(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(h, item_id, item_pos, n_windows, item_words) of items with different templates; equal templates count once, under the smallest id."""
-    rows = items.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("item_id"), tagged(F.col(text_col)).alias("_words"))
-    rows = rows.withColumn("_template", template(F.col("_words"))).groupBy("_template").agg(F.min_by("_words", "item_id").alias("_words"),
-                                                                                            F.min("item_id").alias("item_id"))
-    rows = rows.select("item_id", F.split("_words", " ").alias("_raw"), F.split("_template", " ").alias("_plain"))
-    at = F.transform(_windows(F.size("_plain"), 1), lambda i: F.struct(i.alias("pos"), F.slice("_plain", i + 1, WINDOW).alias("w"), F.slice("_raw", i + 1, WINDOW).alias("raw")))
+    """(h, item_id, item_pos, n_windows, item_words, literal) of items with different templates; equal templates count once, under the smallest id.
+
+    An item without a window of enough plain words has windows of its words with their values instead (``literal`` words each, else 0), one of all its
+    words if they are fewer than ``WINDOW``.
+    """
+    rows = items.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("item_id"), tagged(F.col(text_col)).alias("_words")).filter("_words <> ''")
+    rows = rows.withColumn("_template", template(F.col("_words")))
+    plain = F.split("_template", " ")
+    at = F.transform(_windows(F.size(plain)), lambda i: F.struct(i.alias("pos"), F.slice(plain, i + 1, WINDOW).alias("w")))
     usable = F.filter(at, lambda x: F.size(F.filter(x["w"], lambda t: ~t.startswith("#"))) >= LEAST_WORDS)
-    return (rows.select("item_id", F.explode(usable).alias("x"), F.size(usable).alias("n_windows"))
-            .select(F.xxhash64("x.w").alias("h"), "item_id", F.col("x.pos").alias("item_pos"), "n_windows", F.col("x.raw").alias("item_words")))
+    rows = rows.withColumn("_usable", F.transform(usable, lambda x: F.struct(x["pos"].alias("pos"), F.xxhash64(x["w"]).alias("h"))))
+    rows = rows.withColumn("_literal", F.when(F.size("_usable") == 0, F.least(F.size(plain), F.lit(WINDOW))).otherwise(F.lit(0)))
+    rows = rows.withColumn("_same", F.when(F.col("_literal") > 0, _untagged(F.col("_words"))).otherwise(F.col("_template")))
+    rows = rows.groupBy("_literal", "_same").agg(F.min_by("_words", "item_id").alias("_words"), F.min("item_id").alias("item_id"), F.first("_usable").alias("_usable"))
+    raw, size, same = F.split("_words", " "), F.col("_literal"), F.split("_same", " ")
+    literal = F.transform(_windows(F.size(same), size), lambda i: F.struct(i.alias("pos"), _literal(F.slice(same, i + 1, size)).alias("h")))
+    rows = rows.select("item_id", "_literal", raw.alias("_raw"), F.when(size > 0, literal).otherwise(F.col("_usable")).alias("_at"))
+    width = F.when(F.col("_literal") > 0, F.col("_literal")).otherwise(F.lit(WINDOW))
+    return (rows.select("item_id", "_literal", "_raw", F.explode("_at").alias("x"), F.size("_at").alias("n_windows"))
+            .select(F.col("x.h").alias("h"), "item_id", F.col("x.pos").alias("item_pos"), "n_windows",
+                    F.slice("_raw", F.col("x.pos") + 1, width).alias("item_words"), F.col("_literal").alias("literal")))
 
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
@@ -65,11 +86,12 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
 
     A document holds an item if at least ``coverage`` of the item's windows stand in it at about the same distance from the item's start, and
     slot values agree: wherever the item repeats a value the document repeats one too, but for a share of ``SLOT_CONFLICTS``. Items of
-    equal templates are reported under the smallest id. Items of fewer than ``WINDOW`` words, or of windows made of slots, match nothing; NULL and empty texts
+    equal templates are reported under the smallest id. Items of fewer than ``WINDOW`` words, or whose windows are mostly slots, are matched by their words with
+    their values, in any case of letters: a short one must stand in the document whole. NULL and empty texts
     neither hold anything nor are held; NULL ids never appear. Repeated rows of an id count as one document.
 
-    First every fourth window of each whole text meets the windows of the items, by hash and without moving texts (a shuffle join where the items are many). Then
-    only documents with a hit are read again, with all windows. Counting is per document, item and place, so an item that a third of the documents
+    First every window of each whole text meets the windows of the items, by hash and without moving texts (a shuffle join where the items are many). Then
+    only documents with a hit are read again, with their words. Counting is per document, item and place, so an item that a third of the documents
     hold is spread like the documents.
     """
     bench = stage(item_windows(items, item_id_col, item_text_col), "item-windows")
@@ -77,15 +99,28 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     side = F.broadcast if small else (lambda df: df)
     words = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_doc"), tagged(F.col(text_col)).alias("_words"))
 
-    plain = words.select("_doc", F.split(template(F.col("_words")), " ").alias("_plain"))
-    hashes = F.transform(_windows(F.size("_plain"), STRIDE), lambda i: F.xxhash64(F.slice("_plain", i + 1, WINDOW)))
+    lengths = sorted(r["literal"] for r in bench.filter("literal > 0").select("literal").distinct().collect())      # 1 to WINDOW at most
+
+    def windows(plain: Column, same: Column | None, make) -> Column:
+        """What ``make`` makes of the place, key and size of every window: templates, then words where items need them."""
+        def of(words: Column, key, n: int) -> Column:
+            return F.transform(_windows(F.size(words), n), lambda i: make(i, key(F.slice(words, i + 1, n)), n))
+
+        parts = [of(plain, F.xxhash64, WINDOW)] + [of(same, _literal, n) for n in lengths]
+        return F.concat(*parts) if lengths else parts[0]
+
+    def split_words(df: DataFrame, *more: Column) -> DataFrame:
+        same = [F.split(_untagged(F.col("_words")), " ").alias("_same")] if lengths else []
+        return df.select("_doc", F.split(template(F.col("_words")), " ").alias("_plain"), *same, *more)
+
+    same = F.col("_same") if lengths else None
+    hashes = windows(F.col("_plain"), same, lambda i, h, n: h)
     # the outer form keeps Spark from computing the array a second time for a filter below the explode
-    seeds = plain.select("_doc", F.explode_outer(hashes).alias("h")).join(side(bench.select("h").distinct()), "h")
+    seeds = split_words(words).select("_doc", F.explode_outer(hashes).alias("h")).join(side(bench.select("h").distinct()), "h")
     found = stage(seeds.select("_doc").distinct(), "leak-candidates")
 
-    again = words.join(found, "_doc", "left_semi").select("_doc", F.split(template(F.col("_words")), " ").alias("_plain"), F.split("_words", " ").alias("_raw"))
-    every = F.transform(_windows(F.size("_plain"), 1), lambda i: F.struct(
-        i.alias("pos"), F.xxhash64(F.slice("_plain", i + 1, WINDOW)).alias("h"), F.slice("_raw", i + 1, WINDOW).alias("doc_words")))
+    again = split_words(words.join(found, "_doc", "left_semi"), F.split("_words", " ").alias("_raw"))
+    every = windows(F.col("_plain"), same, lambda i, h, n: F.struct(i.alias("pos"), h.alias("h"), F.slice("_raw", i + 1, n).alias("doc_words")))
     hits = again.select("_doc", F.explode_outer(every).alias("x")).select("_doc", "x.pos", "x.h", "x.doc_words").join(side(bench), "h")
     pairs = F.filter(F.arrays_zip("item_words", "doc_words"), lambda p: F.contains(p["item_words"], F.lit("#")))
     shift = F.col("pos") - F.col("item_pos")

@@ -299,6 +299,22 @@ def test_leaks_of_whole_items(spark, small):
     assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(small, items).collect()} == want and want
 
 
+def test_leaks_at_every_offset(spark):
+    """Short items, one changed word and any place in the document: whatever holds half of the windows is found."""
+    five, fourteen = "seven grey herons crossed slowly", "the old ferry from the island carries mail and fresh bread every second winter morning"
+    texts = {1: five, 2: five + " eastward", 3: "her quiet uncle repairs broken clocks daily", 4: fourteen, 5: "never mind that", 6: "12 + 7 = 19", 7: "Is 5 6 7 8 9 10 odd", 8: "!!"}
+    items = spark.createDataFrame(list(texts.items()), "item_id bigint, text string")
+    rows, want = [], set()
+    for i in (1, 2, 3, 4, 5, 6, 7):
+        for k in range(8):
+            rows.append((100 * i + k, "word " * k + texts[i].replace("fresh", "stale") + " and more"))
+            want.add((100 * i + k, i))
+    want |= {(200 + k, 1) for k in range(8)} | {(100 + k, 2) for k in range(8)}     # the one begins the other
+    rows += [(1, "12 + 8 = 20"), (2, "never mind this"), (3, "is 5 6 1 2 9 10 odd")]
+    found = {(r.doc_id, r.item_id) for r in decontaminate.leaks(make_docs(spark, rows), items).collect()}
+    assert found == want
+
+
 # ---- classifiers
 
 def test_plain_counts(awkward):
