@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleet_engine.workspace import stage
+from fleet_engine.workspace import fits, stage
 
 WINDOW = 5               # template words per window
 LEAST_WORDS = 3          # words of a window that must not be placeholders
@@ -56,28 +56,35 @@ def _literal(words: Column) -> Column:
     return F.xxhash64(F.lit("words"), words)
 
 
-def item_windows(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(h, item_id, item_pos, n_windows, item_words, literal) of items with different templates; equal templates count once, under the smallest id.
+def item_templates(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(item_id, literal, same, usable, values): one row per item, under the smallest id of its template.
 
     An item without a window of enough plain words has windows of its words with their values instead (``literal`` words each, else 0), one of all its
-    words if they are fewer than ``WINDOW``.
+    words if they are fewer than ``WINDOW``. ``values`` has for each word the place (from 1) where the item has its slot's value first, 0 for a plain word: what
+    a document must agree with is which slots are equal, not their values.
     """
-    rows = items.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("item_id"), tagged(F.col(text_col)).alias("_words")).filter("_words <> ''")
+    rows = items.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), tagged(F.col(text_col)).alias("_words")).filter("_words <> ''")
     rows = rows.withColumn("_template", template(F.col("_words")))
-    plain = F.split("_template", " ")
+    plain, raw = F.split("_template", " "), F.split("_words", " ")
     at = F.transform(_windows(F.size(plain)), lambda i: F.struct(i.alias("pos"), F.slice(plain, i + 1, WINDOW).alias("w")))
     usable = F.filter(at, lambda x: F.size(F.filter(x["w"], lambda t: ~t.startswith("#"))) >= LEAST_WORDS)
-    rows = rows.withColumn("_usable", F.transform(usable, lambda x: F.struct(x["pos"].alias("pos"), F.xxhash64(x["w"]).alias("h"))))
-    rows = rows.withColumn("_literal", F.when(F.size("_usable") == 0, F.least(F.size(plain), F.lit(WINDOW))).otherwise(F.lit(0)))
-    rows = rows.withColumn("_same", F.when(F.col("_literal") > 0, _untagged(F.col("_words"))).otherwise(F.col("_template")))
-    rows = rows.groupBy("_literal", "_same").agg(F.min_by("_words", "item_id").alias("_words"), F.min("item_id").alias("item_id"), F.first("_usable").alias("_usable"))
-    raw, size, same = F.split("_words", " "), F.col("_literal"), F.split("_same", " ")
-    literal = F.transform(_windows(F.size(same), size), lambda i: F.struct(i.alias("pos"), _literal(F.slice(same, i + 1, size)).alias("h")))
-    rows = rows.select("item_id", "_literal", raw.alias("_raw"), F.when(size > 0, literal).otherwise(F.col("_usable")).alias("_at"))
-    width = F.when(F.col("_literal") > 0, F.col("_literal")).otherwise(F.lit(WINDOW))
-    return (rows.select("item_id", "_literal", "_raw", F.explode("_at").alias("x"), F.size("_at").alias("n_windows"))
-            .select(F.col("x.h").alias("h"), "item_id", F.col("x.pos").alias("item_pos"), "n_windows",
-                    F.slice("_raw", F.col("x.pos") + 1, width).alias("item_words"), F.col("_literal").alias("literal")))
+    slots = lambda w: F.filter(F.transform(w, lambda t, k: F.when(t.startswith("#"), k)), lambda k: k.isNotNull())
+    rows = rows.withColumn("usable", F.transform(usable, lambda x: F.struct(x["pos"].alias("pos"), F.xxhash64(x["w"]).alias("h"), slots(x["w"]).alias("slots"))))
+    literal = F.when(F.size("usable") == 0, F.least(F.size(plain), F.lit(WINDOW))).otherwise(F.lit(0))
+    values = F.transform(raw, lambda w: F.when(F.contains(w, F.lit("#")), F.array_position(raw, w).cast("int")).otherwise(F.lit(0)))
+    rows = rows.withColumn("literal", literal).withColumn("same", F.when(F.col("literal") > 0, _untagged(F.col("_words"))).otherwise(F.col("_template")))
+    rows = rows.withColumn("values", F.when(F.col("literal") == 0, values).otherwise(F.array().cast("array<int>")))
+    return rows.select(F.min("_id").over(Window.partitionBy("literal", "same")).alias("item_id"), "literal", "same", "usable", "values")
+
+
+def item_windows(templates: DataFrame) -> DataFrame:
+    """(h, item_id, item_pos, n_windows, slots, literal) of items with different templates; ``slots`` are the places of slots in a window."""
+    rows = templates.dropDuplicates(["item_id"])
+    size, same = F.col("literal"), F.split("same", " ")
+    literal = F.transform(_windows(F.size(same), size), lambda i: F.struct(i.alias("pos"), _literal(F.slice(same, i + 1, size)).alias("h"), F.array().cast("array<int>").alias("slots")))
+    rows = rows.select("item_id", "literal", F.when(size > 0, literal).otherwise(F.col("usable")).alias("_at"))
+    return (rows.select("item_id", "literal", F.explode("_at").alias("x"), F.size("_at").alias("n_windows"))
+            .select("x.h", "item_id", F.col("x.pos").alias("item_pos"), "n_windows", "x.slots", "literal"))
 
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
@@ -86,7 +93,7 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
 
     A document holds an item if at least ``coverage`` of the item's windows stand in it at about the same distance from the item's start, and
     slot values agree: wherever the item repeats a value the document repeats one too, but for a share of ``SLOT_CONFLICTS``. Items of
-    equal templates are reported under the smallest id. Items of fewer than ``WINDOW`` words, or whose windows are mostly slots, are matched by their words with
+equal templates are reported under the smallest id, if the values agree with any of them. Items of fewer than ``WINDOW`` words, or whose windows are mostly slots, are matched by their words with
     their values, in any case of letters: a short one must stand in the document whole. NULL and empty texts
     neither hold anything nor are held; NULL ids never appear. Repeated rows of an id count as one document.
 
@@ -94,7 +101,8 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     only documents with a hit are read again, with their words. Counting is per document, item and place, so an item that a third of the documents
     hold is spread like the documents.
     """
-    bench = stage(item_windows(items, item_id_col, item_text_col), "item-windows")
+    templates = stage(item_templates(items, item_id_col, item_text_col), "item-templates")
+    bench, variants = stage(item_windows(templates), "item-windows"), stage(templates.select("item_id", "values").distinct(), "item-values")
     small = bench.limit(broadcast_windows + 1).count() <= broadcast_windows
     side = F.broadcast if small else (lambda df: df)
     words = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_doc"), tagged(F.col(text_col)).alias("_words"))
@@ -122,16 +130,20 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     again = split_words(words.join(found, "_doc", "left_semi"), F.split("_words", " ").alias("_raw"))
     every = windows(F.col("_plain"), same, lambda i, h, n: F.struct(i.alias("pos"), h.alias("h"), F.slice("_raw", i + 1, n).alias("doc_words")))
     hits = again.select("_doc", F.explode_outer(every).alias("x")).select("_doc", "x.pos", "x.h", "x.doc_words").join(side(bench), "h")
-    pairs = F.filter(F.arrays_zip("item_words", "doc_words"), lambda p: F.contains(p["item_words"], F.lit("#")))
+    pairs = F.transform("slots", lambda k: F.struct((F.col("item_pos") + k).alias("place"), F.get("doc_words", k).alias("value")))
     shift = F.col("pos") - F.col("item_pos")
     bands = F.array(F.floor(shift / BAND) * 2, F.floor((shift + BAND // 2) / BAND) * 2 + 1)
     grouped = (hits.select("_doc", "item_id", "n_windows", "item_pos", pairs.alias("pairs"), F.explode(bands).alias("band"))
                .groupBy("_doc", "item_id", "band").agg(F.max("n_windows").alias("n_windows"), F.count_distinct("item_pos").alias("n_matched"),
                                                        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")))
-    values = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item_words"])))
-    scored = grouped.select("_doc", "item_id", F.col("n_windows").cast("bigint").alias("n_windows"), "n_matched", values.cast("bigint").alias("n_slots"),
-                            (F.size("pairs") - values).cast("bigint").alias("n_conflicts"), (F.col("n_matched") / F.col("n_windows")).alias("coverage"))
-    sure = scored.filter((F.col("coverage") >= coverage) & (F.col("n_conflicts") <= SLOT_CONFLICTS * F.col("n_slots")))
+    enough = grouped.withColumn("coverage", F.col("n_matched") / F.col("n_windows")).filter(F.col("coverage") >= coverage)
+    # items of one template differ in which of their slots are equal: a document that agrees with any of them holds it
+    tried = enough.join(F.broadcast(variants) if small and fits(variants, broadcast_windows) else variants, "item_id")
+    tried = tried.withColumn("pairs", F.array_distinct(F.transform("pairs", lambda p: F.struct(F.get("values", p["place"]).alias("item"), p["value"].alias("doc")))))
+    values = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"])))
+    scored = tried.select("_doc", "item_id", F.col("n_windows").cast("bigint").alias("n_windows"), "n_matched", values.cast("bigint").alias("n_slots"),
+                          (F.size("pairs") - values).cast("bigint").alias("n_conflicts"), "coverage")
+    sure = scored.filter(F.col("n_conflicts") <= SLOT_CONFLICTS * F.col("n_slots"))
     best = F.max(F.struct("coverage", "n_matched", -F.col("n_conflicts"), "n_windows", "n_slots", "n_conflicts")).alias("b")
     return sure.groupBy("_doc", "item_id").agg(best).select(F.col("_doc").alias(id_col), "item_id", "b.n_windows", "b.n_matched", "b.n_slots", "b.n_conflicts", "b.coverage")
 

@@ -315,6 +315,17 @@ def test_leaks_at_every_offset(spark):
     assert found == want
 
 
+def test_leaks_of_one_template(spark):
+    """Items of one template that differ in which slots are equal: each of them counts."""
+    item = "the baker sells {} dark loaves before noon and then his patient neighbour buys {} white rolls for supper"
+    items = spark.createDataFrame([(1, item.format(3, 3)), (2, item.format(3, 5)), (3, "a mason lays {0} flat stones along this wall and {0} more behind it".format(8))],
+                                  "item_id bigint, text string")
+    docs = make_docs(spark, [(1, item.format(3, 3)), (2, item.format(3, 5)), (3, item.format(4, 4)), (4, "a mason lays 8 flat stones along this wall and 9 more behind it")])
+    for limit in (1_000_000, 0):
+        found = decontaminate.leaks(docs, items, broadcast_windows=limit).collect()
+        assert sorted((r.doc_id, r.item_id, r.n_conflicts) for r in found) == [(1, 1, 0), (2, 1, 0), (3, 1, 0)]
+
+
 # ---- classifiers
 
 def test_plain_counts(awkward):
