@@ -87,6 +87,25 @@ def item_windows(templates: DataFrame) -> DataFrame:
             .select("x.h", "item_id", F.col("x.pos").alias("item_pos"), "n_windows", "x.slots", "literal"))
 
 
+def _nearest(found: DataFrame, coverage: float) -> DataFrame:
+    """``found`` with ``pairs`` (place in the item, word of the document) in place of ``hits``, one row per shift that a passage may have.
+
+    An item that repeats a window meets other places of its own text within a band. The shift with most hits leads, and each that covers enough by itself; of each
+    window of the item the hit nearest to it counts, so a copy is compared word for word.
+    """
+    shifts = F.array_distinct(F.col("hits.shift"))
+    weights = F.transform(shifts, lambda s: F.struct(F.size(F.filter("hits", lambda h: h["shift"] == s)).alias("n"), s.alias("shift")))
+    found = found.withColumn("_weights", F.when(F.size("hits") > F.col("n_matched"), weights))
+    leading = F.filter("_weights", lambda w: (w["n"] == F.array_max("_weights")["n"]) | (w["n"] >= coverage * F.col("n_windows")))
+    centres = F.when(F.col("_weights").isNull(), F.slice("hits.shift", 1, 1)).otherwise(F.transform(leading, lambda w: w["shift"]))
+    keys = ["_doc", "item_id", "band", "centre"]
+    same = ["n_windows", "n_matched", "coverage"]
+    each = found.select(*keys[:-1], *same, "hits", F.explode_outer(centres).alias("centre")).select(*keys, *same, F.explode_outer("hits").alias("h"))
+    near = F.struct(F.abs(F.col("h.shift") - F.col("centre")), "h.shift", "h.pairs")
+    picked = each.groupBy(*keys, *same, F.col("h.item_pos").alias("item_pos")).agg(F.min(near)["pairs"].alias("pairs"))
+    return picked.groupBy(*keys, *same).agg(F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"))
+
+
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
           item_text_col: str = "text", coverage: float = COVERAGE, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
     """(id, item_id, n_windows, n_matched, n_slots, n_conflicts, coverage): documents that hold an item, as it is or with other values in its slots.
@@ -133,10 +152,9 @@ equal templates are reported under the smallest id, if the values agree with any
     pairs = F.transform("slots", lambda k: F.struct((F.col("item_pos") + k).alias("place"), F.get("doc_words", k).alias("value")))
     shift = F.col("pos") - F.col("item_pos")
     bands = F.array(F.floor(shift / BAND) * 2, F.floor((shift + BAND // 2) / BAND) * 2 + 1)
-    grouped = (hits.select("_doc", "item_id", "n_windows", "item_pos", pairs.alias("pairs"), F.explode(bands).alias("band"))
-               .groupBy("_doc", "item_id", "band").agg(F.max("n_windows").alias("n_windows"), F.count_distinct("item_pos").alias("n_matched"),
-                                                       F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")))
-    enough = grouped.withColumn("coverage", F.col("n_matched") / F.col("n_windows")).filter(F.col("coverage") >= coverage)
+    grouped = (hits.select("_doc", "item_id", "n_windows", F.struct("item_pos", shift.alias("shift"), pairs.alias("pairs")).alias("hit"), F.explode(bands).alias("band"))
+               .groupBy("_doc", "item_id", "band").agg(F.max("n_windows").alias("n_windows"), F.count_distinct("hit.item_pos").alias("n_matched"), F.collect_set("hit").alias("hits")))
+    enough = grouped.withColumn("coverage", F.col("n_matched") / F.col("n_windows")).filter(F.col("coverage") >= coverage).transform(_nearest, coverage)
     # items of one template differ in which of their slots are equal: a document that agrees with any of them holds it
     tried = enough.join(F.broadcast(variants) if small and fits(variants, broadcast_windows) else variants, "item_id")
     tried = tried.withColumn("pairs", F.array_distinct(F.transform("pairs", lambda p: F.struct(F.get("values", p["place"]).alias("item"), p["value"].alias("doc")))))

@@ -326,6 +326,19 @@ def test_leaks_of_one_template(spark):
         assert sorted((r.doc_id, r.item_id, r.n_conflicts) for r in found) == [(1, 1, 0), (2, 1, 0), (3, 1, 0)]
 
 
+def test_leaks_of_lists(spark):
+    """Items that repeat a window with other values at a short distance: copies are found at any place, and values must still agree."""
+    shop = "in this shop the price of item is {} the price of item is {} and nothing else"
+    long = "on shelf number {} stand nine old jars of dark honey " * 3
+    texts = {1: shop.format(5, 7), 2: long.format(4, 6, 8), 3: "he counts stones in the box {0} then stones in the box {0} again".format(2)}
+    items = spark.createDataFrame(list(texts.items()), "item_id bigint, text string")
+    rows = [(100 * i + k, "word " * k + t) for i, t in texts.items() for k in range(17)]
+    want = {(100 * i + k, i) for i in texts for k in range(17)}
+    rows += [(1, texts[3].replace("2", "3", 1)), (2, texts[3].replace("2", "9")), (3, f"{texts[3].replace('2', '3', 1)} {texts[3].replace('2', '9')}")]
+    found = {(r.doc_id, r.item_id) for r in decontaminate.leaks(make_docs(spark, rows), items).collect()}
+    assert found == want | {(2, 3), (3, 3)}
+
+
 # ---- classifiers
 
 def test_plain_counts(awkward):
