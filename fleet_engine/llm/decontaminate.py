@@ -23,10 +23,12 @@ UNITS = ("kg g mg lb lbs oz ounces pounds grams kilograms km m cm mm mi miles me
 def tagged(text: Column) -> Column:
     """The text as words joined by blanks; slots keep their value behind a tag: ``n#`` numbers, ``u#`` units after a number, ``p#`` names.
 
-    A name is a capitalised word that follows a lower-case word or a comma; the first word of a sentence and words in capitals are plain words.
+    A name is a capitalised word that follows a lower-case word or a comma. Other capitalised words, as at the start of a sentence, may be names or not and have the
+    tag ``s#``; words in capitals are plain words.
     """
     t = F.replace(F.replace(F.coalesce(text, F.lit("")), F.lit("#"), F.lit(" ")), F.lit("_"), F.lit(" "))
     t = F.regexp_replace(t, r"\p{Lu}(?<=[\p{Ll},;] \p{Lu})\p{Ll}+", "p#$0")
+    t = F.regexp_replace(t, r"(?<![\p{L}0-9#])\p{Lu}\p{Ll}+", "s#$0")
     units = "|".join(sorted(UNITS, key=len, reverse=True))
     digits = F.regexp_replace(t, r"(?<=[0-9])[.,](?=[0-9])", "_")
     digits = F.regexp_replace(digits, r"(?<![\p{L}0-9#_])([0-9][0-9_]*)", "n#$1")
@@ -35,6 +37,11 @@ def tagged(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(t), r"[\x00-\x22\x24-\x2F\x3A-\x5E\x60\x7B-\x7F -⁯]+", " "))
 
 
+def _reading(words: Column, names: bool) -> Column:
+    """Tagged words with the capitalised words that may be names read as names, or as plain words."""
+    return F.replace(words, F.lit("s#"), F.lit("p#" if names else ""))
+
+
 def template(words: Column) -> Column:
     """Tagged words with the values of their slots taken out."""
     return F.when(F.contains(words, F.lit("#")), F.regexp_replace(words, "(?<![^ ])([npu])#[^ ]+", "#$1")).otherwise(words)
@@ -42,7 +49,7 @@ def template(words: Column) -> Column:
 
 def _untagged(words: Column) -> Column:
     """Tagged words without their tags: the words as they stand in the text."""
-    return F.when(F.contains(words, F.lit("#")), F.regexp_replace(words, "(?<![^ ])[npu]#", "")).otherwise(words)
+    return F.when(F.contains(words, F.lit("#")), F.regexp_replace(words, "(?<![^ ])[npsu]#", "")).otherwise(words)
 
 
 def _windows(n: Column, size: int | Column = WINDOW) -> Column:
@@ -57,34 +64,42 @@ def _literal(words: Column) -> Column:
 
 
 def item_templates(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(item_id, literal, same, usable, values): one row per item, under the smallest id of its template.
+    """(reading, item_id, literal, same, usable, values): one row per item and reading, under the smallest id of its template.
 
-    An item without a window of enough plain words has windows of its words with their values instead (``literal`` words each, else 0), one of all its
+    Reading 0 takes capitalised words at the start of sentences for plain words, reading 1 for names. An item without a window of enough plain words has
+    windows of its words with their values instead (``literal`` words each, else 0), one of all its
     words if they are fewer than ``WINDOW``. ``values`` has for each word the place (from 1) where the item has its slot's value first, 0 for a plain word: what
     a document must agree with is which slots are equal, not their values.
     """
-    rows = items.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), tagged(F.col(text_col)).alias("_words")).filter("_words <> ''")
-    rows = rows.withColumn("_template", template(F.col("_words")))
-    plain, raw = F.split("_template", " "), F.split("_words", " ")
-    at = F.transform(_windows(F.size(plain)), lambda i: F.struct(i.alias("pos"), F.slice(plain, i + 1, WINDOW).alias("w")))
+    rows = items.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), tagged(F.col(text_col)).alias("_tagged")).filter("_tagged <> ''")
+    both = F.array(*(F.struct(F.lit(i).alias("reading"), _reading(F.col("_tagged"), bool(i)).alias("words")) for i in (0, 1)))
+    rows = rows.withColumn("_plain", template(_reading(F.col("_tagged"), False))).select("_id", "_plain", F.explode(both).alias("r"))
+    rows = rows.select("_id", "_plain", "r.reading", F.col("r.words").alias("_words")).withColumn("_template", template(F.col("_words")))
+    plain, first, raw = F.split("_template", " "), F.split("_plain", " "), F.split("_words", " ")
+    at = F.transform(_windows(F.size(plain)), lambda i: F.struct(i.alias("pos"), F.slice(plain, i + 1, WINDOW).alias("w"), F.slice(first, i + 1, WINDOW).alias("first")))
     usable = F.filter(at, lambda x: F.size(F.filter(x["w"], lambda t: ~t.startswith("#"))) >= LEAST_WORDS)
     slots = lambda w: F.filter(F.transform(w, lambda t, k: F.when(t.startswith("#"), k)), lambda k: k.isNotNull())
-    rows = rows.withColumn("usable", F.transform(usable, lambda x: F.struct(x["pos"].alias("pos"), F.xxhash64(x["w"]).alias("h"), slots(x["w"]).alias("slots"))))
+    keys = lambda x: F.array_distinct(F.array(F.xxhash64(x["w"]), F.xxhash64(x["first"])))
+    rows = rows.withColumn("usable", F.transform(usable, lambda x: F.struct(x["pos"].alias("pos"), keys(x).alias("keys"), slots(x["w"]).alias("slots"))))
+    rows = rows.filter("reading = 0 or size(usable) > 0")
     literal = F.when(F.size("usable") == 0, F.least(F.size(plain), F.lit(WINDOW))).otherwise(F.lit(0))
     values = F.transform(raw, lambda w: F.when(F.contains(w, F.lit("#")), F.array_position(raw, w).cast("int")).otherwise(F.lit(0)))
     rows = rows.withColumn("literal", literal).withColumn("same", F.when(F.col("literal") > 0, _untagged(F.col("_words"))).otherwise(F.col("_template")))
     rows = rows.withColumn("values", F.when(F.col("literal") == 0, values).otherwise(F.array().cast("array<int>")))
-    return rows.select(F.min("_id").over(Window.partitionBy("literal", "same")).alias("item_id"), "literal", "same", "usable", "values")
+    return rows.select("reading", F.min("_id").over(Window.partitionBy("reading", "literal", "same")).alias("item_id"), "literal", "same", "usable", "values")
 
 
 def item_windows(templates: DataFrame) -> DataFrame:
-    """(h, item_id, item_pos, n_windows, slots, literal) of items with different templates; ``slots`` are the places of slots in a window."""
-    rows = templates.dropDuplicates(["item_id"])
+    """(h, reading, item_id, item_pos, n_windows, slots, literal) of items with different templates; ``slots`` are the places of slots in a window.
+
+    A window of reading 1 also has the keys of its plain reading, since a document may have the words in other letters.
+    """
     size, same = F.col("literal"), F.split("same", " ")
-    literal = F.transform(_windows(F.size(same), size), lambda i: F.struct(i.alias("pos"), _literal(F.slice(same, i + 1, size)).alias("h"), F.array().cast("array<int>").alias("slots")))
-    rows = rows.select("item_id", "literal", F.when(size > 0, literal).otherwise(F.col("usable")).alias("_at"))
-    return (rows.select("item_id", "literal", F.explode("_at").alias("x"), F.size("_at").alias("n_windows"))
-            .select("x.h", "item_id", F.col("x.pos").alias("item_pos"), "n_windows", "x.slots", "literal"))
+    literal = F.transform(_windows(F.size(same), size), lambda i: F.struct(i.alias("pos"), F.array(_literal(F.slice(same, i + 1, size))).alias("keys"),
+                                                                           F.array().cast("array<int>").alias("slots")))
+    rows = templates.select("reading", "item_id", "literal", F.when(size > 0, literal).otherwise(F.col("usable")).alias("_at"))
+    return (rows.select("reading", "item_id", "literal", F.explode("_at").alias("x"), F.size("_at").alias("n_windows"))
+            .select(F.explode("x.keys").alias("h"), "reading", "item_id", F.col("x.pos").alias("item_pos"), "n_windows", "x.slots", "literal").distinct())
 
 
 def _nearest(found: DataFrame, coverage: float) -> DataFrame:
@@ -98,7 +113,7 @@ def _nearest(found: DataFrame, coverage: float) -> DataFrame:
     found = found.withColumn("_weights", F.when(F.size("hits") > F.col("n_matched"), weights))
     leading = F.filter("_weights", lambda w: (w["n"] == F.array_max("_weights")["n"]) | (w["n"] >= coverage * F.col("n_windows")))
     centres = F.when(F.col("_weights").isNull(), F.slice("hits.shift", 1, 1)).otherwise(F.transform(leading, lambda w: w["shift"]))
-    keys = ["_doc", "item_id", "band", "centre"]
+    keys = ["_doc", "reading", "item_id", "band", "centre"]
     same = ["n_windows", "n_matched", "coverage"]
     each = found.select(*keys[:-1], *same, "hits", F.explode_outer(centres).alias("centre")).select(*keys, *same, F.explode_outer("hits").alias("h"))
     near = F.struct(F.abs(F.col("h.shift") - F.col("centre")), "h.shift", "h.pairs")
@@ -112,8 +127,9 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
 
     A document holds an item if at least ``coverage`` of the item's windows stand in it at about the same distance from the item's start, and
     slot values agree: wherever the item repeats a value the document repeats one too, but for a share of ``SLOT_CONFLICTS``. Items of
-equal templates are reported under the smallest id, if the values agree with any of them. Items of fewer than ``WINDOW`` words, or whose windows are mostly slots, are matched by their words with
-    their values, in any case of letters: a short one must stand in the document whole. NULL and empty texts
+    equal templates are reported under the smallest id, if the values agree with any of them. Capitalised words at the start of sentences are read twice, as
+    plain words and as names; one reading that agrees is enough. Items of fewer than ``WINDOW`` words, or whose windows are mostly slots, are matched by their
+    words with their values, in any case of letters: a short one must stand in the document whole. NULL and empty texts
     neither hold anything nor are held; NULL ids never appear. Repeated rows of an id count as one document.
 
     First every window of each whole text meets the windows of the items, by hash and without moving texts (a shuffle join where the items are many). Then
@@ -121,42 +137,41 @@ equal templates are reported under the smallest id, if the values agree with any
     hold is spread like the documents.
     """
     templates = stage(item_templates(items, item_id_col, item_text_col), "item-templates")
-    bench, variants = stage(item_windows(templates), "item-windows"), stage(templates.select("item_id", "values").distinct(), "item-values")
+    bench, variants = stage(item_windows(templates), "item-windows"), stage(templates.select("reading", "item_id", "values").distinct(), "item-values")
     small = bench.limit(broadcast_windows + 1).count() <= broadcast_windows
     side = F.broadcast if small else (lambda df: df)
     words = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_doc"), tagged(F.col(text_col)).alias("_words"))
 
     lengths = sorted(r["literal"] for r in bench.filter("literal > 0").select("literal").distinct().collect())      # 1 to WINDOW at most
 
-    def windows(plain: Column, same: Column | None, make) -> Column:
-        """What ``make`` makes of the place, key and size of every window: templates, then words where items need them."""
-        def of(words: Column, key, n: int) -> Column:
-            return F.transform(_windows(F.size(words), n), lambda i: make(i, key(F.slice(words, i + 1, n)), n))
+    def windows(make) -> Column:
+        """What ``make`` makes of the place, key, size and reading of every window: templates in both readings, then words where items need them."""
+        def of(words: str, key, n: int, reading: int) -> Column:
+            return F.transform(_windows(F.size(words), n), lambda i: make(i, key(F.slice(words, i + 1, n)), n, reading))
 
-        parts = [of(plain, F.xxhash64, WINDOW)] + [of(same, _literal, n) for n in lengths]
-        return F.concat(*parts) if lengths else parts[0]
+        return F.concat(of("_plain", F.xxhash64, WINDOW, 0), of("_names", F.xxhash64, WINDOW, 1), *(of("_same", _literal, n, 0) for n in lengths))
 
-    def split_words(df: DataFrame, *more: Column) -> DataFrame:
-        same = [F.split(_untagged(F.col("_words")), " ").alias("_same")] if lengths else []
-        return df.select("_doc", F.split(template(F.col("_words")), " ").alias("_plain"), *same, *more)
+    def split_words(df: DataFrame) -> DataFrame:
+        names = F.when(F.contains("_words", F.lit("s#")), F.split(template(_reading(F.col("_words"), True)), " ")).otherwise(F.array().cast("array<string>"))
+        return df.select("_doc", F.split(template(_reading(F.col("_words"), False)), " ").alias("_plain"), names.alias("_names"),
+                         F.split(_untagged(F.col("_words")), " ").alias("_same"))
 
-    same = F.col("_same") if lengths else None
-    hashes = windows(F.col("_plain"), same, lambda i, h, n: h)
     # the outer form keeps Spark from computing the array a second time for a filter below the explode
+    hashes = F.array_distinct(windows(lambda i, h, n, reading: h))
     seeds = split_words(words).select("_doc", F.explode_outer(hashes).alias("h")).join(side(bench.select("h").distinct()), "h")
     found = stage(seeds.select("_doc").distinct(), "leak-candidates")
 
-    again = split_words(words.join(found, "_doc", "left_semi"), F.split("_words", " ").alias("_raw"))
-    every = windows(F.col("_plain"), same, lambda i, h, n: F.struct(i.alias("pos"), h.alias("h"), F.slice("_raw", i + 1, n).alias("doc_words")))
-    hits = again.select("_doc", F.explode_outer(every).alias("x")).select("_doc", "x.pos", "x.h", "x.doc_words").join(side(bench), "h")
+    again = split_words(words.join(found, "_doc", "left_semi"))
+    every = windows(lambda i, h, n, reading: F.struct(i.alias("pos"), h.alias("h"), F.lit(reading).alias("read"), F.slice("_same", i + 1, n).alias("doc_words")))
+    hits = again.select("_doc", F.explode_outer(every).alias("x")).select("_doc", "x.pos", "x.h", "x.read", "x.doc_words").join(side(bench), "h").filter("reading >= read")
     pairs = F.transform("slots", lambda k: F.struct((F.col("item_pos") + k).alias("place"), F.get("doc_words", k).alias("value")))
     shift = F.col("pos") - F.col("item_pos")
     bands = F.array(F.floor(shift / BAND) * 2, F.floor((shift + BAND // 2) / BAND) * 2 + 1)
-    grouped = (hits.select("_doc", "item_id", "n_windows", F.struct("item_pos", shift.alias("shift"), pairs.alias("pairs")).alias("hit"), F.explode(bands).alias("band"))
-               .groupBy("_doc", "item_id", "band").agg(F.max("n_windows").alias("n_windows"), F.count_distinct("hit.item_pos").alias("n_matched"), F.collect_set("hit").alias("hits")))
+    grouped = (hits.select("_doc", "reading", "item_id", "n_windows", F.struct("item_pos", shift.alias("shift"), pairs.alias("pairs")).alias("hit"), F.explode(bands).alias("band"))
+               .groupBy("_doc", "reading", "item_id", "band").agg(F.max("n_windows").alias("n_windows"), F.count_distinct("hit.item_pos").alias("n_matched"), F.collect_set("hit").alias("hits")))
     enough = grouped.withColumn("coverage", F.col("n_matched") / F.col("n_windows")).filter(F.col("coverage") >= coverage).transform(_nearest, coverage)
     # items of one template differ in which of their slots are equal: a document that agrees with any of them holds it
-    tried = enough.join(F.broadcast(variants) if small and fits(variants, broadcast_windows) else variants, "item_id")
+    tried = enough.join(F.broadcast(variants) if small and fits(variants, broadcast_windows) else variants, ["reading", "item_id"])
     tried = tried.withColumn("pairs", F.array_distinct(F.transform("pairs", lambda p: F.struct(F.get("values", p["place"]).alias("item"), p["value"].alias("doc")))))
     values = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"])))
     scored = tried.select("_doc", "item_id", F.col("n_windows").cast("bigint").alias("n_windows"), "n_matched", values.cast("bigint").alias("n_slots"),

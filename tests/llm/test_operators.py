@@ -339,6 +339,16 @@ def test_leaks_of_lists(spark):
     assert found == want | {(2, 3), (3, 3)}
 
 
+def test_leaks_with_names_at_sentence_starts(spark):
+    item = "Maria runs 3 miles. Maria then walks 4 miles. Maria rests and runs 5 miles. How far did she go?"
+    other = item.replace("Maria", "Ingrid").replace("3", "8")
+    walk = "{} quickly walked down the steep hill. {} then bought fresh bread near the harbour."
+    docs = make_docs(spark, [(1, item), (2, other), (3, "Some words before. " + other), (4, "they say that " + other), (5, item.lower()),
+                             (6, "Nothing here. Maria walks home and reads."), (7, walk.format("Ingrid", "Ingrid")), (8, walk.format("Paula", "Wanda"))])
+    items = spark.createDataFrame([(1, item), (2, walk.format("Maria", "Maria"))], "item_id bigint, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, items).collect()} == {(i, 1) for i in (1, 2, 3, 4, 5)} | {(7, 2)}
+
+
 # ---- classifiers
 
 def test_plain_counts(awkward):
