@@ -167,6 +167,22 @@ LOOSE = [
     ("open-source", "open source license", r"open source license"), ("unspecified", "licensed under", r"(is |are )?licensed under"),
 ]
 
+# Keyword and pattern of rules whose keyword not every match holds, and the words one of which every match holds. LICENSES_SQL still looks for the keyword.
+NEEDLES = {
+    ("gnu org licenses", r"gnu org (copyleft|licenses) gpl( html| txt)?"): ("gnu org licenses", "gnu org copyleft"),
+    ("opensource org licenses", r"opensource org licenses? mit( license)?"): ("opensource org license",),
+    ("opensource org licenses", r"opensource org licenses? bsd 2 clause"): ("opensource org license",),
+    ("opensource org licenses", r"opensource org licenses? bsd 3 clause"): ("opensource org license",),
+    ("opensource org licenses", r"opensource org licenses? isc"): ("opensource org license",),
+    ("under the apache license", r"you may not use this (file|work) except in compliance with the license"): ("compliance with the license",),
+    ("rights reserved", r"all rights (are )?reserved"): ("rights reserved", "rights are reserved"),
+    ("without prior written permission", r"(copied|reproduced|distributed|used)( [^ ]+){0,8} without (the )?prior written permission"): ("prior written permission",),
+    ("commercial use is prohibited", r"commercial use is (strictly )?prohibited"): ("commercial use is",),
+    ("bsd license", r"bsd( style)? license"): ("bsd license", "bsd style license"),
+    ("mit license", r"mit( style)? license"): ("mit license", "mit style license"),
+    ("license file", r"see (the )?(accompanying |included |attached )?license (file|txt|md)"): ("license file", "license txt", "license md"),
+}
+
 # substrings one of which every keyword holds; a text without any of them meets no rule
 GATES = ("licen", "copyright", "reserved", "cc by", "cc0", "gpl", "creative", "public domain", "permission", "redistribut", "warranty", "unless required",
          "advertising", "endorse", "source", "origin of", "either version", "gnu", "commercial", "confidential", "research purposes", "subject to", "mozilla org", "eclipse org",
@@ -184,9 +200,14 @@ GRANTS = r"(is |are )?(dual |also )?(licensed|released|distributed|available|pub
 class Rule:
     label: str
     tier: int
-    keyword: str     # a text without it cannot match
+    keyword: str     # a text without it seldom matches
     pattern: str     # regex over words; whole words only
 
+    @property
+    def needles(self) -> tuple[str, ...]:
+        """A text without any of them cannot match."""
+        return NEEDLES.get((self.keyword, self.pattern), (self.keyword,))
+
 
 def _keyword(pattern: str) -> str:
     """The longest run of literal words that every match of the title holds."""
@@ -226,9 +247,9 @@ def _blanks(text: Column) -> Column:
 
 def _detections(words: Column, found: list[Rule]) -> Column:
     """Array of (start, -end, tier, rule, label) of all matches, sorted. Positions come from the lengths of what lies between the matches."""
-    table = F.array(*(F.struct(F.lit(i).alias("rule"), F.lit(r.tier).alias("tier"), F.lit(r.label).alias("label"), F.lit(r.keyword).alias("keyword"),
+    table = F.array(*(F.struct(F.lit(i).alias("rule"), F.lit(r.tier).alias("tier"), F.lit(r.label).alias("label"), F.array(*map(F.lit, r.needles)).alias("needles"),
                                F.lit(f"(?<= )(?:{r.pattern})(?= )").alias("pattern")) for i, r in enumerate(found)))
-    hit = F.filter(table, lambda r: F.contains(words, r["keyword"]) & F.rlike(words, r["pattern"]))
+    hit = F.filter(table, lambda r: F.exists(r["needles"], lambda n: F.contains(words, n)) & F.rlike(words, r["pattern"]))
 
     def places(r: Column) -> Column:
         sizes = F.transform(F.regexp_extract_all(words, r["pattern"], F.lit(0)), F.length)

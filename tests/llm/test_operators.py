@@ -276,6 +276,56 @@ def test_every_rule_has_a_gate():
     assert all(re.compile(r.pattern) for r in found)
 
 
+def expansions(tree):
+    """Texts that a parsed pattern accepts, with every branch taken somewhere; repeats stand zero times and once."""
+    from itertools import product
+
+    parts = []
+    for op, value in tree:
+        name = str(op)
+        if name == "LITERAL":
+            parts.append([chr(value)])
+        elif name == "NOT_LITERAL":
+            parts.append(["z"])
+        elif name == "IN":
+            kinds = [str(k) for k, _ in value]
+            parts.append(["z"] if kinds[0] == "NEGATE" else [chr(v if k == "LITERAL" else v[0]) for k, v in zip(kinds, (v for _, v in value))])
+        elif name == "BRANCH":
+            parts.append([t for branch in value[1] for t in expansions(branch)])
+        elif name == "SUBPATTERN":
+            parts.append(expansions(value[-1]))
+        elif name == "MAX_REPEAT":
+            low, _, inner = value
+            parts.append(sorted({t * n for n in (low, max(low, 1)) for t in expansions(inner)}))
+        else:
+            raise ValueError(name)
+    return ["".join(p) for p in product(*parts)]
+
+
+def test_every_match_holds_a_needle():
+    from re import _parser
+
+    found = licenses.rules()
+    own = [r for r in found if r.tier != licenses.GRANT]      # a grant is a title behind fixed words, with the title's keyword
+    assert {(r.label, r.keyword, r.pattern) for r in found if r.tier == licenses.GRANT} == {(r.label, r.keyword, licenses.GRANTS + r.pattern) for r in found if r.tier == licenses.TITLE}
+    for r in own:
+        texts = expansions(_parser.parse(r.pattern))
+        assert texts and all(re.fullmatch(r.pattern, t) for t in texts)
+        assert all(any(n in t for n in r.needles) for t in texts), r
+    assert all(any(g in n for g in licenses.GATES) for r in found for n in r.needles)
+    assert set(licenses.NEEDLES) <= {(r.keyword, r.pattern) for r in found}
+
+
+def test_licenses_behind_other_words(spark):
+    texts = {"https://opensource.org/license/mit": "mit", "opensource.org/license/bsd-2-clause": "bsd-2-clause", "opensource.org/license/bsd-3-clause": "bsd-3-clause",
+             "opensource.org/license/isc": "isc", "https://www.gnu.org/copyleft/gpl.html": "gpl", "All rights are reserved": "reserved",
+             "may not be reproduced without the prior written permission": "proprietary", "Commercial use is strictly prohibited": "non-commercial",
+             "under a BSD-style license": "bsd", "under a MIT-style license": "mit", "see LICENSE.txt": "see-license", "see the license.md": "see-license"}
+    got = {r.doc_id: r for r in licenses.license_scan(make_docs(spark, list(enumerate(texts)))).collect()}
+    for i, label in enumerate(texts.values()):
+        assert label in got[i].labels.split(",") and got[i].score > 0, (i, got[i])
+
+
 # ---- decontamination
 
 def test_templates(spark):
