@@ -121,11 +121,11 @@ def compare(pdf: pd.DataFrame, similarity: float) -> pd.DataFrame:
         group = group.sort_values(["side", "v"])
         sets = [np.frombuffer(x, np.uint64) for x in group["grams"]]
         v, copies, n_a = group["v"].to_numpy(), group["copies"].to_numpy(np.float64), int((group["side"] == 0).sum())
-        if n_a == len(sets):
+        if group["within"].iloc[0]:
             links = _links(sets, None, similarity)
             root, n_texts, n_rows = _roots(links), links.sum(1), links @ copies
         else:
-            half = _links(sets[:n_a], sets[n_a:], similarity) if n_a else np.zeros((0, len(sets)), bool)
+            half = _links(sets[:n_a], sets[n_a:], similarity) if 0 < n_a < len(sets) else np.zeros((n_a, len(sets) - n_a), bool)
             links = np.zeros((len(sets), len(sets)), bool)
             links[:n_a, n_a:], links[n_a:, :n_a] = half, half.T
             root, n_texts, n_rows = _roots(links), links.sum(1), links @ copies
@@ -173,10 +173,10 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sizes = stage(sizes.select("root", "_n", blocks.alias("_blocks")), "rough-sizes")
     packs = max(1, -(-(sizes.filter("_blocks = 1").agg(F.sum("_n").alias("n")).first()["n"] or 0) // PACK_DOCS))
     block = F.pmod(F.xxhash64("v"), F.col("_blocks")).cast("int")
-    tasks = F.when(F.col("_blocks") == 1, F.array(F.struct(F.pmod(F.xxhash64("root"), F.lit(packs)).alias("task"), F.col("root").alias("unit"), F.lit(0).alias("side")))).otherwise(
+    tasks = F.when(F.col("_blocks") == 1, F.array(F.struct(F.pmod(F.xxhash64("root"), F.lit(packs)).alias("task"), F.col("root").alias("unit"), F.lit(0).alias("side"), F.lit(True).alias("within")))).otherwise(
         F.transform(F.sequence(F.lit(0), F.col("_blocks") - 1), lambda j: F.struct(
             F.xxhash64("root", F.least(block, j), F.greatest(block, j), F.lit("block")).alias("task"),
-            F.xxhash64(F.least(block, j), F.greatest(block, j)).alias("unit"), (block > j).cast("int").alias("side"))))
+            F.xxhash64(F.least(block, j), F.greatest(block, j)).alias("unit"), (block > j).cast("int").alias("side"), (block == j).alias("within"))))
     wanted = stage(rough.join(sizes, "root").select("v", tasks.alias("tasks")).join(vertices.select("v", "_first", "_digest", "copies"), "v")
                    .select("_first", "_digest", "v", "copies", "tasks"), "to-compare")
 
@@ -190,9 +190,9 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # an id that stands in several rows may have several texts: only the one with the vertex's digest counts, once
     asked = KeyFilter(wanted.select(F.xxhash64("_first").alias("_k")), "_k").keep(given.withColumn("_k", F.xxhash64("_id")), "_k")
     texts = asked.hint("merge").join(wanted, F.col("_id") == F.col("_first")).select("_text", "_digest", "v", "copies", "tasks")
-    task_type = "array<struct<task:bigint,unit:bigint,side:int>>"
+    task_type = "array<struct<task:bigint,unit:bigint,side:int,within:boolean>>"
     sets = (texts.mapInArrow(sets_of, f"_digest binary, v bigint, copies bigint, tasks {task_type}, grams binary, _own binary")
-            .filter("_own = _digest").select("v", "copies", "grams", F.explode("tasks").alias("t")).select("v", "copies", "grams", "t.task", "t.unit", "t.side"))
+            .filter("_own = _digest").select("v", "copies", "grams", F.explode("tasks").alias("t")).select("v", "copies", "grams", "t.task", "t.unit", "t.side", "t.within"))
     compared = stage(sets.groupBy("task").applyInPandas(lambda pdf: compare(pdf.drop_duplicates(["unit", "side", "v"]), similarity),
                                                         "v bigint, root bigint, n_texts bigint, n_rows bigint"), "compared")
 

@@ -146,6 +146,18 @@ def test_jaccard_join(spark, awkward):
     assert Counter(kept) == Counter(set(first.values()) - {None}) + Counter({None: 2}) and max(Counter(kept).values()) == 2
 
 
+def test_jaccard_join_with_empty_blocks(spark, monkeypatch):
+    """Few long texts in many blocks, some of which hold no text: each link counts once."""
+    rnd = random.Random(5)
+    docs = []
+    for group in range(12):
+        words = [f"g{group}w{rnd.randint(0, 10 ** 6)}" for _ in range(400)]
+        docs += [(10 * group + k, " ".join(words + [f"tail{k}"] * 2)) for k in range(3)]
+    monkeypatch.setattr(jaccard, "BLOCK_GRAMS", 250)
+    got = jaccard.jaccard_join(make_docs(spark, docs)).collect()
+    assert len(got) == 36 and {(r.class_id, r.n_links, r.n_text_links) for r in got} == {(10 * g, 2, 2) for g in range(12)}
+
+
 def test_bands_reach_the_recall():
     bands, rows = jaccard.bands_for(0.8, 0.9999)
     assert 1 - (1 - 0.8 ** rows) ** bands >= 0.9999 and bands * rows <= 300
