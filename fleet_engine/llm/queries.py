@@ -6,17 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleet_engine.llm.clusters import cluster_vectors, with_inertia
 from fleet_engine.llm.common import table
 from fleet_engine.llm.decontaminate import leaks
 from fleet_engine.llm.jaccard import jaccard_join
+from fleet_engine.llm.lexical import lexical_search
 from fleet_engine.llm.licenses import license_scan
 from fleet_engine.llm.line_dedup import line_dedup
 from fleet_engine.llm.packing import pack
 from fleet_engine.llm.quality_rules import quality_rules, train_quality
 from fleet_engine.llm.sharding import shard_documents
-from fleet_engine.llm.sql import JACCARD_SQL, LICENSES_SQL, LINES_SQL, REPEATS_SQL, WARC_SQL
+from fleet_engine.llm.sql import CLUSTERS_SQL, JACCARD_SQL, LEXICAL_SQL, LICENSES_SQL, LINES_SQL, REPEATS_SQL, WARC_SQL
 from fleet_engine.llm.suffixes import remove_repeats
 from fleet_engine.llm.toxicity import score_toxicity, train_toxicity
+from fleet_engine.llm.url_filter import url_filter
 from fleet_engine.llm.warc import read_records, write_archive
 from fleet_engine.workspace import run_dir
 
@@ -70,7 +73,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter(table(spark, sf_dir, "pages"))
+
+
+def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_inertia(cluster_vectors(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_toxicity, op3_license_scan, op4_warc, op5_packing, op6_jaccard_join, op7_line_dedup,
-                                   op8_suffix_dedup, op9_quality, op10_decontamination)}
+                                   op8_suffix_dedup, op9_quality, op10_decontamination, op11_lexical_search, op12_url_filter, op13_clusters)}
 ORACLE = {"op3_license_scan": LICENSES_SQL, "op4_warc": WARC_SQL, "op6_jaccard_join": JACCARD_SQL, "op7_line_dedup": LINES_SQL,
-          "op8_suffix_dedup": REPEATS_SQL}
+          "op8_suffix_dedup": REPEATS_SQL, "op11_lexical_search": LEXICAL_SQL, "op13_clusters": CLUSTERS_SQL}

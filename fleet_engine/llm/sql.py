@@ -83,3 +83,37 @@ REPEATS_SQL = """WITH b AS (SELECT row_number() OVER () AS r, doc_id, hex(coales
 SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
        sha256(unhex(coalesce(head, '') || substr(x, (2 * coalesce(last, 0) + 1)::BIGINT))) AS kept_sha256
 FROM b LEFT JOIN k ON k.r = b.r"""
+
+
+LEXICAL_SQL = f"""WITH t AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ts FROM documents),
+ sizes AS (SELECT count(*)::BIGINT AS n_docs, sum(len(ts))::BIGINT AS n_all FROM t WHERE len(ts) > 0),
+ tf AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(ts) AS term FROM t) GROUP BY ALL),
+ q AS (SELECT i, item_id, term, count(*)::BIGINT AS times FROM (SELECT row_number() OVER () AS i, item_id,
+     unnest(regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+ w AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, sizes WHERE term IN (SELECT term FROM q) GROUP BY term),
+ m AS (SELECT r, doc_id, 100 - 75 + (75 * len(ts)::BIGINT * n_docs) // n_all AS m FROM t, sizes WHERE len(ts) > 0),
+ s AS (SELECT i, any_value(item_id) AS item_id, r, any_value(doc_id) AS doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+       FROM q JOIN w USING (term) JOIN tf USING (term) JOIN m USING (r) GROUP BY i, r),
+ o AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM o WHERE rank <= 10"""
+
+
+def _clusters_sql(dims: int = 64, k: int = 40, rounds: int = 5) -> str:
+    """Plain rounds: each compares every vector with every centroid."""
+    distance = f"list_sum(list_transform(range(1, {dims + 1}), lambda i: (v[i] - mid[i]) * (v[i] - mid[i])))"
+    parts = [f"""x AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda e: floor(256 * e::DOUBLE)::BIGINT) AS v FROM embeddings
+   WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = {dims})""",
+             f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v AS mid FROM (SELECT sha256('2:' || coalesce(vec_id::VARCHAR, '')) AS h, v FROM x ORDER BY h, v LIMIT {k}))"""]
+    for n in range(rounds + 1):
+        parts.append(f"""a{n} AS MATERIALIZED (SELECT r, any_value(vec_id) AS vec_id, any_value(v) AS v, min({{'d': {distance}::BIGINT, 'c': c}}) AS best FROM x, c{n} GROUP BY r)""")
+        if n < rounds:
+            parts.append(f"""m{n} AS (SELECT c, i, ((s - ((s % n) + n) % n) // n)::BIGINT AS mean FROM (SELECT best.c AS c, i, sum(v[i]) AS s, count(*) AS n
+   FROM a{n}, range(1, {dims + 1}) AS p(i) GROUP BY ALL))""")
+            parts.append(f"""c{n + 1} AS MATERIALIZED (SELECT c, coalesce(any_value(l), any_value(mid)) AS mid FROM c{n} LEFT JOIN (SELECT c, list(mean ORDER BY i) AS l FROM m{n} GROUP BY c) USING (c) GROUP BY c)""")
+    return "WITH " + ",\n ".join(parts) + f"""
+SELECT vec_id, best.c::INTEGER AS cluster, best.d AS distance, (sum(best.d) OVER (PARTITION BY best.c))::BIGINT AS cluster_inertia,
+       (sum(best.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(mid, ',')) AS centroid_sha256 FROM a{rounds} JOIN c{rounds} ON c = best.c"""
+
+
+CLUSTERS_SQL = _clusters_sql()
