@@ -8,6 +8,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleet_engine.workspace import drop_folder, run_dir
+
 FEATURES = ["engine_temperature_celsius", "temp_variance"]
 
 
@@ -27,10 +29,18 @@ def split(df: DataFrame, id: str, share: float = 0.8, seed: int = 42) -> tuple[D
 
 
 def train_risk(df: DataFrame, trees: int = 100, seed: int = 42, depth: int = 5) -> PipelineModel:
-    """Random forest; training passes exchange histograms per tree node, not rows."""
+    """Random forest; training passes exchange histograms per tree node, not rows.
+
+    The model is returned as written and read again: a freshly fitted one holds its training summary and with it the session, which cannot go to
+    the executors once the session observes a write.
+    """
     forest = RandomForestClassifier(featuresCol="features", labelCol="is_at_risk", predictionCol="predicted_risk_class",
                                     numTrees=trees, seed=seed, maxDepth=depth)
-    return Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"), forest]).fit(df)
+    path = run_dir(df.sparkSession, "forest")
+    Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"), forest]).fit(df).write().save(path)
+    model = PipelineModel.load(path)
+    drop_folder(df.sparkSession, path)
+    return model
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -12,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from fleet_engine.operators.clean import clean_sentinel, silver_telemetry
 from fleet_engine.operators.documents import process_pending
 from fleet_engine.operators.keywords import document_lengths, score_postings, term_counts
-from fleet_engine.workspace import spread, stage
+from fleet_engine.workspace import broadcast_bounded, drop_folder, spread, stage
 
 
 def _start(stream: DataFrame, checkpoint: str, interval: str | None, each: Callable[[DataFrame, int], None]) -> StreamingQuery:
@@ -21,6 +22,16 @@ def _start(stream: DataFrame, checkpoint: str, interval: str | None, each: Calla
     return (stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def _subfolders(spark: SparkSession, path: str) -> list[str]:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return [f.getPath().getName() for f in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)] if _exists(spark, path) else []
+
+
 def _put(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
@@ -62,23 +73,38 @@ def append_batches(stream: DataFrame, out: str, checkpoint: str, interval: str |
     return _start(stream, checkpoint, interval, lambda batch, batch_id: _put(batch, out, batch_id))
 
 
+def known_ids(spark: SparkSession, out: str, id: str, id_type: str, days: list[date], batch_id: int) -> DataFrame | None:
+    """(id, event_day) of the rows that other batches have put into ``days``; only the folders of those days are listed and read."""
+    paths = [p for p in (f"{out}/event_day={d}" for d in days) if _exists(spark, p)]
+    if not paths:
+        return None
+    known = spark.read.schema(f"`{id}` {id_type}, event_day date, batch_id bigint").option("basePath", out).parquet(*paths)
+    return known.filter(F.col("event_day").isin(days) & (F.col("batch_id") != batch_id)).select(id, "event_day")
+
+
 def append_once(stream: DataFrame, id: str, at: str, out: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
-    """Append the rows of a stream whose ``id`` is not in the table yet, however late they come: no watermark, no state.
+    """Append the rows of a stream whose ``id`` is not in the table yet, however late they come: no watermark, no state that grows.
 
-    The table lies below ``out`` in a folder per batch and day of ``at``; a batch looks for its ids in the days that it holds. A row that is
-    delivered again must have the same ``at``. A replayed batch replaces its own folder and does not look into it.
+    The table lies below ``out`` in a folder per day of ``at`` and batch. A batch looks for its ids in the folders of its own days and in no others, so
+    its cost follows the batch and those days, not the age of the table. A row that is delivered again must have the same day. Of several rows of an
+    id in one batch the earliest stays, then the one with the smallest hash, so that a replay chooses alike; rows without an id cannot be told
+    apart and all stay. A replayed batch replaces its own folders and does not look into them.
     """
-    spark = stream.sparkSession
-    folder = spark._jvm.org.apache.hadoop.fs.Path(out)
-    hadoop = spark._jsc.hadoopConfiguration()
-
     def each(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.dropDuplicates([id]).withColumn("event_day", F.coalesce(F.to_date(at), F.lit("1970-01-01").cast("date")))
-        if folder.getFileSystem(hadoop).exists(folder):
-            schema = f"`{id}` {batch.schema[id].dataType.simpleString()}, event_day date, batch_id bigint"
-            known = batch.sparkSession.read.schema(schema).parquet(out).filter(F.col("batch_id") != batch_id)
-            batch = batch.join(known, [id, "event_day"], "left_anti")
-        batch.write.mode("overwrite").partitionBy("event_day").parquet(f"{out}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        order = Window.partitionBy(id).orderBy(F.col(at).asc_nulls_last(), F.xxhash64(*batch.columns))
+        named = batch.filter(F.col(id).isNotNull()).withColumn("_rn", F.row_number().over(order)).filter("_rn = 1").drop("_rn")
+        batch = named.unionByName(batch.filter(F.col(id).isNull())).withColumn("event_day", F.coalesce(F.to_date(at), F.lit("1970-01-01").cast("date"))).persist()
+        days = [r["event_day"] for r in batch.select("event_day").distinct().collect()]       # no more than there are days
+        known = known_ids(spark, out, id, batch.schema[id].dataType.simpleString(), days, batch_id)
+        fresh = batch
+        if known is not None:
+            # the ids of a batch are usually few beside those of its days: then the days are not shuffled
+            again = known.join(broadcast_bounded(batch.select(id, "event_day"), 1_000_000), [id, "event_day"], "left_semi")
+            fresh = batch.join(again, [id, "event_day"], "left_anti")
+        (fresh.withColumn("batch_id", F.lit(batch_id)).hint("rebalance", "event_day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("event_day", "batch_id").parquet(out))
+        batch.unpersist()
 
     return _start(stream, checkpoint, interval, each)
 
@@ -109,23 +135,75 @@ def read_index(spark: SparkSession, index_path: str, attributes: tuple[str, ...]
     return score_postings(stage(counts, "term-counts"), lengths, attributes)
 
 
+BUCKETS = 64           # of a summary table; its state has one row per key
+
+
 def stream_fault_summary(stream: DataFrame, key: str, out: str, checkpoint: str, score: str = "driver_frustration_score",
-                         ts: str = "recorded_at", interval: str | None = None) -> StreamingQuery:
-    """Keep partial sums per key and batch. They merge on reading, so no state has to be held between batches."""
-    def each(batch: DataFrame, batch_id: int) -> None:
-        _put(batch.groupBy(key).agg(
-            F.count(F.lit(1)).alias("n"), F.sum(score).alias("score_sum"), F.count(score).alias("score_n"),
-            F.count_if(F.col(score) < -0.5).alias("high"), F.max(ts).alias("latest")), out, batch_id)
+                         ts: str = "recorded_at", interval: str | None = None, buckets: int = BUCKETS) -> StreamingQuery:
+    """Keep one current row per key: a stateful aggregate hands on the keys that a batch changed, and their rows replace the old ones.
 
-    return _start(stream, checkpoint, interval, each)
+    Totals live in the state store of the stream (RocksDB, so they need not fit in memory). The table lies below ``out``/rows in a folder per bucket of
+    the key's hash and version; a batch reads and writes only the buckets of its keys. ``out``/current names the version of each bucket as of a
+    batch and is written last, so a reader sees a batch whole or not at all, and a replay starts from the versions before it. Older versions go.
+    """
+    def each(changed: DataFrame, batch_id: int) -> None:
+        spark = changed.sparkSession
+        changed = changed.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).persist()
+        touched = [r["bucket"] for r in changed.select("bucket").distinct().collect()]
+        before = _versions(spark, out, batch_id)
+        old = _version_rows(spark, out, {b: before[b] for b in touched if b in before}, changed.drop("bucket"))
+        rows = changed if old is None else changed.unionByName(old.join(changed.select(key, "bucket"), (old[key].eqNullSafe(changed[key])) & (old["bucket"] == changed["bucket"]), "left_anti"))
+        (rows.withColumn("version", F.lit(batch_id)).repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("bucket", "version").parquet(f"{out}/rows"))
+        after = {**before, **{b: batch_id for b in touched}}
+        _put(spark.createDataFrame(sorted(after.items()), "bucket int, version bigint").coalesce(1), f"{out}/current", batch_id)
+        changed.unpersist()
+        # the batch before may have to be replayed never again: its checkpoint is behind this one, so what only it named can go
+        for b in touched:
+            for name in _subfolders(spark, f"{out}/rows/bucket={b}"):
+                if int(name.partition("=")[2]) not in (batch_id, before.get(b)):
+                    drop_folder(spark, f"{out}/rows/bucket={b}/{name}")
+        for name in _subfolders(spark, f"{out}/current"):
+            if int(name.partition("=")[2]) < batch_id - 1:
+                drop_folder(spark, f"{out}/current/{name}")
+
+    totals = stream.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(score).alias("score_sum"), F.count(score).alias("score_n"),
+        F.count_if(F.col(score) < -0.5).alias("high"), F.max(ts).alias("latest"))
+    spark, provider = stream.sparkSession, "spark.sql.streaming.stateStore.providerClass"
+    former = spark.conf.get(provider)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        trigger = {"processingTime": interval} if interval else {"availableNow": True}
+        return totals.writeStream.outputMode("update").foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    finally:
+        spark.conf.set(provider, former)
+
+
+def _versions(spark: SparkSession, out: str, before: int | None = None) -> dict[int, int]:
+    """The version of each bucket as of the newest batch (below ``before``); at most ``BUCKETS`` entries."""
+    batches = [int(name.partition("=")[2]) for name in _subfolders(spark, f"{out}/current") if _exists(spark, f"{out}/current/{name}/_SUCCESS")]
+    batches = [b for b in batches if before is None or b < before]
+    return {r["bucket"]: r["version"] for r in spark.read.parquet(f"{out}/current/batch_id={max(batches)}").collect()} if batches else {}
+
+
+def _version_rows(spark: SparkSession, out: str, versions: dict[int, int], like: DataFrame | None = None) -> DataFrame | None:
+    """The rows of the given bucket versions; no other folder is listed."""
+    if not versions:
+        return None
+    reader = spark.read.option("basePath", f"{out}/rows")
+    if like is not None:
+        reader = reader.schema(T.StructType([*like.schema.fields, T.StructField("bucket", T.IntegerType()), T.StructField("version", T.LongType())]))
+    return reader.parquet(*[f"{out}/rows/bucket={b}/version={v}" for b, v in sorted(versions.items())]).drop("version")
 
 
 def read_fault_summary(spark: SparkSession, out: str, key: str) -> DataFrame:
-    """The fault summary merged from all batches."""
-    n = F.sum("score_n")
-    return spark.read.parquet(out).groupBy(key).agg(
-        F.sum("n").alias("total_fault_count"), F.when(n > 0, F.sum("score_sum") / n).alias("avg_frustration"),
-        F.sum("high").alias("high_frustration_count"), F.max("latest").alias("latest_fault_at"))
+    """The fault summary as of the newest whole batch: stored rows, neither merged nor shuffled, in as many folders as there are buckets."""
+    rows = _version_rows(spark, out, _versions(spark, out))
+    if rows is None:
+        raise ValueError(f"no batch has reached {out}")
+    return rows.select(key, F.col("n").alias("total_fault_count"), F.when(F.col("score_n") > 0, F.col("score_sum") / F.col("score_n")).alias("avg_frustration"),
+                       F.col("high").alias("high_frustration_count"), F.col("latest").alias("latest_fault_at"))
 
 
 def _compact(spark: SparkSession, out: str, to: str, merge: Callable[[DataFrame], DataFrame], by: tuple[str, ...] = ()) -> None:
@@ -133,24 +211,19 @@ def _compact(spark: SparkSession, out: str, to: str, merge: Callable[[DataFrame]
     batches = spark.read.parquet(out)
     last = batches.agg(F.max("batch_id")).first()[0]
     for part, name in ((merge(batches.filter(F.col("batch_id") < last)), -1), (batches.filter(F.col("batch_id") == last), last)):
-        part.drop("batch_id").hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(f"{to}/batch_id={name}")
+        part.withColumn("batch_id", F.lit(name)).hint("rebalance", *by).write.mode("append").partitionBy(*by, "batch_id").parquet(to)
 
 
 def compact_batches(spark: SparkSession, out: str, to: str, by: tuple[str, ...] = ()) -> None:
     """A table of ``append_batches``, or with ``by=("event_day",)`` of ``append_once``, in few files; the rows stay the same.
 
-    For this and the other ``compact_`` functions: run them while the stream is stopped, start it again with ``to`` in the place of ``out`` and its old
-    checkpoint, and drop ``out`` when nothing reads it. ``to`` is a new folder, so a run that breaks off leaves ``out`` whole and can be repeated.
+    For this and ``compact_index``: run them while the stream is stopped, start it again with ``to`` in the place of ``out`` and its old
+    checkpoint, and drop ``out`` when nothing reads it. ``to`` is a new folder, so a run that breaks off leaves ``out`` whole and can be repeated
+    into another one.
     """
     _compact(spark, out, to, lambda batches: batches, by)
 
 
-def compact_fault_summary(spark: SparkSession, out: str, to: str, key: str) -> None:
-    """The partial sums of ``stream_fault_summary`` with one row per key for all batches but the last."""
-    _compact(spark, out, to, lambda batches: batches.groupBy(key).agg(
-        *(F.sum(c).cast(batches.schema[c].dataType).alias(c) for c in ("n", "score_sum", "score_n", "high")), F.max("latest").alias("latest")))
-
-
 def compact_index(spark: SparkSession, index_path: str, to: str) -> None:
     """The index of ``refresh_index`` without what later batches replaced; a replaced document's last batch stays in force."""
     stale = _stale(spark.read.parquet(f"{index_path}/docs"))
