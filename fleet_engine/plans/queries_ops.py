@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from fleet_engine.operators import governance, layout, quality, ranking, risk, semantic
 from fleet_engine.operators.aggregates import fault_summary
 from fleet_engine.operators.clean import STAMP
-from fleet_engine.operators.keywords import bm25_topk
+from fleet_engine.operators.textindex import TextIndex, search_index
 from fleet_engine.plans import domain
 from fleet_engine.plans.domain import BRONZE_SQL, FAULTS_SQL, REQUESTS_SQL, RESPONSES_SQL, SILVER_SQL, STAMP_SQL, words_sql
 from fleet_engine.plans.queries_gold import FAULT_SUMMARY_COLUMNS, GOLD_SQL, gold, shown_summary
@@ -58,7 +58,7 @@ def watch_files(spark, sf_dir):
 def refresh_index(spark, sf_dir):
     index, seen = run_dir(spark, "index"), run_dir(spark, "checkpoint")
     streams.refresh_index(arriving(spark, sf_dir, "documents"), "doc_id", "text", index, seen).awaitTermination()
-    return bm25_topk(stage(streams.read_index(spark, index), "postings"), query_texts(spark, sf_dir), 5)
+    return search_index(TextIndex(spark, index), query_texts(spark, sf_dir), 5)
 
 
 FAULT_SUMMARY_SQL = f"WITH {FAULTS_SQL} SELECT {FAULT_SUMMARY_COLUMNS} FROM faults GROUP BY vin"

@@ -7,7 +7,7 @@ import json
 from pyspark.sql import functions as F
 
 from fleet_engine.functions.text import like_escape
-from fleet_engine.operators import fusion, keywords, retrieval, vectors
+from fleet_engine.operators import fusion, keywords, retrieval, textindex, vectors
 from fleet_engine.operators.enrich import embed_text, fit_embedding
 from fleet_engine.plans import domain
 from fleet_engine.plans.domain import REQUESTS_SQL, words_sql
@@ -156,6 +156,20 @@ def search_service(spark, sf_dir):
     return service.search(query_texts(spark, sf_dir), 5, {"lang": LANG})
 
 
+# each query asks for documents of a language of its own, one in five of any language
+ASKED_LANG = "CASE query_id % 5 WHEN 0 THEN 'en' WHEN 1 THEN 'de' WHEN 2 THEN 'fr' WHEN 3 THEN 'es' END"
+
+
+@query("h8_search_filtered", f"""WITH {bm25_sql(QUERY_TEXTS, 5, f"coalesce(lang = {ASKED_LANG}, query_id % 5 = 4)")}
+SELECT query_id, doc_id, score, rank, source, n_chars FROM best JOIN documents USING (doc_id)""")
+def search_filtered(spark, sf_dir):
+    """Queries with a filter of their own over one index, and the source and size of each hit."""
+    index = textindex.TextIndex(spark, run_dir(spark, "service"), attributes=("lang",), stored=("source", "n_chars"))
+    textindex.add_documents(index, domain.read(spark, sf_dir, "documents"), "doc_id", "text", 0)
+    asked = query_texts(spark, sf_dir).withColumn("lang", F.expr(ASKED_LANG))
+    return textindex.search_index(index, asked, 5, fields=("source", "n_chars"), filters=("lang",))
+
+
 TEMPLATES = {"diagnostic_agent_v2": "Context: {context} Symptoms: {symptoms} Code: {error_code}",
              "diagnostic_agent_v1": "Context: {context} Question: {question}",
              "diagnostic_expert_json": "Manual: {context} Symptoms: {symptoms} Code: {error_code}"}

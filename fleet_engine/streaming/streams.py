@@ -12,8 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fleet_engine.operators.clean import clean_sentinel, silver_telemetry
 from fleet_engine.operators.documents import process_pending
-from fleet_engine.operators.keywords import document_lengths, score_postings, term_counts
-from fleet_engine.workspace import broadcast_bounded, drop_folder, spread, stage
+from fleet_engine.operators.textindex import TextIndex, add_documents, compact
+from fleet_engine.workspace import broadcast_bounded, drop_folder, folder_exists, spread, subfolders
 
 
 def _start(stream: DataFrame, checkpoint: str, interval: str | None, each: Callable[[DataFrame, int], None]) -> StreamingQuery:
@@ -22,16 +22,6 @@ def _start(stream: DataFrame, checkpoint: str, interval: str | None, each: Calla
     return (stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
-
-
-def _subfolders(spark: SparkSession, path: str) -> list[str]:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return [f.getPath().getName() for f in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)] if _exists(spark, path) else []
-
-
 def _put(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
@@ -75,7 +65,7 @@ def append_batches(stream: DataFrame, out: str, checkpoint: str, interval: str |
 
 def known_ids(spark: SparkSession, out: str, id: str, id_type: str, days: list[date], batch_id: int) -> DataFrame | None:
     """(id, event_day) of the rows that other batches have put into ``days``; only the folders of those days are listed and read."""
-    paths = [p for p in (f"{out}/event_day={d}" for d in days) if _exists(spark, p)]
+    paths = [p for p in (f"{out}/event_day={d}" for d in days) if folder_exists(spark, p)]
     if not paths:
         return None
     known = spark.read.schema(f"`{id}` {id_type}, event_day date, batch_id bigint").option("basePath", out).parquet(*paths)
@@ -110,32 +100,14 @@ def append_once(stream: DataFrame, id: str, at: str, out: str, checkpoint: str,
 
 
 def refresh_index(stream: DataFrame, id: str, text: str, index_path: str, checkpoint: str, lag: str | None = None,
-                  attributes: tuple[str, ...] = ()) -> StreamingQuery:
-    """Add documents to the index. Only counts are stored, so earlier batches stay valid as the corpus grows. A document that comes
-    again replaces its older self; one that comes again with a NULL text is gone."""
-    def each(batch: DataFrame, batch_id: int) -> None:
-        batch = spread(batch.dropDuplicates([id]), id)
-        _put(term_counts(batch, id, text, attributes), f"{index_path}/terms", batch_id)
-        _put(document_lengths(batch, id, text), f"{index_path}/docs", batch_id)
-
-    return _start(stream, checkpoint, lag, each)
-
-
-def _stale(docs: DataFrame) -> DataFrame:
-    """(doc_id, batch_id) of documents that a later batch replaced."""
-    newest = docs.groupBy("doc_id").agg(F.max("batch_id").alias("_newest"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    return stage(docs.join(newest, "doc_id").filter("batch_id < _newest").select("doc_id", "batch_id"), "stale-documents")
-
-
-def read_index(spark: SparkSession, index_path: str, attributes: tuple[str, ...] = ()) -> DataFrame:
-    """Postings of all batches, weighted with the statistics of the whole corpus as it is now."""
-    terms, docs = (spark.read.parquet(f"{index_path}/{part}") for part in ("terms", "docs"))
-    stale = _stale(docs)
-    counts, lengths = (part.join(stale, ["doc_id", "batch_id"], "left_anti").drop("batch_id") for part in (terms, docs))
-    return score_postings(stage(counts, "term-counts"), lengths, attributes)
+                  attributes: tuple[str, ...] = (), stored: tuple[str, ...] = (), newest: str | None = None) -> StreamingQuery:
+    """Add documents to a log-structured index. A document that comes again replaces its older self; one that comes again with a NULL text is gone.
+    Of several rows of a document in one batch the one with the largest ``newest`` counts."""
+    index = TextIndex(stream.sparkSession, index_path, attributes, stored)
+    return _start(stream, checkpoint, lag, lambda batch, batch_id: add_documents(index, spread(batch, id), id, text, batch_id, newest))
 
 
-BUCKETS = 64           # of a summary table; its state has one row per key
+BUCKETS = 16           # of a summary table; its state has one row per key
 
 
 def stream_fault_summary(stream: DataFrame, key: str, out: str, checkpoint: str, score: str = "driver_frustration_score",
@@ -160,10 +132,10 @@ def stream_fault_summary(stream: DataFrame, key: str, out: str, checkpoint: str,
         changed.unpersist()
         # the batch before may have to be replayed never again: its checkpoint is behind this one, so what only it named can go
         for b in touched:
-            for name in _subfolders(spark, f"{out}/rows/bucket={b}"):
+            for name in subfolders(spark, f"{out}/rows/bucket={b}"):
                 if int(name.partition("=")[2]) not in (batch_id, before.get(b)):
                     drop_folder(spark, f"{out}/rows/bucket={b}/{name}")
-        for name in _subfolders(spark, f"{out}/current"):
+        for name in subfolders(spark, f"{out}/current"):
             if int(name.partition("=")[2]) < batch_id - 1:
                 drop_folder(spark, f"{out}/current/{name}")
 
@@ -182,7 +154,7 @@ def stream_fault_summary(stream: DataFrame, key: str, out: str, checkpoint: str,
 
 def _versions(spark: SparkSession, out: str, before: int | None = None) -> dict[int, int]:
     """The version of each bucket as of the newest batch (below ``before``); at most ``BUCKETS`` entries."""
-    batches = [int(name.partition("=")[2]) for name in _subfolders(spark, f"{out}/current") if _exists(spark, f"{out}/current/{name}/_SUCCESS")]
+    batches = [int(name.partition("=")[2]) for name in subfolders(spark, f"{out}/current") if folder_exists(spark, f"{out}/current/{name}/_SUCCESS")]
     batches = [b for b in batches if before is None or b < before]
     return {r["bucket"]: r["version"] for r in spark.read.parquet(f"{out}/current/batch_id={max(batches)}").collect()} if batches else {}
 
@@ -224,11 +196,9 @@ def compact_batches(spark: SparkSession, out: str, to: str, by: tuple[str, ...]
     _compact(spark, out, to, lambda batches: batches, by)
 
 
-def compact_index(spark: SparkSession, index_path: str, to: str) -> None:
+def compact_index(spark: SparkSession, index_path: str, to: str, attributes: tuple[str, ...] = (), stored: tuple[str, ...] = ()) -> None:
     """The index of ``refresh_index`` without what later batches replaced; a replaced document's last batch stays in force."""
-    stale = _stale(spark.read.parquet(f"{index_path}/docs"))
-    for part in ("terms", "docs"):
-        _compact(spark, f"{index_path}/{part}", f"{to}/{part}", lambda batches: batches.join(stale, ["doc_id", "batch_id"], "left_anti"))
+    compact(TextIndex(spark, index_path, attributes, stored), to)
 
 
 TELEMETRY_SCHEMA = T.StructType([

@@ -52,6 +52,17 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder; none where it does not exist."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return [f.getPath().getName() for f in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)] if folder_exists(spark, path) else []
+
+
 def fits(df: DataFrame, max_rows: int = 10_000, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows that take at most ``max_bytes`` as JSON; one more row than that is read at most."""
     row_bytes = F.octet_length(F.to_json(F.struct("*"))).cast("bigint") + 8 * len(df.columns)

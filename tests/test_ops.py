@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from fleet_engine.operators import governance, layout, quality, ranking, risk, semantic
 from fleet_engine.operators.aggregates import fault_summary
+from fleet_engine.operators.textindex import TextIndex, add_documents, asked_blocks, index_postings, search_index
 from fleet_engine.streaming import streams
 
 
@@ -59,7 +60,7 @@ def test_index_refresh_equals_full_build(spark, tmp_path):
     def shown(p):
         return rows(p.select("term", "doc_id", F.round("impact", 9), "df"))
 
-    assert shown(streams.read_index(spark, index)) == shown(bm25_index(whole, "doc_id", "text"))
+    assert shown(index_postings(TextIndex(spark, index))) == shown(bm25_index(whole, "doc_id", "text"))
 
 
 def test_index_refresh_replaces_and_deletes(spark, tmp_path):
@@ -75,7 +76,65 @@ def test_index_refresh_replaces_and_deletes(spark, tmp_path):
     def shown(p):
         return rows(p.select("term", "doc_id", F.round("impact", 9), "df"))
 
-    assert shown(streams.read_index(spark, index)) == shown(bm25_index(now, "doc_id", "text"))
+    assert shown(index_postings(TextIndex(spark, index))) == shown(bm25_index(now, "doc_id", "text"))
+
+
+def test_index_of_repeated_and_null_rows(spark, tmp_path):
+    """Two versions in one batch: the newest counts; NULL ids are left out; a version of an older batch is replaced once."""
+    from fleet_engine.operators.keywords import bm25_index
+
+    index = TextIndex(spark, str(tmp_path / "index"), slots=3)
+    schema = "doc_id long, text string, at int"
+    for n, batch in enumerate([[(1, "a b", 1), (1, "c", 2), (2, "", 1), (None, "a", 1)], [(1, "d d", 5), (1, "e", 4), (3, "a", 1)], [(2, None, 1), (3, "a f", 2)]]):
+        for _ in range(2):                       # each batch is replayed
+            add_documents(index, spark.createDataFrame(batch, schema), "doc_id", "text", n, "at")
+    now = spark.createDataFrame([(1, "d d"), (3, "a f")], "doc_id long, text string")
+    shown = lambda p: rows(p.select("term", "doc_id", F.round("impact", 9), "df"))
+    assert shown(index_postings(index)) == shown(bm25_index(now, "doc_id", "text"))
+    assert rows(search_index(index, spark.createDataFrame([(1, "D a"), (2, None), (3, "zz")], "query_id long, text string"), 5).select("query_id", "doc_id", "rank")) == [(1, 1, 1), (1, 3, 2)]
+    nothing = TextIndex(spark, str(tmp_path / "none"))
+    assert search_index(nothing, spark.createDataFrame([(1, "a")], "query_id long, text string"), 5).count() == 0
+
+
+def test_search_after_a_refresh_reads_only_asked_terms(spark, tmp_path):
+    index = TextIndex(spark, str(tmp_path / "index"))
+    docs = spark.range(300).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(1, 40), i -> concat('w', (id * 7 + i * i) % 500))) AS text")
+    add_documents(index, docs, "doc_id", "text", 0)
+    add_documents(index, docs.filter("doc_id = 7").selectExpr("doc_id", "'w1 brandnew' AS text"), "doc_id", "text", 1)
+    words = spark.createDataFrame([("brandnew",), ("w1",)], "term string").selectExpr("term", f"int(pmod(xxhash64(term), {index.slots})) AS slot")
+    asked = {r.slot for r in words.collect()}
+    for part in asked_blocks(index, words, index.batches()):
+        filters = part._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: ")[1]
+        assert "slot" in filters.split("PushedFilters")[0]
+        assert {int(f.split("slot=")[1].split("/")[0]) for f in part.inputFiles()} == asked
+    assert [(r.doc_id, r.rank) for r in search_index(index, spark.createDataFrame([(1, "brandnew")], "query_id long, text string"), 3).collect()] == [(7, 1)]
+
+
+def test_blocks_that_cannot_reach_the_floor_are_not_read(spark, tmp_path):
+    """Every text has common words; queries also hold one rare word, so most ranges stay below the floor."""
+    from fleet_engine.operators.keywords import bm25_index, bm25_topk
+
+    docs = spark.range(4000).selectExpr("id AS doc_id", "concat_ws(' ', 'the of and', concat('rare', id % 400), concat('some', id % 40), if(id % 3 = 0, 'the the to', 'a')) AS text")
+    queries = spark.range(30).selectExpr("id AS query_id", "concat('the of a rare', id * 13) AS text")
+    index, work = TextIndex(spark, str(tmp_path / "index")), {}
+    add_documents(index, docs, "doc_id", "text", 0)
+    got = search_index(index, queries, 5, work=work)
+    assert rows(got) == rows(bm25_topk(bm25_index(docs, "doc_id", "text"), queries, 5).select(*got.columns))
+    assert 0 < work["read"] < 0.5 * work["pairs"]
+
+
+def test_filters_per_query_and_stored_fields(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "oil pump", "en", "a"), (2, "oil", "de", "b"), (3, "oil oil pump", None, "c"), (4, None, "en", "d"), (5, "oil oil", "en", None)],
+                                 "doc_id long, text string, lang string, source string")
+    index = TextIndex(spark, str(tmp_path / "index"), ("lang",), ("source",))
+    add_documents(index, docs, "doc_id", "text", 0)
+    add_documents(index, docs.filter("doc_id = 2").withColumn("source", F.lit("new")), "doc_id", "text", 1)
+    asked = spark.createDataFrame([(1, "oil", "en"), (2, "oil", "de"), (3, "oil", None), (4, "oil", "fr"), (5, "oil", "en")], "query_id long, text string, lang string")
+    got = search_index(index, asked, 9, fields=("source",), filters=("lang",))
+    found = {q: {(r.doc_id, r.source) for r in got.collect() if r.query_id == q} for q in range(1, 6)}
+    assert found[1] == found[5] == {(1, "a"), (5, None)} and found[2] == {(2, "new")} and found[3] == {(1, "a"), (2, "new"), (3, "c"), (5, None)} and not found[4]
+    with pytest.raises(ValueError):
+        search_index(index, asked, 1, filters=("source",))
 
 
 def test_late_and_repeated_events_reach_silver_once(spark, tmp_path):
@@ -169,7 +228,7 @@ def test_compaction_keeps_the_results(spark, tmp_path):
     batches = [[(1, "brake pad"), (2, "oil"), (3, "coil")], [(1, "brake disc"), (3, None)], [(4, "oil oil")], [(1, "pad"), (2, None)], [(5, "disc")]]
 
     def state(i):
-        return (rows(streams.read_index(spark, paths[f"index{i}"]).select("term", "doc_id", F.round("impact", 9), "df")),
+        return (rows(index_postings(TextIndex(spark, paths[f"index{i}"])).select("term", "doc_id", F.round("impact", 9), "df")),
                 rows(spark.read.parquet(paths[f"silver{i}"]).select("event_id", "event_day")), rows(streams.read_fault_summary(spark, paths["sums0"], "vin")))
 
     at = 0
