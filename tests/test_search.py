@@ -70,6 +70,28 @@ def test_grid_makes_no_row_per_pair(vector_tables):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan and "FlatMapCoGroups" in plan
 
 
+def test_pivots_spare_cells_and_copies(spark):
+    """Clustered vectors: a query meets few cells, and a corpus row is copied to fewer blocks than a grid of all queries would copy it to."""
+    rnd = random.Random(11)
+    mids = [[rnd.uniform(-50, 50) for _ in range(5)] for _ in range(20)]
+    point = lambda i: [m + rnd.gauss(0, 1) for m in mids[i % 20]]
+    c = [(i, None, point(i)) for i in range(800)] + [(900 + i, None, list(mids[0])) for i in range(60)]
+    q = [(i, None, point(i)) for i in range(300)] + [(400, None, [1000.0] * 5), (401, None, list(mids[0]))]
+    queries, corpus = spark.createDataFrame(q, "query_id long, k string, embedding array<float>"), spark.createDataFrame(c, "item_id long, k string, embedding array<float>")
+    work = {}
+    got = vectors.pivot_topk(queries, corpus, 4, pivots=30, block_rows=16, visited=work)
+    assert rows(got) == brute(q, c, 4, False) and work["visited"] < 0.35 * work["pairs"]
+    centres = vectors.pick_pivots(corpus, 30)
+    cells = vectors._cells_of(corpus, centres)
+    known = vectors._Cells.of(cells, centres, "block_key")
+    meets = Counter(r.block_key for r in vectors._visits(queries, known, 4, 1, False).collect())
+    copies = sum(-(-meets[r.block_key] // 16) for r in cells.collect()) / len(c)
+    assert copies < -(-len(q) // 16) / 3
+    assert rows(vectors.pivot_topk(queries, corpus, 3, radius=2.0, pivots=30, block_rows=16)) == brute(q, c, 3, False, 2.0)
+    assert vectors.pivot_topk(queries, corpus.limit(0), 4).count() == 0 and vectors.pivot_topk(queries.limit(0), corpus, 4).count() == 0
+    assert rows(vectors.pivot_topk(queries, corpus.limit(2), 4)) == brute(q, [(r.item_id, None, r.embedding) for r in corpus.limit(2).collect()], 4, False)
+
+
 @pytest.mark.parametrize("sizes", BOTH)
 def test_ann(vector_tables, sizes):
     q, c, queries, corpus = vector_tables
