@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleet_engine.functions.text import mask_tail
-from fleet_engine.operators import clean, documents
+from fleet_engine.operators import clean, documents, workqueue
 from fleet_engine.plans import domain
 from fleet_engine.plans.domain import (BRONZE_SQL, MANUALS_SQL, REQUESTS_SQL, RESPONSES_SQL, SILVER_SQL, STAMP_SQL,
                                        UPLOADS_SQL, vin_sql)
@@ -296,14 +296,32 @@ def process_pending_status(spark, sf_dir):
     return status.drop("processed_at")
 
 
+STARTED, FINISHED = "2024-01-31 00:05:00", "2024-01-31 00:06:00"
+
+
+def worked_queue(spark, sf_dir):
+    """The log of a queue that one run left half done and another one finished after the lease: (log, chunks)."""
+    log, out = run_dir(spark, "queue-log"), run_dir(spark, "queue-chunks")
+    rows = stage(queue(spark, sf_dir), "queue")
+    workqueue.enqueue(rows, log, "first")
+    workqueue.claim(spark, log, "lost", NOW, "2 MINUTES")           # this run ends before it has worked
+    workqueue.run_claimed(rows, stored_files(spark, sf_dir), log, out, "kept", STARTED, "2 MINUTES", FINISHED)
+    return log, out
+
+
 @query("c5_latest_status", f"WITH {RUN_SQL} {STATUS_SQL}")
 def latest_status(spark, sf_dir):
-    rows = queue(spark, sf_dir)
-    _, status, _ = documents.process_pending(rows, stored_files(spark, sf_dir), NOW)
-    start = rows.select("ingestion_id", "status", "error_message", F.lit(0).alias("seq"))
-    log = (start.unionByName(start.withColumns({"status": F.lit("PROCESSING"), "seq": F.lit(1)}))
-           .unionByName(status.drop("processed_at").withColumn("seq", F.lit(2))))
-    return documents.latest_status(log)
+    log, _ = worked_queue(spark, sf_dir)
+    return workqueue.queue_state(workqueue.read_log(spark, log), FINISHED).select("ingestion_id", "status", "error_message")
+
+
+@query("c5_status_history", f"""WITH {RUN_SQL}, ends AS ({STATUS_SQL})
+SELECT ingestion_id, step::INTEGER AS step, CASE step WHEN 1 THEN 'PENDING' WHEN 4 THEN status ELSE 'PROCESSING' END AS status,
+       CASE step WHEN 2 THEN 'lost' WHEN 1 THEN NULL ELSE 'kept' END AS claim_id, CASE WHEN step = 4 THEN error_message END AS error_message
+FROM ends, range(1, 5) AS s(step)""")
+def status_history(spark, sf_dir):
+    log, _ = worked_queue(spark, sf_dir)
+    return workqueue.status_history(workqueue.read_log(spark, log))
 
 
 @query("k2_mask_tail", f"WITH {BRONZE_SQL} SELECT event_id, '***-***-' || right(vin, 4) AS vin_masked FROM bronze")

@@ -184,3 +184,47 @@ def test_workspace(spark):
     assert fits(long, 2) and not fits(long, 2, 5000) and not fits(long, 1) and fits(long.filter("id = 2"), 2, 5000) and fits(long.limit(0), 0, 0)
     big = spark.range(0, 100, 1, 64)
     assert spread(big, "id") is big and spread(spark.range(0, 100, 1, 1), "id").rdd.getNumPartitions() == 8
+
+
+def test_claims_and_leases(spark, tmp_path):
+    """A killed run's files are taken again after the lease; of two runs at once one wins each file; the first result counts."""
+    from fleet_engine.operators import workqueue
+
+    log, out = str(tmp_path / "log"), str(tmp_path / "chunks")
+    queue = spark.createDataFrame([(f"i{n}", f"f{n}.pdf", "V", "2024-01-01 00:00:00") for n in range(4)], "ingestion_id string, filename string, vin_reference string, received_at string")
+    files = spark.createDataFrame([(f"f{n}.pdf", f"line {n}" if n else "") for n in range(3)], "filename string, content string")
+    workqueue.enqueue(queue, log, "a")
+    workqueue.enqueue(queue, log, "a")                              # repeated registration of the same step
+    at = lambda minute: f"2024-01-01 01:{minute:02d}:00"            # noqa: E731
+    state = lambda minute: {r.ingestion_id: (r.status, r.claim_id) for r in workqueue.queue_state(workqueue.read_log(spark, log), at(minute)).collect()}
+    assert set(state(0).values()) == {("PENDING", None)}
+    assert workqueue.claim(spark, log, "killed", at(0), "10 MINUTES").count() == 4
+    assert workqueue.claim(spark, log, "late", at(5), "10 MINUTES").count() == 0     # all are claimed
+    assert set(state(5).values()) == {("PROCESSING", "killed")} and set(state(11).values()) == {("PENDING", None)}
+    workqueue.run_claimed(queue, files, log, out, "second", at(12), "10 MINUTES", at(14))
+    assert state(13) == {f"i{n}": ("PROCESSING", "second") for n in range(4)}
+    assert state(14) == {"i0": ("FAILED", "second"), "i1": ("COMPLETED", "second"), "i2": ("COMPLETED", "second"), "i3": ("FAILED", "second")}
+    # the first owner was only slow: its later result does not count, nor do its chunks
+    slow = spark.createDataFrame([("i1", "f1.pdf", "FAILED", "late", "killed", at(20), None)], "ingestion_id string, filename string, status string, error_message string, claim_id string, at string, until string")
+    workqueue._put(slow.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("at", "until")}), log, "result-killed")
+    assert state(30)["i1"] == ("COMPLETED", "second")
+    assert sorted(r.chunk_text for r in workqueue.finished_chunks(spark, log, out, at(30)).collect()) == ["line 1", "line 2"]
+    steps = {}
+    for r in workqueue.status_history(workqueue.read_log(spark, log)).orderBy("step").collect():
+        steps.setdefault(r.ingestion_id, []).append(r.status)
+    assert steps["i0"] == ["PENDING", "PROCESSING", "PROCESSING", "FAILED"] and steps["i1"][-2:] == ["COMPLETED", "FAILED"]
+    workqueue.run_claimed(queue, files, log, out, "idle", at(40), "10 MINUTES")
+    assert state(41) == state(30)
+
+
+def test_two_claims_at_once_share_nothing(spark, tmp_path):
+    """Both runs saw the files waiting and wrote claims: each file belongs to one of them."""
+    from fleet_engine.operators import workqueue
+
+    log = str(tmp_path / "log")
+    workqueue.enqueue(spark.createDataFrame([(f"i{n}", f"f{n}", "2024-01-01 00:00:00") for n in range(6)], "ingestion_id string, filename string, received_at string"), log, "a")
+    waiting = workqueue.queue_state(workqueue.read_log(spark, log), "2024-01-01 01:00:00")
+    for name in ("x", "y"):
+        at = F.lit("2024-01-01 01:00:00").cast("timestamp_ntz")
+        workqueue._put(waiting.select("ingestion_id", "filename").withColumns(workqueue._row("PROCESSING", at, name, at + F.expr("INTERVAL 5 MINUTES"))), log, f"claim-{name}")
+    assert {r.claim_id for r in workqueue.queue_state(workqueue.read_log(spark, log), "2024-01-01 01:01:00").collect()} == {"x"}
