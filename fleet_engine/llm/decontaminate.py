@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleet_engine.llm.common import free_name
 from fleet_engine.workspace import fits, stage
 
 WINDOW = 5               # template words per window
@@ -183,5 +184,6 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the documents that hold an item; rows with a NULL id stay."""
-    dirty = stage(leaks(docs, items, id_col, text_col, **options).select(F.col(id_col).alias("_leak_id")).distinct(), "leaks")
-    return docs.join(dirty, F.col(id_col) == F.col("_leak_id"), "left_anti")
+    leak = free_name(docs, "_leak_id")
+    dirty = stage(leaks(docs, items, id_col, text_col, **options).select(F.col(id_col).alias(leak)).distinct(), "leaks")
+    return docs.join(dirty, F.col(id_col) == F.col(leak), "left_anti")

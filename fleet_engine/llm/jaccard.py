@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleet_engine.llm.common import KeyFilter, gram_hashes, joined, text_chunks
+from fleet_engine.llm.common import KeyFilter, free_name, gram_hashes, joined, text_chunks
 from fleet_engine.llm.components import components
 from fleet_engine.llm.quality_rules import word_hashes
 from fleet_engine.workspace import stage
@@ -211,11 +211,13 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one document of each class of similar texts, that of the smallest id. Rows with a NULL id stay. Where ids repeat, one row of each is kept."""
-    found = stage(jaccard_join(docs, id_col, text_col, **options).select(F.col(id_col).alias("_id"), "class_id"), "near-copies")
-    drop = stage(found.filter("_id <> class_id").select("_id").distinct(), "near-copies-out")
-    kept = docs.join(drop, F.col(id_col) == F.col("_id"), "left_anti")
-    repeated = stage(found.filter("_id is not null").groupBy("_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_id"), "repeated")
+    key = free_name(docs, "_id")
+    found = stage(jaccard_join(docs, id_col, text_col, **options).select(F.col(id_col).alias(key), "class_id"), "near-copies")
+    same = F.col(id_col) == F.col(key)
+    drop = stage(found.filter(F.col(key) != F.col("class_id")).select(key).distinct(), "near-copies-out")
+    kept = docs.join(drop, same, "left_anti")
+    repeated = stage(found.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(key), "repeated")
     if repeated.isEmpty():
         return kept
-    twice = kept.join(repeated, F.col(id_col) == F.col("_id"), "left_semi").dropDuplicates([id_col])
-    return kept.join(repeated, F.col(id_col) == F.col("_id"), "left_anti").unionByName(twice)
+    twice = kept.join(repeated, same, "left_semi").dropDuplicates([id_col])
+    return kept.join(repeated, same, "left_anti").unionByName(twice)

@@ -68,12 +68,13 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     holds. Other columns pass through; an input column named ``n_lines`` or ``n_dropped`` is replaced. With ``digest_only`` the result is
     (id, n_lines, n_dropped, kept_sha256) and no text leaves the task.
     """
-    drops = shared_lines(docs, id_col, text_col, min_chars, min_docs).select(F.col("_id").alias("_drop_id"), "_keys")
+    drop_id = free_name(docs, "_drop_id")
+    drops = shared_lines(docs, id_col, text_col, min_chars, min_docs).select(F.col("_id").alias(drop_id), "_keys")
     kept = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
     if digest_only:
         kept = [id_col, text_col]
     keys = free_name(docs, "_keys")
-    rows = docs.select(*kept).join(drops.withColumnRenamed("_keys", keys), F.col(id_col).eqNullSafe(F.col("_drop_id")), "left")
+    rows = docs.select(*kept).join(drops.withColumnRenamed("_keys", keys), F.col(id_col).eqNullSafe(F.col(drop_id)), "left")
     rows = rows.select(*kept, keys)
     text_at, id_at = kept.index(text_col), kept.index(id_col)
 

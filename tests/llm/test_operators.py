@@ -468,3 +468,22 @@ def test_empty_tables(spark):
     assert line_dedup.line_dedup(docs).count() == 0 and suffixes.remove_repeats(docs).count() == 0 and decontaminate.leaks(docs, items).count() == 0
     pages = spark.createDataFrame([], "page_id bigint, url string, html string")
     assert warc.read_records(spark, warc.write_archive(pages, run_dir(spark, "warc"))).count() == 0
+
+
+def test_columns_named_like_inner_ones(spark):
+    """Extra columns with the names that stages use for their own keys."""
+    line = "This line stands in very many documents of the corpus, as it is"
+    rows = [(i, f"{line}\nown text number {i} with several further words in it {i * 7}", *("x",) * 5) for i in range(6)] + [(9, "what is the smallest prime above twenty of them", *("x",) * 5), (10, rows_text(3), *("x",) * 5), (11, rows_text(3), *("x",) * 5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _id string, _drop_id string, _leak_id string, _ID_ string, class_id string")
+    items = spark.createDataFrame([(1, "what is the smallest prime above twenty of them")], "item_id bigint, text string")
+    out = line_dedup.line_dedup(docs)
+    assert out.columns == [*docs.columns, "n_lines", "n_dropped"] and {r.doc_id: r.n_dropped for r in out.collect()}[0] == 1
+    clean = decontaminate.decontaminate(docs, items)
+    assert clean.columns == docs.columns and sorted(r.doc_id for r in clean.collect()) == [0, 1, 2, 3, 4, 5, 10, 11]
+    one = jaccard.keep_one(docs)
+    assert one.columns == docs.columns and sorted(r.doc_id for r in one.collect()) == [0, 1, 2, 3, 4, 5, 9, 10]
+
+
+def rows_text(seed):
+    rnd = random.Random(seed)
+    return " ".join("".join(rnd.choice("abcdefg") for _ in range(5)) for _ in range(60))
