@@ -29,10 +29,10 @@ def tagged(text: Column) -> Column:
     """
     t = F.replace(F.replace(F.coalesce(text, F.lit("")), F.lit("#"), F.lit(" ")), F.lit("_"), F.lit(" "))
     t = F.regexp_replace(t, r"\p{Lu}(?<=[\p{Ll},;] \p{Lu})\p{Ll}+", "p#$0")
-    t = F.regexp_replace(t, r"(?<![\p{L}0-9#])\p{Lu}\p{Ll}+", "s#$0")
+    t = F.regexp_replace(t, r"\p{Lu}(?<![\p{L}0-9#]\p{Lu})\p{Ll}+", "s#$0")
     units = "|".join(sorted(UNITS, key=len, reverse=True))
     digits = F.regexp_replace(t, r"(?<=[0-9])[.,](?=[0-9])", "_")
-    digits = F.regexp_replace(digits, r"(?<![\p{L}0-9#_])([0-9][0-9_]*)", "n#$1")
+    digits = F.regexp_replace(digits, r"[0-9](?<![\p{L}0-9#_][0-9])[0-9_]*", "n#$0")
     digits = F.regexp_replace(digits, rf"(n#[0-9_]+) ?({units})(?![\p{{L}}0-9_])", "$1 u#$2")
     t = F.when(t.rlike("[0-9]"), digits).otherwise(t)
     return F.trim(F.regexp_replace(F.lower(t), r"[\x00-\x22\x24-\x2F\x3A-\x5E\x60\x7B-\x7F -⁯]+", " "))
@@ -59,9 +59,19 @@ def _windows(n: Column, size: int | Column = WINDOW) -> Column:
     return F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
 
 
-def _literal(words: Column) -> Column:
+def _hashes(words: Column) -> Column:
+    """One hash per word of a text."""
+    return F.transform(F.split(words, " "), lambda w: F.xxhash64(w))
+
+
+def _key(hashes: Column, n: int = WINDOW, start: Column | int = 0) -> Column:
+    """Key of ``n`` word hashes from ``start`` on; places beyond the end are left out of it."""
+    return F.xxhash64(*(F.get(hashes, start + F.lit(k)) for k in range(n)))
+
+
+def _literal(hashes: Column, n: int = WINDOW, start: Column | int = 0) -> Column:
     """Key of a window of words with their values; never meant to equal that of a template."""
-    return F.xxhash64(F.lit("words"), words)
+    return F.xxhash64(F.lit("words"), _key(hashes, n, start))
 
 
 def item_templates(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -80,7 +90,8 @@ def item_templates(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
     at = F.transform(_windows(F.size(plain)), lambda i: F.struct(i.alias("pos"), F.slice(plain, i + 1, WINDOW).alias("w"), F.slice(first, i + 1, WINDOW).alias("first")))
     usable = F.filter(at, lambda x: F.size(F.filter(x["w"], lambda t: ~t.startswith("#"))) >= LEAST_WORDS)
     slots = lambda w: F.filter(F.transform(w, lambda t, k: F.when(t.startswith("#"), k)), lambda k: k.isNotNull())
-    keys = lambda x: F.array_distinct(F.array(F.xxhash64(x["w"]), F.xxhash64(x["first"])))
+    key = lambda w: _key(F.transform(w, lambda t: F.xxhash64(t)))
+    keys = lambda x: F.array_distinct(F.array(key(x["w"]), key(x["first"])))
     rows = rows.withColumn("usable", F.transform(usable, lambda x: F.struct(x["pos"].alias("pos"), keys(x).alias("keys"), slots(x["w"]).alias("slots"))))
     rows = rows.filter("reading = 0 or size(usable) > 0")
     literal = F.when(F.size("usable") == 0, F.least(F.size(plain), F.lit(WINDOW))).otherwise(F.lit(0))
@@ -95,7 +106,7 @@ def item_windows(templates: DataFrame) -> DataFrame:
 
     A window of reading 1 also has the keys of its plain reading, since a document may have the words in other letters.
     """
-    size, same = F.col("literal"), F.split("same", " ")
+    size, same = F.col("literal"), _hashes(F.col("same"))
     literal = F.transform(_windows(F.size(same), size), lambda i: F.struct(i.alias("pos"), F.array(_literal(F.slice(same, i + 1, size))).alias("keys"),
                                                                            F.array().cast("array<int>").alias("slots")))
     rows = templates.select("reading", "item_id", "literal", F.when(size > 0, literal).otherwise(F.col("usable")).alias("_at"))
@@ -145,26 +156,28 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
 
     lengths = sorted(r["literal"] for r in bench.filter("literal > 0").select("literal").distinct().collect())      # 1 to WINDOW at most
 
+    def hashed(df: DataFrame, *keep: Column) -> DataFrame:
+        """Each word is hashed once per reading; five neighbours make a key. Texts without a word that may be a name have one reading."""
+        names = F.when(F.contains("_words", F.lit("s#")), _hashes(template(_reading(F.col("_words"), True)))).otherwise(F.array().cast("array<bigint>"))
+        return df.select("_doc", _hashes(template(_reading(F.col("_words"), False))).alias("_plain"), names.alias("_names"),
+                         *([_hashes(_untagged(F.col("_words"))).alias("_same")] if lengths else []), *keep)
+
     def windows(make) -> Column:
         """What ``make`` makes of the place, key, size and reading of every window: templates in both readings, then words where items need them."""
         def of(words: str, key, n: int, reading: int) -> Column:
-            return F.transform(_windows(F.size(words), n), lambda i: make(i, key(F.slice(words, i + 1, n)), n, reading))
-
-        return F.concat(of("_plain", F.xxhash64, WINDOW, 0), of("_names", F.xxhash64, WINDOW, 1), *(of("_same", _literal, n, 0) for n in lengths))
+            return F.transform(_windows(F.size(words), n), lambda i: make(i, key(F.col(words), n, i), n, reading))
 
-    def split_words(df: DataFrame) -> DataFrame:
-        names = F.when(F.contains("_words", F.lit("s#")), F.split(template(_reading(F.col("_words"), True)), " ")).otherwise(F.array().cast("array<string>"))
-        return df.select("_doc", F.split(template(_reading(F.col("_words"), False)), " ").alias("_plain"), names.alias("_names"),
-                         F.split(_untagged(F.col("_words")), " ").alias("_same"))
+        return F.concat(of("_plain", _key, WINDOW, 0), of("_names", _key, WINDOW, 1), *(of("_same", _literal, n, 0) for n in lengths))
 
     # the outer form keeps Spark from computing the array a second time for a filter below the explode
-    hashes = F.array_distinct(windows(lambda i, h, n, reading: h))
-    seeds = split_words(words).select("_doc", F.explode_outer(hashes).alias("h")).join(side(bench.select("h").distinct()), "h")
+    keys = windows(lambda i, h, n, reading: h)
+    seeds = hashed(words).select("_doc", F.explode_outer(keys if small else F.array_distinct(keys)).alias("h")).join(side(bench.select("h").distinct()), "h", "left_semi")
     found = stage(seeds.select("_doc").distinct(), "leak-candidates")
 
-    again = split_words(words.join(found, "_doc", "left_semi"))
-    every = windows(lambda i, h, n, reading: F.struct(i.alias("pos"), h.alias("h"), F.lit(reading).alias("read"), F.slice("_same", i + 1, n).alias("doc_words")))
-    hits = again.select("_doc", F.explode_outer(every).alias("x")).select("_doc", "x.pos", "x.h", "x.read", "x.doc_words").join(side(bench), "h").filter("reading >= read")
+    again = hashed(words.join(found, "_doc", "left_semi"), F.split(_untagged(F.col("_words")), " ").alias("_all"))
+    every = windows(lambda i, h, n, reading: F.struct(i.alias("pos"), h.alias("h"), F.lit(reading).alias("read"), F.slice("_all", i + 1, n).alias("doc_words")))
+    every = again.select("_doc", F.explode_outer(every).alias("x")).select("_doc", "x.pos", "x.h", "x.read", "x.doc_words")
+    hits = every.join(side(bench), "h").filter("reading >= read")
     pairs = F.transform("slots", lambda k: F.struct((F.col("item_pos") + k).alias("place"), F.get("doc_words", k).alias("value")))
     shift = F.col("pos") - F.col("item_pos")
     bands = F.array(F.floor(shift / BAND) * 2, F.floor((shift + BAND // 2) / BAND) * 2 + 1)
