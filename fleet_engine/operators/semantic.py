@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleet_engine.functions.text import tokens
 from fleet_engine.operators.skew import dim_join
+from fleet_engine.workspace import stage
 
 
 @dataclass(frozen=True)
@@ -24,6 +26,16 @@ class Metric:
     synonyms: tuple[str, ...] = ()
 
 
+@dataclass(frozen=True)
+class StoredQuery:
+    """A question with the SQL that answers it: tables as ``{name}``, parameters as ``:name``."""
+
+    question: str
+    sql: str
+    tables: tuple[str, ...]
+    args: dict[str, object] = field(default_factory=dict)
+
+
 @dataclass(frozen=True)
 class Model:
     dimensions: dict[str, Dimension] = field(default_factory=dict)
@@ -97,6 +109,26 @@ def match_verified(requests: DataFrame, verified: dict[str, str] | None = None,
                        F.coalesce("_b.similarity", F.lit(0.0)).alias("similarity"))
 
 
+def run_verified(requests: DataFrame, stored: dict[str, StoredQuery], tables: dict[str, DataFrame], id: str = "request_id",
+                 text: str = "question") -> DataFrame:
+    """Requests with the rows of the stored query that matches them, each row as JSON in ``answer``.
+
+    ``tables`` are those that the asking role may read (see ``role_views``). A stored query over a table that is not among them does not run: its requests, those
+    without a match, and those whose query finds nothing keep one row with NULL. Each stored query runs once, however many ask it.
+    """
+    matched = match_verified(requests, {name: q.question for name, q in stored.items()}, id, text)
+    spark, whole = requests.sparkSession, {"ignoreNullFields": "false"}
+    results = []
+    for name, q in sorted(stored.items()):
+        if set(q.tables) <= set(tables):
+            result = spark.sql(q.sql, args=q.args or None, **{t: tables[t] for t in q.tables})
+            results.append(result.select(F.lit(name).alias("verified_query"), F.to_json(F.struct("*"), whole).alias("answer")))
+    if not results:
+        return matched.withColumn("answer", F.lit(None).cast("string"))
+    answers = stage(reduce(DataFrame.unionByName, results), "verified-answers")
+    return dim_join(matched, answers, "verified_query", id, how="left").select(id, "verified_query", "similarity", "answer")
+
+
 def keyword_coverage(answers: DataFrame, cases: DataFrame, answer: str = "answer", keywords: str = "expected_keywords") -> DataFrame:
     """Share of a case's expected keywords that its answer mentions, whatever the case."""
     held = F.size(F.filter(keywords, lambda w: F.contains(F.lower(F.coalesce(F.col(answer), F.lit(""))), F.lower(w))))

@@ -366,6 +366,25 @@ def match_verified(spark, sf_dir):
     return semantic.match_verified(domain.requests(spark, sf_dir), STORED, "request_id", "symptoms")
 
 
+RUNNABLE = {
+    "articles": semantic.StoredQuery(STORED["articles"], "SELECT vin_reference, total_critical_errors FROM {gold} ORDER BY total_critical_errors DESC LIMIT :k",
+                                     ("gold",), {"k": 5}),
+    "french": semantic.StoredQuery(STORED["french"], "SELECT count(*) AS n_vehicles, sum(total_critical_errors) AS n_errors FROM {gold} WHERE total_critical_errors >= :least",
+                                   ("gold",), {"least": 1})}
+
+
+@query("n4_run_verified", f"""WITH {GOLD_SQL}, {REQUESTS_SQL}, s AS (
+  SELECT request_id, {_jaccard_sql(STORED['articles'])} AS a, {_jaccard_sql(STORED['french'])} AS f FROM requests), m AS (
+  SELECT request_id, CASE WHEN greatest(a, f) = 0 THEN NULL WHEN a >= f THEN 'articles' ELSE 'french' END AS verified_query, greatest(a, f) AS similarity FROM s),
+r AS (SELECT 'articles' AS verified_query, to_json(t)::VARCHAR AS answer FROM (
+    SELECT '***-MASKED-VIN-***' AS vin_reference, total_critical_errors FROM gold ORDER BY total_critical_errors DESC LIMIT 5) t
+  UNION ALL SELECT 'french', to_json(t)::VARCHAR FROM (
+    SELECT count(*) AS n_vehicles, sum(total_critical_errors)::BIGINT AS n_errors FROM gold WHERE total_critical_errors >= 1) t)
+SELECT request_id, m.verified_query, similarity, answer FROM m LEFT JOIN r ON r.verified_query = m.verified_query""")
+def run_verified(spark, sf_dir):
+    return semantic.run_verified(domain.requests(spark, sf_dir), RUNNABLE, {"gold": role_views(spark, sf_dir)}, "request_id", "symptoms")
+
+
 @query("n5_keyword_coverage", f"""WITH w AS (SELECT item_id, list_distinct({words_sql('text')}) AS k FROM benchmark),
 f AS (SELECT item_id, k, doc_id, len(list_filter(k, lambda x: contains(lower(d.text), x))) AS found
   FROM w JOIN documents d ON d.doc_id = item_id)

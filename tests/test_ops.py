@@ -376,6 +376,16 @@ def test_metrics_layer(spark):
     asked = spark.createDataFrame([(1, "Which vehicles have the most critical errors?"), (2, "xyz")], "request_id int, question string")
     matched = {r["request_id"]: r["verified_query"] for r in semantic.match_verified(asked).collect()}
     assert matched == {1: "Critical Dealership Issues", 2: None}
+    gold = spark.createDataFrame([("v1", 7), ("v2", None), ("v3", 9)], "vin_reference string, total_critical_errors long")
+    stored = {"worst": semantic.StoredQuery("Which vehicles have the most critical errors?",
+                                            "SELECT * FROM {gold} WHERE total_critical_errors IS NULL OR total_critical_errors > :least", ("gold",), {"least": 7}),
+              "secret": semantic.StoredQuery("Who owns them?", "SELECT * FROM {owners}", ("owners",))}
+    asked = asked.union(spark.createDataFrame([(3, "Who owns this?"), (4, None)], asked.schema))
+    answered = semantic.run_verified(asked, stored, {"gold": gold})
+    assert sorted(((r["request_id"], r["verified_query"], r["answer"]) for r in answered.collect()), key=repr) == [
+        (1, "worst", '{"vin_reference":"v2","total_critical_errors":null}'), (1, "worst", '{"vin_reference":"v3","total_critical_errors":9}'),
+        (2, None, None), (3, "secret", None), (4, None, None)]
+    assert {r["answer"] for r in semantic.run_verified(asked, stored, {}).collect()} == {None}
     cases = spark.createDataFrame([("C1", ["Catalyst", "Efficiency", "Bank 1"])], "case_id string, expected_keywords array<string>")
     answers = spark.createDataFrame([("C1", "catalyst efficiency low")], "case_id string, answer string")
     assert rows(semantic.keyword_coverage(answers, cases)) == [("C1", 2, 3, round(2 / 3, 6))]
