@@ -167,7 +167,7 @@ LOOSE = [
     ("open-source", "open source license", r"open source license"), ("unspecified", "licensed under", r"(is |are )?licensed under"),
 ]
 
-# Keyword and pattern of rules whose keyword not every match holds, and the words one of which every match holds. LICENSES_SQL still looks for the keyword.
+# Keyword and pattern of rules whose keyword not every match holds, and the words one of which every match holds.
 NEEDLES = {
     ("gnu org licenses", r"gnu org (copyleft|licenses) gpl( html| txt)?"): ("gnu org licenses", "gnu org copyleft"),
     ("opensource org licenses", r"opensource org licenses? mit( license)?"): ("opensource org license",),
@@ -200,7 +200,7 @@ GRANTS = r"(is |are )?(dual |also )?(licensed|released|distributed|available|pub
 class Rule:
     label: str
     tier: int
-    keyword: str     # a text without it seldom matches
+    keyword: str     # words that most matches hold; ``needles`` says what all of them hold
     pattern: str     # regex over words; whole words only
 
     @property

@@ -46,13 +46,14 @@ def _quote(text: str) -> str:
 def _licenses_sql() -> str:
     """Words stand between two blanks here, so that a match can take the blanks at its ends and leave the neighbours theirs."""
     wide = lambda text: text.replace(" ", "  ")
-    table = ", ".join(f"({i}, {r.tier}, {_quote(r.label)}, {_quote(wide(r.keyword))}, {_quote(' (?:' + wide(r.pattern) + ') ')})" for i, r in enumerate(rules()))
+    table = ", ".join(f"({i}, {r.tier}, {_quote(r.label)}, {_quote(wide(n))}, {_quote(' (?:' + wide(r.pattern) + ') ')})" for i, r in enumerate(rules()) for n in r.needles)
     base = ", ".join(f"({_quote(' ' + wide(p) + ' ')}, {_quote(label)})" for p, label in BASE.items())
     sure = " ".join(f"WHEN {t} THEN {v}" for t, v in CONFIDENCE.items())
-    return f"""WITH rules(rule, tier, label, keyword, pattern) AS (VALUES {table}),
+    return f"""WITH rules(rule, tier, label, needle, pattern) AS (VALUES {table}),
  base(phrase, label) AS (VALUES {base}),
  w AS (SELECT doc_id, ' ' || replace(trim(regexp_replace(translate(coalesce(text, ''), {_LOWER}), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', ' ', 'g'), ' '), ' ', '  ') || ' ' AS s FROM documents),
- found AS (SELECT doc_id, rule, tier, label, regexp_extract_all(s, pattern) AS m, regexp_split_to_array(s, pattern) AS gaps FROM w JOIN rules ON contains(s, keyword)),
+ tried AS (SELECT DISTINCT doc_id, s, rule, tier, label, pattern FROM w JOIN rules ON contains(s, needle)),
+ found AS (SELECT doc_id, rule, tier, label, regexp_extract_all(s, pattern) AS m, regexp_split_to_array(s, pattern) AS gaps FROM tried),
  places AS (SELECT doc_id, rule, tier, label, unnest(list_transform(range(1, len(m) + 1),
      lambda i: {{'b': list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0), 'n': length(m[i])}})) AS p
    FROM found WHERE len(m) > 0),

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -17,6 +18,7 @@ from conftest import SF_DIR  # noqa: E402
 
 import __spark_entry__  # noqa: E402, F401
 from fleet_engine.llm import decontaminate, jaccard, licenses, line_dedup, linear, packing, quality_rules, sharding, suffixes, toxicity, warc  # noqa: E402
+from fleet_engine.llm.sql import LICENSES_SQL  # noqa: E402
 from fleet_engine.workspace import run_dir  # noqa: E402
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -336,6 +338,12 @@ def test_licenses_behind_other_words(spark):
     got = {r.doc_id: r for r in licenses.license_scan(make_docs(spark, list(enumerate(texts)))).collect()}
     for i, label in enumerate(texts.values()):
         assert label in got[i].labels.split(",") and got[i].score > 0, (i, got[i])
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [(i, t) for i, t in enumerate(texts)])
+    cursor = con.execute(LICENSES_SQL)
+    columns = [c[0] for c in cursor.description]
+    assert sorted(cursor.fetchall()) == sorted(tuple(r[c] for c in columns) for r in got.values())
 
 
 # ---- decontamination
