@@ -130,18 +130,24 @@ def parse_diagnosis(df: DataFrame, raw: str, out: str = "result") -> DataFrame:
     return df.withColumn(out, diagnosis_column(F.col(raw)))
 
 
-def overlap_precision(expected: Column, actual: Column) -> Column:
-    """Share of the answer's distinct words that the expected answer holds; NULL when either is NULL."""
+def overlap_precision(expected: Column, actual: Column, question: Column | None = None) -> Column:
+    """Share of the answer's distinct words that the expected answer, or the question, holds; NULL when either answer is NULL."""
     said, known = F.array_distinct(tokens(actual)), F.array_distinct(tokens(expected))
+    if question is not None:
+        known = F.array_union(known, tokens(F.coalesce(question, F.lit(""))))
     share = F.size(F.array_intersect(said, known)) / F.size(said)
     score = F.when(F.size(said) == 0, F.lit(0.0)).otherwise(share)
     return F.when(expected.isNotNull() & actual.isNotNull(), F.round(score, 6))
 
 
-def judge(df: DataFrame, expected: str, actual: str) -> DataFrame:
-    """Grade answers: the verdict as JSON and the score read back out of it. A model-backed judge writes the same JSON."""
-    score = overlap_precision(F.col(expected), F.col(actual))
-    verdict = F.to_json(F.struct(score.alias("faithfulness"), F.lit("share of answer words in the expected answer").alias("reason")))
+def judge(df: DataFrame, expected: str, actual: str, question: str | None = None) -> DataFrame:
+    """Grade answers: the verdict as JSON and the score read back out of it. A model-backed judge writes the same JSON.
+
+    With a ``question`` its words count as known: an answer that repeats the question makes nothing up. A NULL question adds none.
+    """
+    score = overlap_precision(F.col(expected), F.col(actual), None if question is None else F.col(question))
+    reason = "share of answer words in the expected answer" + ("" if question is None else " or the question")
+    verdict = F.to_json(F.struct(score.alias("faithfulness"), F.lit(reason).alias("reason")))
     graded = df.withColumn("faithfulness_eval", F.when(score.isNotNull(), verdict))
     return graded.withColumn("faithfulness_score", score_from_verdict(F.col("faithfulness_eval")))
 

@@ -161,6 +161,23 @@ def judge(spark, sf_dir):
     return judged(spark, sf_dir).select("item_id", "parsed_diagnosis", "faithfulness_score")
 
 
+@query("d10_judge_question", f"""WITH {TRUTH_JOIN_SQL},
+asked AS (SELECT conv_id, arg_min(text, turn) AS input_query FROM conversations WHERE role = 'user' GROUP BY conv_id),
+said AS (SELECT item_id, input_query, parsed_diagnosis, list_distinct({words_sql('parsed_diagnosis')}) AS w,
+    list_concat({words_sql('expected_answer')}, {words_sql("coalesce(input_query, '')")}) AS known FROM joined LEFT JOIN asked ON conv_id = item_id)
+SELECT item_id, input_query, parsed_diagnosis, (CASE WHEN parsed_diagnosis IS NOT NULL THEN
+  CASE WHEN len(w) = 0 THEN 0.0 ELSE round(len(list_intersect(w, list_distinct(known))) / len(w), 6) END END)::DOUBLE AS faithfulness_score FROM said""")
+def judge_question(spark, sf_dir):
+    """The first question of the item's conversation is graded along."""
+    from fleet_engine.operators.joins import eval_join
+
+    asked = domain.read(spark, sf_dir, "conversations").filter("role = 'user'").groupBy(F.col("conv_id").alias("item_id")).agg(F.min_by("text", "turn").alias("input_query"))
+    truth = domain.ground_truth(spark, sf_dir).join(asked, "item_id", "left")
+    joined = eval_join(truth, audit(spark, sf_dir).drop("ai_response_json"))
+    graded = inference.judge(joined, "expected_answer", "parsed_diagnosis", "input_query")
+    return graded.select("item_id", "input_query", "parsed_diagnosis", "faithfulness_score")
+
+
 DOMAIN_WORDS = ["the", "and"]
 
 

@@ -125,6 +125,9 @@ def test_truth_join_judge_and_gate(spark):
     graded = inference.judge(joined, "expected_answer", "parsed_diagnosis")
     scores = sorted(r["faithfulness_score"] for r in graded.collect() if r["faithfulness_score"] is not None)
     assert scores == [0.0, 1.0]
+    asked = joined.withColumn("input_query", F.when(F.col("parsed_diagnosis") == "buy shoes", F.lit("Which shoes?")))
+    known = inference.judge(asked, "expected_answer", "parsed_diagnosis", "input_query")
+    assert sorted(r["faithfulness_score"] for r in known.collect() if r["faithfulness_score"] is not None) == [0.5, 1.0]
     assert rows(aggregates.quality_gate(graded)) == [(4, 0.5, 0.0, aggregates.GATE_FAIL)]
     assert aggregates.quality_gate(graded.limit(0)).first()["deployment_gate_status"].startswith("FAIL")
     good = spark.createDataFrame([(0.9,), (0.8,), (None,)], "faithfulness_score double")
