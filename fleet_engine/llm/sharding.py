@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fleet_engine.workspace import stage
 
 ROUNDS = 6             # rounds of moves; links of equal texts settle in two or three unless shards are full
-BUCKET_ROWS = 20_000   # rows that are numbered together; the number of buckets grows with the data
+RANGE_ROWS = 20_000    # rows of a sorted range that is numbered together; the number of ranges grows with the data
 
 
 def _wish(counts: list[Column], room: list[int], tie: Column) -> Column:
@@ -53,18 +53,27 @@ def _begin(counts: list[Row], quota: list[int]) -> Column:
     return found.cast("int")
 
 
+def _seen(members: DataFrame, labels: DataFrame, names: list[str]) -> DataFrame:
+    """(id, one count per shard): a row's neighbours over all its links, itself included. Links are counted first, so only one narrow row per link travels."""
+    spread = members.join(labels.select("id", "shard"), "id").groupBy("link").agg(
+        *(F.count(F.when(F.col("shard") == s, 1)).alias(n) for s, n in enumerate(names)))
+    return members.join(stage(spread, "shard-counts"), "link").groupBy("id").agg(*(F.sum(n).alias(n) for n in names))
+
+
 def propagate(members: DataFrame, quota: list[int], rounds: int = ROUNDS) -> DataFrame:
-    """(id, shard) of the linked rows.
+    """(id, shard, _home, _size) of the linked rows.
 
     ``members`` (id, link) says which rows a link holds; a link may hold two rows or any number, so a hundred thousand copies are one link and not all
     their pairs. A link with more than an eighth of a shard starts on as few shards as hold it, every other row by a hash of its id. Every round counts the rows of each link per shard (combined before the shuffle, one narrow row per link), lets every member see the
     sums over its links, itself included, and moves it to the shard with most neighbours: in even rounds any shard, whose room then counts half of the rows
     that want to leave it, in odd rounds one that still has room. The rows that want to come to a
     shard are admitted up to its room by a hash of their link, whole links together; a link with more members than that is split by a hash of the id.
-    ``quota`` bounds the linked rows per shard up to the chance of that hash; the caller makes the counts exact.
+    After the rounds the members of every link of at most an eighth of a shard gather where most of them are, room or not; ``shard_rows`` then evicts whole
+    links from shards beyond their quota. ``_home`` is a row's largest link, ``_size`` how many rows it holds.
     """
     shards = len(quota)
     names = [f"_n{s}" for s in range(shards)]
+    counts = [F.col(n) for n in names]
     sizes = members.groupBy("link").agg(F.count(F.lit(1)).alias("_size"))
     # a row's largest link decides with whom it starts and is admitted
     homes = stage(members.join(sizes, "link").groupBy("id").agg(F.max(F.struct("_size", "link")).alias("h"))
@@ -74,11 +83,9 @@ def propagate(members: DataFrame, quota: list[int], rounds: int = ROUNDS) -> Dat
     members = stage(members, "shard-links")
     for turn in range(rounds):
         load = {r["shard"]: r["n"] for r in labels.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}    # one row per shard
-        spread = members.join(labels.select("id", "shard"), "id").groupBy("link").agg(
-            *(F.count(F.when(F.col("shard") == s, 1)).alias(n) for s, n in enumerate(names)))
-        seen = members.join(stage(spread, "shard-counts"), "link").groupBy("id").agg(*(F.sum(n).alias(n) for n in names))
         room = [quota[s] - load.get(s, 0) for s in range(shards)]
-        wish = stage(labels.join(seen, "id").select("id", "_home", "_size", "shard", _wish([F.col(n) for n in names], [1] * shards if turn % 2 == 0 else room, F.col("_home")).alias("_to")), "shard-wishes")
+        wish = stage(labels.join(_seen(members, labels, names), "id")
+                     .select("id", "_home", "_size", "shard", _wish(counts, [1] * shards if turn % 2 == 0 else room, F.col("_home")).alias("_to")), "shard-wishes")
         flows = wish.filter("_to <> shard").groupBy("_to").agg(F.count(F.lit(1)).alias("n")).collect()                 # one row per shard
         if not flows and turn % 2:
             labels = wish.select("id", "_home", "_size", "shard")
@@ -92,38 +99,63 @@ def propagate(members: DataFrame, quota: list[int], rounds: int = ROUNDS) -> Dat
         draw = F.pmod(F.xxhash64(F.when(big, F.xxhash64("id")).otherwise(F.xxhash64("_home")), F.col("_to"), F.lit(turn)), F.lit(1 << 20)) / float(1 << 20)
         moved = wish.select("id", "_home", "_size", F.when(draw < share, F.col("_to")).otherwise(F.col("shard")).alias("shard"))
         labels = stage(moved, "shard-labels")
-    return labels.select("id", "shard")
+    gathered = F.when(F.col("_size") > min(quota) // 8, F.col("shard")).otherwise(_wish(counts, [1] * shards, F.col("_home")))
+    return stage(labels.join(_seen(members, labels, names), "id").select("id", "_home", "_size", gathered.alias("shard")), "shard-gathered")
+
+
+def _whole(ranked: DataFrame, edges: dict[int, int]) -> dict[int, int]:
+    """``edges`` (label: rank of the first row beyond the quota), moved down to the first row of the link that an edge would cut, if that link is no larger than
+    an eighth of the quota. At most one link per shard is looked up."""
+    if not edges:
+        return edges
+    at = F.lit(False)
+    for label, rank in edges.items():
+        at = at | ((F.col("_label") == label) & F.col("_rank").isin(rank - 1, rank))
+    links: dict[int, list] = {}
+    for r in ranked.filter(at).filter(F.col("_home").isNotNull()).select("_label", "_home").collect():      # two rows per label
+        links.setdefault(r["_label"], []).append(r["_home"])
+    cut = {label: homes[0] for label, homes in links.items() if len(homes) == 2 and homes[0] == homes[1]}
+    if not cut:
+        return edges
+    inside = F.lit(False)
+    for label, home in cut.items():
+        inside = inside | ((F.col("_label") == label) & (F.col("_home") == home))
+    starts = {r["_label"]: r["n"] for r in ranked.filter(inside).groupBy("_label").agg(F.min("_rank").alias("n")).collect()}
+    return {label: starts[label] if label in starts and edges[label] - starts[label] <= edges[label] // 8 else edges[label] for label in edges}
 
 
 def shard_rows(rows: DataFrame, members: DataFrame, shards: int, id_col: str, tie: Column, rounds: int = ROUNDS,
-               bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+               range_rows: int = RANGE_ROWS) -> DataFrame:
     """``rows`` with ``shard`` and ``slot``: counts of any two shards differ by at most one, slots run from 0 without gaps.
 
-    Linked rows get the shard that ``propagate`` finds; rows beyond a shard's quota and rows without a link fill the places left. Numbering is by bucket:
-    counts per bucket and label are summed up first, so no task sees more than a bucket. ``tie`` orders rows of equal id; rows alike in both are interchangeable.
+    Linked rows get the shard that ``propagate`` finds. In a shard beyond its quota the smallest links leave, whole ones; they and the rows without a link fill
+    the places left, links next to each other, so that only the edge between two shards can cut one. Numbering is by sorted ranges, larger links first: rows per range and label are
+    counted, then summed up, so no task sees more than a range, and a link of any size, or rows alike in all columns, fall into several. ``tie`` orders rows of equal id.
     """
     n = rows.count()
     quota = [n // shards + (1 if s < n % shards else 0) for s in range(shards)]
     labels = propagate(members, quota, rounds)
-    buckets = max(1, -(-n // bucket_rows))
+    ranges = max(1, -(-n // range_rows))
     labelled = stage(rows.join(labels.withColumnRenamed("id", "_id"), F.col(id_col) == F.col("_id"), "left").drop("_id")
                      .withColumn("_label", F.coalesce("shard", F.lit(shards))).drop("shard")
-                     .withColumn("_tie", tie).withColumn("_bucket", F.pmod(F.xxhash64(id_col, "_tie"), F.lit(buckets))), "shard-rows")
-    sums = labelled.groupBy("_label", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = sums.select("_label", "_bucket", (F.sum("_n").over(Window.partitionBy("_label").orderBy("_bucket")) - F.col("_n")).alias("_before"))
-    # buckets of one label: 17 times the number of buckets in all, one number each
-    ranked = labelled.withColumn("_in", F.row_number().over(Window.partitionBy("_label", "_bucket").orderBy(id_col, "_tie")) - 1)
-    ranked = ranked.join(before, ["_label", "_bucket"]).withColumn("_rank", F.col("_in") + F.col("_before"))
+                     .withColumn("_tie", tie).withColumn("_row", F.monotonically_increasing_id()), "shard-rows")
+    order = [F.col("_label"), F.col("_size").desc_nulls_last(), F.col("_home"), F.col(id_col), F.col("_tie"), F.col("_row")]
+    # the number of a sorted row: its partition above the lowest 33 bits, its place in the partition in them
+    numbered = stage(labelled.repartitionByRange(ranges, *order).sortWithinPartitions(*order).drop("_tie", "_row", "_size")
+                     .withColumn("_at", F.monotonically_increasing_id()).withColumn("_range", F.shiftright("_at", 33)), "shard-ranges")
+    sums = numbered.groupBy("_label", "_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    # one row per range, and at most ``shards`` more
+    before = sums.select("_label", "_range", "_first", (F.sum("_n").over(Window.partitionBy("_label").orderBy("_range")) - F.col("_n")).alias("_before"))
+    ranked = stage(numbered.join(before, ["_label", "_range"]).withColumn("_rank", F.col("_at") - F.col("_first") + F.col("_before"))
+                   .drop("_at", "_range", "_first", "_before"), "shard-ranked")
     held = {r["_label"]: r["n"] for r in sums.groupBy("_label").agg(F.sum("_n").alias("n")).collect()}               # one row per shard
-    pool_start, at = {}, held.get(shards, 0)
-    for s in range(shards):
-        pool_start[s], at = at, at + max(0, held.get(s, 0) - quota[s])
-    kept = [min(held.get(s, 0), quota[s]) for s in range(shards)]
-    pool = F.col("_rank")
-    limit = F.lit(0)
+    kept = _whole(ranked, {s: quota[s] for s in range(shards) if held.get(s, 0) > quota[s]})
+    kept = [kept.get(s, held.get(s, 0)) for s in range(shards)]
+    pool, limit, at = F.col("_rank"), F.lit(0), held.get(shards, 0)
     for s in range(shards):
-        pool = F.when(F.col("_label") == s, F.col("_rank") - quota[s] + pool_start[s]).otherwise(pool)
-        limit = F.when(F.col("_label") == s, F.lit(quota[s])).otherwise(limit)
+        pool = F.when(F.col("_label") == s, F.col("_rank") - kept[s] + at).otherwise(pool)
+        limit = F.when(F.col("_label") == s, F.lit(kept[s])).otherwise(limit)
+        at += held.get(s, 0) - kept[s]
     stays = (F.col("_label") < shards) & (F.col("_rank") < limit)
     shard, slot, start = F.lit(None).cast("int"), F.lit(None).cast("bigint"), 0
     for s in range(shards):
@@ -134,7 +166,7 @@ def shard_rows(rows: DataFrame, members: DataFrame, shards: int, id_col: str, ti
     return (ranked.withColumn("_pool", pool).withColumn("_stays", stays)
             .withColumn("shard", F.when(F.col("_stays"), F.col("_label")).otherwise(shard).cast("int"))
             .withColumn("slot", F.when(F.col("_stays"), F.col("_rank")).otherwise(slot).cast("bigint"))
-            .drop("_label", "_tie", "_bucket", "_in", "_before", "_rank", "_pool", "_stays"))
+            .drop("_label", "_home", "_rank", "_pool", "_stays"))
 
 
 def shard_documents(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:

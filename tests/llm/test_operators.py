@@ -12,6 +12,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 from conftest import SF_DIR  # noqa: E402
@@ -185,11 +186,32 @@ def test_links_cut(spark):
     rows = [(i, f"text {i // 2}") for i in range(200)] + [(1000 + i, "hot") for i in range(150)]
     got = sharding.shard_documents(make_docs(spark, rows), 7).collect()
     shard = {r.doc_id: r.shard for r in got}
-    assert sum(shard[i] != shard[i + 1] for i in range(0, 200, 2)) <= 20
+    assert sum(shard[i] != shard[i + 1] for i in range(0, 200, 2)) <= 6     # at most one for each edge between two shards
     counts = Counter(shard[1000 + i] for i in range(150))
     assert sum(n for _, n in counts.most_common(4)) >= 120
 
 
+@pytest.mark.parametrize("size", [2, 4])
+def test_full_shards_cut_a_link_per_edge(spark, size):
+    """Every row is linked and every shard is full: only the edge between two shards cuts a link."""
+    got = sharding.shard_documents(make_docs(spark, [(i, f"text {i // size}") for i in range(2000)]), 16).collect()
+    places = defaultdict(set)
+    for r in got:
+        places[r.doc_id // size].add(r.shard)
+    assert sum(len(p) > 1 for p in places.values()) <= 15
+    assert sorted(Counter(r.shard for r in got).values()) == [125] * 16
+    assert all(sorted(r.slot for r in got if r.shard == s) == list(range(125)) for s in range(16))
+
+
+def test_rows_alike_are_split(spark):
+    """Rows without id and text are alike in all columns and still fall into several ranges."""
+    rows = make_docs(spark, [(None, None)] * 500 + [(1, "a"), (2, "a")])
+    got = sharding.shard_rows(rows, spark.createDataFrame([(1, "a"), (2, "a")], "id bigint, link string"), 7, "doc_id", F.lit(""), range_rows=20).collect()
+    assert sorted(Counter(r.shard for r in got).values()) == [71] * 2 + [72] * 5
+    assert all(sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got))) for s in range(7))
+    assert len({r.shard for r in got if r.doc_id is not None}) == 1
+
+
 # ---- packing
 
 def test_packing(spark, awkward):
