@@ -210,14 +210,20 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each class of similar texts, that of the smallest id. Rows with a NULL id stay. Where ids repeat, one row of each is kept."""
-    key = free_name(docs, "_id")
-    found = stage(jaccard_join(docs, id_col, text_col, **options).select(F.col(id_col).alias(key), "class_id"), "near-copies")
-    same = F.col(id_col) == F.col(key)
-    drop = stage(found.filter(F.col(key) != F.col("class_id")).select(key).distinct(), "near-copies-out")
-    kept = docs.join(drop, same, "left_anti")
-    repeated = stage(found.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(key), "repeated")
+    """``docs`` with one row of each class of similar texts, that of the smallest id (of equal ids, the smallest digest of the text).
+
+    A row is known by its id and the digest of its text, so an id that stands in several rows with different texts loses only those that have a similar
+    text elsewhere; of rows alike in both one stays. Rows with a NULL id stay. NULL and empty texts are alike, and similar to no other row's.
+    """
+    key, out = free_name(docs, "_row_key"), free_name(docs, "_row_out")
+    known = F.struct(F.col(id_col).alias("id"), F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
+    keyed = docs.withColumn(key, F.when(F.col(id_col).isNotNull(), known))
+    found = stage(jaccard_join(keyed, key, text_col, **options).select(key, "class_id"), "near-copies")
+    drop = stage(found.filter(F.col(key) != F.col("class_id")).select(F.col(key).alias(out)).distinct(), "near-copies-out")
+    kept = keyed.join(drop, F.col(key) == F.col(out), "left_anti")
+    repeated = stage(found.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias(out)).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(out), "repeated")
     if repeated.isEmpty():
-        return kept
-    twice = kept.join(repeated, same, "left_semi").dropDuplicates([id_col])
-    return kept.join(repeated, same, "left_anti").unionByName(twice)
+        return kept.drop(key)
+    same = F.col(key) == F.col(out)
+    twice = kept.join(repeated, same, "left_semi").dropDuplicates([key])
+    return kept.join(repeated, same, "left_anti").unionByName(twice).drop(key)

@@ -149,6 +149,27 @@ def test_jaccard_join(spark, awkward):
     assert Counter(kept) == Counter(set(first.values()) - {None}) + Counter({None: 2}) and max(Counter(kept).values()) == 2
 
 
+def test_keep_one_goes_by_row(spark):
+    """An id with two texts loses only the one that is a near copy of a smaller id's text."""
+    base, own = rows_text(1), rows_text(2)
+    docs = make_docs(spark, [(1, base), (2, base + " tail"), (2, own), (2, own), (3, None), (3, ""), (None, base)]).withColumn("_row_key", F.lit(1))
+    kept = jaccard.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert Counter((r.doc_id, r.text or "") for r in kept.collect()) == Counter([(1, base), (2, own), (3, ""), (None, base)])
+
+
+def test_lines_of_rows_without_id(spark):
+    """Rows without an id are one document to the count, and each drops its own lines only."""
+    line, other = "a line that stands in five documents, said twice", "another line that stands in five documents as well"
+    rows = [(i, f"{line}\n{other}") for i in range(1, 5)] + [(None, f"{line}\nx {k}") for k in range(30)] + [(None, other), (None, None)]
+    docs = make_docs(spark, rows)
+    got = line_dedup.line_dedup(docs).collect()
+    assert Counter((r.doc_id, r.text, r.n_dropped) for r in got) == Counter(
+        [(i, "", 2) for i in (1, 2, 3)] + [(4, f"{line}\n{other}", 0)] + [(None, f"x {k}", 1) for k in range(30)] + [(None, "", 1), (None, None, 0)])
+    few = line_dedup.shared_lines(docs, "doc_id", "text", 40, 5).filter("_id IS NULL")
+    assert {len(r["_keys"]) for r in few.collect()} == {1}
+
+
 def test_jaccard_join_with_empty_blocks(spark, monkeypatch):
     """Few long texts in many blocks, some of which hold no text: each link counts once."""
     rnd = random.Random(5)
