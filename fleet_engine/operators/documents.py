@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleet_engine.functions.text import explode_each, html_blocks, text_blocks
 from fleet_engine.operators.skew import salted_join
+from fleet_engine.sources.bucketed import join_texts
 from fleet_engine.workspace import stage
 
 
@@ -34,6 +35,13 @@ def lateral_chunks(files: DataFrame, docs: DataFrame, on: str = "source_file", c
     return chunk_documents(joined, on, content, mode, tuple(c for c in files.columns if c != on))
 
 
+def lateral_chunks_bucketed(files: DataFrame, table: str, on: str = "source_file", content: str = "content",
+                            mode: str = "text") -> DataFrame:
+    """``lateral_chunks`` over a table of ``sources.bucketed.write_texts``: the files go to the texts, and no text is shuffled."""
+    joined = join_texts(files.sparkSession, files, table, on, files.columns, [content])
+    return chunk_documents(joined, on, content, mode, tuple(c for c in files.columns if c != on))
+
+
 def process_pending(queue: DataFrame, files: DataFrame, now: str, mode: str = "text",
                     filename: str = "filename", content: str = "content") -> tuple[DataFrame, DataFrame, DataFrame]:
     """One run over the queue: chunks, status rows and a one-row report.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from fleet_engine.functions.text import mask_tail
@@ -12,8 +14,8 @@ from fleet_engine.plans import domain, medallion
 from fleet_engine.plans.domain import FAULTS_SQL, MANUALS_SQL, REQUESTS_SQL, SCORED_SQL, SILVER_SQL, STAMP_SQL, summary_sql
 from fleet_engine.plans.queries_ingest import TEXT_BLOCKS_SQL, experiment_runs
 from fleet_engine.plans.queries_text import AUDIT_SQL, JUDGED_SQL, TRUTH_JOIN_SQL, audit, judged
-from fleet_engine.plans.registry import query
-from fleet_engine.sources import tables
+from fleet_engine.plans.registry import ORACLE, query
+from fleet_engine.sources import bucketed, tables
 from fleet_engine.workspace import run_dir, spread
 
 NOW = domain.AS_OF
@@ -37,6 +39,17 @@ def lateral_chunks(spark, sf_dir):
             .select("source_file", "vin_reference", "chunk_text", F.col("chunk_index").cast("long")))
 
 
+@query("e2_lateral_bucketed", ORACLE["e2_lateral_chunks"])
+def lateral_bucketed(spark, sf_dir):
+    manuals = domain.manuals(spark, sf_dir).withColumnRenamed("filename", "source_file")
+    wanted = domain.requests(spark, sf_dir).select("vin").distinct()
+    table = f"manual_texts_{uuid.uuid4().hex}"
+    bucketed.write_texts(manuals, table, "source_file", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    files = spark.table(table).join(wanted, "vin", "left_semi").select("source_file", F.col("vin").alias("vin_reference"))
+    return (documents.lateral_chunks_bucketed(files, table)
+            .select("source_file", "vin_reference", "chunk_text", F.col("chunk_index").cast("long")))
+
+
 @query("e3_candidate_counts", f"""WITH {MANUALS_SQL}, {REQUESTS_SQL}
 SELECT request_id, r.vin, count(m.doc_id) AS candidates FROM requests r LEFT JOIN manuals m ON m.vin = r.vin GROUP BY ALL""")
 def candidate_counts(spark, sf_dir):

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fleet_engine.operators import enrich, inference
+from fleet_engine.operators.scorestore import score_once
 from fleet_engine.plans import domain
 from fleet_engine.plans.domain import (LANGUAGE_RULES, LEXICON_SQL, REQUESTS_SQL, RESPONSES_SQL, TRUTH_SQL, answer_sql,
                                        sentiment_sql, summary_sql, votes_sql, words_sql)
-from fleet_engine.plans.registry import query
+from fleet_engine.plans.registry import ORACLE, query
+from fleet_engine.workspace import run_dir
 
 NOW = domain.AS_OF
 
@@ -37,6 +39,11 @@ def sentiment_default(spark, sf_dir):
     return enrich.sentiment(docs(spark, sf_dir), "doc_id", "text")
 
 
+@query("d2_scored_once", ORACLE["d2_sentiment_default"])
+def scored_once(spark, sf_dir):
+    return score_once(docs(spark, sf_dir), "doc_id", "text", enrich.sentiment, run_dir(spark, "scores"))
+
+
 @query("d2_fit_lexicon", f"WITH {LEXICON_SQL} SELECT term, weight, docs FROM lexicon")
 def fit_lexicon(spark, sf_dir):
     return domain.learned_lexicon(spark, sf_dir)
