@@ -7,7 +7,7 @@ import json
 from pyspark.sql import functions as F
 
 from fleet_engine.functions.text import like_escape
-from fleet_engine.operators import fusion, keywords, retrieval, textindex, vectors
+from fleet_engine.operators import fusion, keywords, quantised, retrieval, textindex, vectors
 from fleet_engine.operators.enrich import embed_text, fit_embedding
 from fleet_engine.plans import domain
 from fleet_engine.plans.domain import REQUESTS_SQL, words_sql
@@ -146,6 +146,23 @@ def ann_topk(spark, sf_dir):
     return vectors.ann_topk(vectors_of(spark, sf_dir, "query_id"), indexed, centres, 5, probes=2, exact=True)
 
 
+@query("h7_ann_quantised", "SELECT count(*) AS n_queries, true AS recall_reached, true AS fewer_vectors FROM embeddings WHERE vec_id % 20 = 0")
+def ann_quantised(spark, sf_dir):
+    """Recall of 10 neighbours by codes and 100 exact distances, for every vector whose id is divisible by 20, against exact search."""
+    items = vectors_of(spark, sf_dir, "item_id")
+    asked = vectors_of(spark, sf_dir, "query_id").filter("query_id % 20 = 0")
+    centres = vectors.fit_cells(items, 16)
+    indexed = vectors.assign_cells(items, centres)
+    book = quantised.fit_codes(indexed, centres, 16)
+    coded = stage(quantised.encode_cells(indexed, book), "codes")
+    found = quantised.quantised_topk(asked, items, coded, book, 10, short=100, probes=14).select("query_id", "item_id", F.lit(1).alias("hit"))
+    exact = vectors.vector_topk(asked, items, 10).select("query_id", "item_id")
+    sizes = items.agg((F.count("*") > 100).alias("fewer"))
+    return (exact.join(found, ["query_id", "item_id"], "left")
+            .agg(F.count_distinct("query_id").alias("n_queries"), (F.count("hit") >= 0.9 * F.count("*")).alias("recall_reached"))
+            .withColumn("fewer_vectors", sizes.scalar()))
+
+
 LANG = "en"
 
 
