@@ -1,7 +1,10 @@
-"""Suffix-array dedup: a logarithmic family of sorted suffix levels finds long repeats, which are then cut to the byte.
+"""Suffix dedup: fingerprints of sampled suffixes find long repeats, which are then cut to the byte.
+
+No suffix arrays are kept: a logarithmic family of levels (fingerprint, count) tells which suffixes repeat at all and spares the others a shuffle; the repeats come from
+grouping the sampled suffixes by fingerprint and context.
 
 Suffixes are sampled by content, so that a string of ``WINDOW`` bytes has a sampled suffix at the same place wherever it stands: among the
-``PREFIX``-byte strings inside it the one with the smallest hash. A level is sorted by the fingerprint of that prefix.
+``PREFIX``-byte strings inside it the one with the smallest hash. A level counts the fingerprints of that prefix.
 """
 
 from __future__ import annotations
@@ -143,7 +146,7 @@ def _bytes(column: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
 
 
 class SuffixLevels:
-    """Levels of sampled suffixes (fingerprint, n), sorted by fingerprint. A batch enters as a level of rank 0, is merge-scanned against
+    """Levels of sampled suffixes (fingerprint, n) without places or text. A batch enters as a level of rank 0, is joined to
     the levels that exist, and two levels of one rank become one of the next: after b batches there are at most log2(b) + 1 levels, and each suffix
     was written as often at most."""
 
