@@ -20,6 +20,7 @@ K1, B = 1.2, 0.75
 SLACK = 1e-5          # scores are compared after rounding to 6 decimals
 SEED_SHARE = 0.1
 DIRECT_HITS = 1_000_000_000
+SLICE_WORDS = 1 << 18 # words counted at once: what a task holds beside its batch does not grow with the texts in it
 
 
 def keyword_search(queries: DataFrame, logs: DataFrame, key: str | None, k: int = 1, query_id: str = "query_id",
@@ -53,6 +54,17 @@ def _for_all(asked: DataFrame, distinct: DataFrame, found: DataFrame) -> DataFra
     return salted_join(asked, hits, "_asks", "query_id").select("query_id", *[c for c in found.columns if c != "query_id"])
 
 
+def word_slices(batches: Iterator[pa.RecordBatch], words: int = SLICE_WORDS) -> Iterator[pa.RecordBatch]:
+    """The batches, whose last column lists words, in slices of at most ``words`` words; a row with more is a slice of its own."""
+    for batch in batches:
+        before = np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(batch.column(batch.num_columns - 1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)))
+        start = 0
+        while start < batch.num_rows:
+            end = max(start + 1, int(np.searchsorted(before, before[start] + words, "right")) - 1)
+            yield batch.slice(start, end - start)
+            start = end
+
+
 def term_counts(docs: DataFrame, id: str, text: str, attributes: tuple[str, ...] = ()) -> DataFrame:
     """Words per document (doc_id, term, tf, doc_len, attributes, lead), counted in the task that holds the document: no shuffle.
 
@@ -64,7 +76,7 @@ def term_counts(docs: DataFrame, id: str, text: str, attributes: tuple[str, ...]
     types = {**kinds, "term": "string", "tf": "bigint", "doc_len": "int", "lead": "boolean"}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in word_slices(batches):
             lists = batch.column(batch.num_columns - 1)
             owner = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False).astype(np.int64)
             coded = lists.flatten().dictionary_encode()

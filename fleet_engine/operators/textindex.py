@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleet_engine.functions.text import explode_each, tokens
-from fleet_engine.operators.keywords import K1, SLACK, B, _for_all, _kth, _once
+from fleet_engine.operators.keywords import K1, SLACK, B, _for_all, _kth, _once, word_slices
 from fleet_engine.operators.skew import HOT_ROWS, hot_keys, salted_join, topk
 from fleet_engine.workspace import broadcast_bounded, folder_exists, stage, subfolders
 
@@ -82,7 +82,7 @@ def range_blocks(docs: DataFrame, id: str, text: str, attributes: tuple[str, ...
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number = TaskContext.get(), 0
         base = (task.partitionId() if task else 0) << 36
-        for batch in batches:
+        for batch in word_slices(batches):
             n, lists = batch.num_rows, batch.column(batch.num_columns - 1)
             if not n:
                 continue

@@ -211,3 +211,13 @@ def test_long_vectors_keep_their_near_neighbours():
     kernel.feed(pd.DataFrame({"item_id": ids, "embedding": list(corpus)}))
     exact = np.array([np.sqrt(((corpus - q) ** 2).sum(axis=1)).min() for q in base])
     assert np.allclose(kernel.best.limit, exact, atol=2e-6)
+
+
+def test_words_are_counted_in_slices_of_bounded_size():
+    import pyarrow as pa
+
+    lists = [["a"] * 3, None, [], ["b"] * 9, ["c", "d"], ["e"]]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(lists, pa.list_(pa.string()))], ["doc_id", "_w"])
+    cut = list(keywords.word_slices(iter([batch, batch.slice(3), batch.slice(0, 0)]), 4))
+    assert [c.column(0).to_pylist() for c in cut] == [[0, 1, 2], [3], [4, 5], [3], [4, 5]]
+    assert [x for c in cut[:3] for x in c.column(1).to_pylist()] == lists
