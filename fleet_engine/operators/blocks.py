@@ -24,6 +24,7 @@ from fleet_engine.workspace import stage
 BROADCAST_BYTES = 32 << 20
 BLOCK_ROWS = 4096
 DECIMALS = 6
+DENSE_BLOCKS = 6       # of each side at least: 36 tasks for 12 copies of a row
 
 
 class Best:
@@ -58,36 +59,73 @@ def sortable(values: pd.Series) -> np.ndarray:
 
 
 class VectorKernel:
-    """Euclidean distance, rounded; hits farther than ``radius`` are dropped."""
+    """Euclidean distance, rounded; hits farther than ``radius`` are dropped. A column ``_bound`` of the queries is a limit that their k-th distance is known to keep."""
 
     CELLS = 1 << 21                                  # distances computed at once
+    PAIRS = 1 << 17                                  # pairs measured exactly at once
+    FIRST = 1024                                     # rows that give queries without a limit their first one
 
     def __init__(self, queries: pd.DataFrame, k: int, radius: float | None = None):
         self.ids = queries["query_id"].to_numpy()
         self.matrix = np.array(queries["embedding"].tolist(), dtype=np.float64)
-        self.square = (self.matrix ** 2).sum(axis=1)
         self.radius = np.inf if radius is None else radius
         self.best = Best(len(queries), k)
+        if "_bound" in queries:
+            self.best.limit = queries["_bound"].fillna(np.inf).to_numpy(dtype=np.float64, copy=True)
 
     def feed(self, corpus: pd.DataFrame) -> None:
         rows = np.array(corpus["embedding"].tolist(), dtype=np.float64)
         ids = sortable(corpus["item_id"])
-        square = (rows ** 2).sum(axis=1)
-        step = max(1, self.CELLS // max(1, len(rows)))
+        finite = np.isfinite(rows).all(axis=1) if rows.ndim == 2 else np.zeros(len(rows), bool)
+        if not finite.all():                         # no distance to them is a number
+            rows, ids = rows[finite], ids[finite]
+        start, size = 0, self.FIRST if np.isinf(np.minimum(self.best.limit, self.radius)).any() else len(rows)
+        while start < len(rows):
+            self._feed(rows[start:start + size], ids[start:start + size])
+            start, size = start + size, 8 * size
+
+    def _feed(self, rows: np.ndarray, ids: np.ndarray) -> None:
+        # the products of single precision only select; what they leave is measured exactly. Moved to their middle, vectors are short and lose fewer digits
+        middle = rows.mean(axis=0)
+        moved = rows - middle
+        square = (moved ** 2).sum(axis=1)
+        step = max(1, self.CELLS // len(rows))
+        found = []
         for start in range(0, len(self.ids), step):
             part = slice(start, start + step)
-            approx = self.square[part, None] + square[None, :] - 2.0 * (self.matrix[part] @ rows.T)
-            # the product form loses the last digits, the more the longer the vectors, so it only selects; survivors are measured again exactly
-            unit = np.finfo(float).eps * (64 + rows.shape[1])
-            error = unit * (self.square[part, None] + square[None, :])
-            bound = np.minimum(self.best.limit[part], self.radius) + 1e-5
-            if len(rows) > self.best.k:
-                kth = np.partition(approx, self.best.k - 1, axis=1)[:, self.best.k - 1]
-                bound = np.minimum(bound, np.sqrt(np.maximum(kth + error.max(axis=1), 0.0)) + 1e-5)
-            q, c = np.nonzero(approx - error <= (bound ** 2)[:, None])
-            exact = np.round(np.sqrt(((self.matrix[part][q] - rows[c]) ** 2).sum(axis=1)), DECIMALS)
-            near = exact < self.radius
-            self.best.offer(q[near] + start, exact[near], ids[c[near]])
+            asked = self.matrix[part] - middle
+            own = (asked ** 2).sum(axis=1)
+            short = max(square.max(), own[np.isfinite(own)].max(initial=0.0)) < 1e30
+            near = self._near(asked, own, moved, square, part, np.float32 if short else np.float64)
+            if short and np.count_nonzero(near) > near.size // 4 and len(rows) > 4 * self.best.k:
+                near = self._near(asked, own, moved, square, part, np.float64)
+            q, c = np.nonzero(near)
+            for at in range(0, len(q), self.PAIRS):
+                one, other = q[at:at + self.PAIRS] + start, c[at:at + self.PAIRS]
+                exact = np.round(np.sqrt(((self.matrix[one] - rows[other]) ** 2).sum(axis=1)), DECIMALS)
+                good = (exact < self.radius) & (exact <= self.best.limit[one])
+                found.append((one[good], exact[good], ids[other[good]]))
+            if sum(len(f[0]) for f in found) > self.CELLS:
+                self._offer(found)
+                found = []
+        self._offer(found)
+
+    def _near(self, asked: np.ndarray, own: np.ndarray, moved: np.ndarray, square: np.ndarray, part: slice, kind: type) -> np.ndarray:
+        """Flags of the pairs whose distance may be within the limit: the square of a distance is ``own - 2 * gain``, up to ``error``."""
+        gain = asked.astype(kind) @ moved.astype(kind).T
+        gain -= (square / 2).astype(kind)
+        error = np.finfo(kind).eps * (64 + moved.shape[1]) * (own + square.max())
+        limit = np.minimum(self.best.limit[part], self.radius) + 1e-5
+        if np.isinf(limit).any() and len(moved) > self.best.k:
+            at = len(moved) - self.best.k
+            kth = own - 2 * np.partition(gain, at, axis=1)[:, at].astype(np.float64)
+            limit = np.minimum(limit, np.sqrt(np.maximum(kth + error, 0.0)) + 1e-5)
+        floor = (own - limit ** 2 - error) / 2
+        return gain >= np.nextafter(floor.astype(kind), kind(-np.inf))[:, None]
+
+    def _offer(self, found: list) -> None:
+        if found:
+            self.best.offer(*(np.concatenate(x) for x in zip(*found)))
 
 
 class SubstringKernel:
@@ -200,6 +238,45 @@ def _grid(queries: DataFrame, corpus: DataFrame, kernel: Kernel, schema: str, bl
     return left.cogroup(right).applyInPandas(run, schema)
 
 
+def dense_search(queries: DataFrame, corpus: DataFrame, kernel: Kernel, k: int, n_queries: int, block_rows: int) -> DataFrame:
+    """Best ``k`` corpus rows per query where nearly every pair has to be looked at: ``queries`` (query_id, embedding, _bound), ``corpus`` (item_id, embedding).
+
+    Queries are cut into blocks of at most about ``block_rows`` rows, the corpus into as few parts as give every core work. A task gets a block first and then a
+    part, batch by batch: a row is copied once per block or part, a task holds a block and a batch, and hands on ``k`` hits per query.
+    """
+    blocks = max(DENSE_BLOCKS, -(-n_queries // block_rows))
+    parts = max(1, -(-DENSE_BLOCKS ** 2 // blocks))
+    kinds = {c: df.schema[c].dataType for df, c in ((queries, "query_id"), (corpus, "item_id"))}
+
+    def to(own, n_own, n_other, scale_own, scale_other):
+        place = F.pmod(F.xxhash64(own), F.lit(n_own)).cast("int") * scale_own
+        return F.explode(F.transform(F.sequence(F.lit(0), F.lit(n_other - 1)), lambda i: (place + i * scale_other).cast("int"))).alias("_task")
+
+    asked = queries.select("query_id", F.lit(None).cast(kinds["item_id"]).alias("item_id"), "embedding", "_bound", F.lit(0).alias("_side"), to("query_id", blocks, parts, parts, 1))
+    rows = corpus.select(F.lit(None).cast(kinds["query_id"]).alias("query_id"), "item_id", "embedding", F.lit(None).cast("double").alias("_bound"), F.lit(1).alias("_side"),
+                         to("item_id", parts, blocks, 1, parts))
+    dealt = asked.unionByName(rows).repartitionById(blocks * parts, F.col("_task")).sortWithinPartitions("_side").drop("_task")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, block = [], None
+        for batch in batches:
+            second = (batch["_side"] == 1).to_numpy()
+            if not second.all():
+                held.append(batch[~second].drop(columns=["item_id", "_side"]))
+            if second.any():
+                if block is None:
+                    if not held:
+                        return
+                    block, held = kernel(pd.concat(held, ignore_index=True).astype({"query_id": held[0]["query_id"].dtype})), []
+                block.feed(batch[second].astype({"item_id": np.int64}) if integral else batch[second])
+        if block is not None:
+            yield _hits([block])
+
+    integral = kinds["item_id"].simpleString() in ("bigint", "int", "smallint", "tinyint")
+    found = dealt.mapInPandas(run, _hit_schema(queries, corpus))
+    return topk(found, ["query_id"], [F.col("score"), F.col("item_id")], k)
+
+
 def block_search(queries: DataFrame, corpus: DataFrame, kernel: Kernel, k: int, row_bytes: Column, keyed: bool = True,
                  broadcast_bytes: int = BROADCAST_BYTES, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Best ``k`` corpus rows per query. ``queries`` has (query_id, block_key, ...), ``corpus`` (item_id, block_key, ...).

@@ -14,12 +14,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleet_engine.operators.blocks import BLOCK_ROWS, BROADCAST_BYTES, VectorKernel, block_search
+from fleet_engine.operators.blocks import BLOCK_ROWS, BROADCAST_BYTES, VectorKernel, block_search, dense_search
 from fleet_engine.operators.skew import topk
 from fleet_engine.workspace import stage
 
 PIVOTS = 64            # cells of an exact search without keys
 BLOCK_BYTES = 8 << 20  # of the vectors in a block
+DENSE_SHARE = 0.25     # of all (query, cell) pairs: with more of them to visit, cells spare too little for a copy of the query each
+DENSE_ROWS = 4         # blocks of the usual size that a dense search holds at once
 
 
 def _keyed(df: DataFrame, id_from: str, id_to: str, key: str | None) -> DataFrame:
@@ -126,8 +128,8 @@ class _Cells:
         return np.maximum(np.maximum(ring, plane), 0.0)
 
 
-def _visits(asked: DataFrame, cells: _Cells, k: int, probes: int, second: bool) -> DataFrame:
-    """(query_id, embedding, block_key): the cells that each query visits first, or (with its ``_bound``) those that it must still visit."""
+def _visits(asked: DataFrame, cells: _Cells, k: int, probes: int, second: bool, count: bool = False) -> DataFrame:
+    """(query_id, embedding, block_key): the cells that each query visits first, or (with its ``_bound``) those that it must still visit; with ``count`` how many (n)."""
     shared = asked.sparkSession.sparkContext.broadcast(cells)
 
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -141,11 +143,14 @@ def _visits(asked: DataFrame, cells: _Cells, k: int, probes: int, second: bool)
                     bound = batch["_bound"].fillna(np.inf).to_numpy()[:, None]
                     # distances are rounded to 6 decimals, and the product form of ``to`` loses some digits
                     chosen = ~chosen & (known.rows > 0)[None, :] & (known.lower(to) <= bound + 2e-6 + 1e-6 * to)
+                if count:
+                    yield pd.DataFrame({"n": [int(chosen.sum())]})
+                    continue
                 query, cell = np.nonzero(chosen)
                 yield pd.DataFrame({"query_id": batch["query_id"].to_numpy()[query], "embedding": batch["embedding"].to_numpy()[query], "block_key": cell.astype(np.int32)})
 
     schema = T.StructType([asked.schema["query_id"], asked.schema["embedding"], T.StructField("block_key", T.IntegerType())])
-    return asked.mapInPandas(visit, schema)
+    return asked.mapInPandas(visit, "n long" if count else schema)
 
 
 def _bounded(asked: DataFrame, first: DataFrame, k: int, radius: float | None) -> DataFrame:
@@ -161,7 +166,8 @@ def pivot_topk(queries: DataFrame, corpus: DataFrame, k: int, radius: float | No
 
     Corpus rows fall into the cells of ``pivots`` of them. A query first visits the cells nearest to it that hold ``k`` rows; its k-th distance there (or
     ``radius``) is a bound, and it then visits only cells that can hold a nearer row. Both visits run block against block within a cell, so a row is
-    copied once per block of queries that visit its cell. ``visited`` receives how many (query, cell) pairs there were and how many were visited.
+    copied once per block of queries that visit its cell. Where many cells are left to visit (vectors without structure), all pairs are compared under
+    that bound instead (``dense_search``). ``visited`` receives how many (query, cell) pairs there were and how many were visited.
     """
     queries = stage(queries.select("query_id", "embedding"), "pivot-queries")
     centres = pick_pivots(corpus, pivots)
@@ -172,9 +178,15 @@ def pivot_topk(queries: DataFrame, corpus: DataFrame, k: int, radius: float | No
     sizes = {"broadcast_bytes": 0, "block_rows": block_rows}
     near = stage(_visits(queries, cells, k, 1, False), "pivot-first")
     first = stage(_search(near, rows.drop("cell_distance"), k, radius, **sizes), "pivot-found")
-    far = stage(_visits(_bounded(queries, first, k, radius), cells, k, 1, True), "pivot-second")
+    bounded = _bounded(queries, first, k, radius)
+    pairs = queries.count() * int((cells.rows > 0).sum())
+    still = _visits(bounded, cells, k, 1, True, count=True).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     if visited is not None:
-        visited |= {"pairs": queries.count() * int((cells.rows > 0).sum()), "visited": near.count() + far.count()}
+        visited |= {"pairs": pairs, "visited": near.count() + still}
+    if still > DENSE_SHARE * pairs:
+        found = dense_search(bounded, rows.select("item_id", "embedding"), partial(VectorKernel, k=k, radius=radius), k, queries.count(), DENSE_ROWS * block_rows)
+        return found.select("query_id", "item_id", F.col("score").alias("distance"), "rank")
+    far = stage(_visits(bounded, cells, k, 1, True), "pivot-second")
     second = _search(far, rows.drop("cell_distance"), k, radius, **sizes)
     return _merge(first, second, k)
 

@@ -221,3 +221,34 @@ def test_words_are_counted_in_slices_of_bounded_size():
     cut = list(keywords.word_slices(iter([batch, batch.slice(3), batch.slice(0, 0)]), 4))
     assert [c.column(0).to_pylist() for c in cut] == [[0, 1, 2], [3], [4, 5], [3], [4, 5]]
     assert [x for c in cut[:3] for x in c.column(1).to_pylist()] == lists
+
+
+def test_vectors_without_structure_are_not_copied_per_cell(spark, monkeypatch):
+    """Where pivots spare little, a vector is copied once per block, however many cells its query would visit."""
+    gen = np.random.default_rng(8)
+    c = [(i, None, [float(x) for x in gen.normal(size=24)]) for i in range(400)]
+    q = [(i, None, v) for i, _, v in c[::2]]
+    queries, corpus = spark.createDataFrame(q, "query_id long, k string, embedding array<float>"), spark.createDataFrame(c, "item_id long, k string, embedding array<float>")
+    copied = []
+    plain = vectors.stage
+    monkeypatch.setattr(vectors, "stage", lambda df, name: copied.append((name, (out := plain(df, name)).count())) or out)
+    got = vectors.pivot_topk(queries, corpus, 4, pivots=30, block_rows=16)
+    assert rows(got) == brute(q, c, 4, False)
+    assert sum(n for name, n in copied if name in ("pivot-first", "pivot-second")) <= 2 * len(q)
+    assert rows(vectors.pivot_topk(queries, corpus, 4, radius=5.0, pivots=30, block_rows=16)) == brute(q, c, 4, False, 5.0)
+
+
+def test_kernel_far_from_the_origin_and_beyond_single_precision():
+    import pandas as pd
+
+    from fleet_engine.operators.blocks import VectorKernel
+
+    rng = np.random.default_rng(6)
+    for shift, scale in ((1e6, 1.0), (0.0, 1e18), (0.0, 1e-8)):
+        corpus = rng.normal(size=(3000, 8)) * scale + shift
+        corpus[5] = np.nan
+        asked = corpus[:40:2]
+        kernel = VectorKernel(pd.DataFrame({"query_id": np.arange(20), "embedding": list(asked)}), 3)
+        kernel.feed(pd.DataFrame({"item_id": np.arange(3000), "embedding": list(corpus)}))
+        want = np.round(np.sqrt(((np.delete(corpus, 5, 0)[None] - asked[:, None]) ** 2).sum(2)), 6)
+        assert np.array_equal(kernel.best.limit, np.sort(want, axis=1)[:, 2])
