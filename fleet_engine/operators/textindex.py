@@ -11,7 +11,8 @@ the block follows under any corpus statistics. Below the index path lie, all but
 * ``totals``: documents and words that a batch adds. It is written last: a batch without it does not exist for readers.
 
 A search bounds every (query, range) from the block maxima, scores the best ranges for a floor, and reads the postings of those ranges alone whose
-bound reaches it.
+bound reaches it. Where the bounds themselves would be too many rows, the postings of the asked terms are moved once, to a task per some ranges, that
+scores them for all queries.
 """
 
 from __future__ import annotations
@@ -26,14 +27,19 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from fleet_engine.functions.text import explode_each, tokens
+from fleet_engine.operators.blocks import Best, sortable
 from fleet_engine.operators.keywords import K1, SLACK, B, _for_all, _kth, _once, word_slices
 from fleet_engine.operators.skew import HOT_ROWS, hot_keys, salted_join, topk
-from fleet_engine.workspace import broadcast_bounded, folder_exists, stage, subfolders
+from fleet_engine.workspace import broadcast_bounded, fits, folder_exists, stage, subfolders
 
 RANGE_DOCS = 32        # documents whose maxima share a block
 SLOTS = 16             # folders by hash of term or document
+PAIR_ROWS = 2_000_000  # (query, block) pairs that are made into rows; with more, ranges meet all queries at once
+ASKED_ROWS = 1_000_000 # (query, term) rows that are sent to every task for that
+ADDS = 1 << 21         # shares of (query, posting) pairs added at once
 SLOTTED = ("blocks", "terms", "docs", "stored", "gone")
 
 
@@ -264,6 +270,119 @@ def _sum_blocks(held: DataFrame, mean: float) -> DataFrame:
     return held.mapInArrow(add, schema)
 
 
+def _score_ranges(index: TextIndex, blocks: DataFrame, asked: DataFrame, filters: tuple[str, ...], mean: float, k: int, batches: list[int]) -> DataFrame:
+    """(query_id, batch_id, doc_id, score): the best ``k`` documents per query of each task, with all postings of the asked terms moved once, to the task of their range.
+
+    ``asked`` (query_id, term, idf, *filters) has been measured and goes to every task. Documents that were replaced come along with their range.
+    """
+    spark, doc_type = index.spark, blocks.schema["docs"].dataType.elementType
+    rows = asked.select("query_id", "term", "idf", *[F.col(f).cast("string").alias(f) for f in filters]).collect()
+    queries = {r["query_id"]: tuple(r[f] for f in filters) for r in rows}
+    place, terms = {q: i for i, q in enumerate(queries)}, {t: i for i, t in enumerate(sorted({r["term"] for r in rows}))}
+    at = np.array([terms[r["term"]] for r in rows])
+    by = np.argsort(at, kind="stable")
+    first = np.searchsorted(at[by], np.arange(len(terms) + 1))
+    holds, weight = np.array([place[r["query_id"]] for r in rows])[by], np.array([r["idf"] for r in rows])[by]
+    shared = spark.sparkContext.broadcast((list(queries), list(queries.values()), first, holds, weight))
+    numbered = F.broadcast(spark.createDataFrame(list(terms.items()), "term string, _t int"))
+    columns = ["batch_id", "range", "_t", "docs", "tfs", "lens", *[f"_{f}" for f in filters]]
+    moved = blocks.join(numbered, "term").withColumns({f"_{f}": F.col(f).cast("string") for f in filters}).select(*columns)
+    gone = index.part("gone", batches)
+    if gone is not None:
+        none = F.array(F.lit(0))
+        moved = moved.unionByName(gone.select(F.col("of_batch").alias("batch_id"), "range", F.lit(-1).alias("_t"), F.array("doc_id").alias("docs"), none.alias("tfs"), none.alias("lens"),
+                                              *[F.lit(None).cast("string").alias(f"_{f}") for f in filters]))
+    moved = moved.select(F.col("batch_id").cast("bigint").alias("batch_id"), *columns[1:]).repartition("batch_id", "range").sortWithinPartitions("batch_id", "range")
+    schema = T.StructType([asked.schema["query_id"], T.StructField("batch_id", T.LongType()), T.StructField("doc_id", doc_type), T.StructField("score", T.DoubleType())])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, wanted, first, holds, weight = shared.value
+        allowed, best, now = {}, None, None
+
+        def hits() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([ids[q] for q in best.query], arrow[0]), pa.array(np.full(len(best.query), now)), pa.array(best.id.tolist(), arrow[2]), pa.array(-best.score)], names)
+
+        for part in _whole_ranges(batches, np.diff(first)):
+            if part.column("batch_id")[0].as_py() != now:
+                if best is not None and len(best.query):
+                    yield hits()
+                limit = None if best is None else best.limit
+                now, best = part.column("batch_id")[0].as_py(), Best(len(ids), k)
+                if limit is not None:
+                    best.limit = limit                # of another batch: still ``k`` documents as good
+            docs = part.column("docs")
+            owner = pc.list_parent_indices(docs).to_numpy(zero_copy_only=False)
+            coded = docs.flatten().dictionary_encode()
+            doc, n_docs = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), len(coded.dictionary)
+            term = part.column("_t").to_numpy(zero_copy_only=False)[owner]
+            tf, length = (part.column(c).flatten().to_numpy(zero_copy_only=False).astype(np.float64) for c in ("tfs", "lens"))
+            real = term >= 0
+            kept = np.ones(n_docs, bool)
+            kept[doc[~real]] = False
+            if not real.any():
+                continue
+            doc, term, tf, length, owner = doc[real], term[real], tf[real], length[real], owner[real]
+            share = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
+            n = first[term + 1] - first[term]
+            entry = np.repeat(first[term] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            score = np.bincount(np.repeat(doc, n) * len(ids) + holds[entry], np.repeat(share, n) * weight[entry], n_docs * len(ids)).reshape(n_docs, len(ids))
+            score[~kept] = 0.0
+            if filters:
+                values = list(zip(*(part.column(f"_{f}").to_pylist() for f in filters)))
+                lead = np.zeros(n_docs, np.int64)
+                lead[doc] = owner
+                for i in range(n_docs):
+                    value = values[lead[i]]
+                    if value not in allowed:
+                        allowed[value] = np.array([all(w is None or w == v for w, v in zip(ask, value)) for ask in wanted])
+                    score[i, ~allowed[value]] = 0.0
+            low = -np.round(score, 6)
+            at, query = np.nonzero((score > 0) & (low <= best.limit[None, :]))
+            best.offer(query, low[at, query], sortable(coded.dictionary.to_pandas())[at])
+        if best is not None and len(best.query):
+            yield hits()
+
+    names = schema.fieldNames()
+    arrow = [to_arrow_type(f.dataType) for f in schema.fields]
+    return moved.mapInArrow(add, schema)
+
+
+def _whole_ranges(batches: Iterator[pa.RecordBatch], weights: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by batch and range, as pieces of whole ranges of one batch, of about ``ADDS`` (query, posting) pairs; a range has ``RANGE_DOCS`` documents."""
+    held = None
+    for batch in batches:
+        rows = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        if not rows.num_rows:
+            continue
+        of, range_ = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("batch_id", "range"))
+        new = np.append(True, (of[1:] != of[:-1]) | (range_[1:] != range_[:-1]))
+        starts = np.flatnonzero(new)
+        yield from _pieces(rows, starts[:-1], starts[-1], weights)
+        held = rows.slice(starts[-1])
+    if held is not None:
+        yield from _pieces(held, np.array([0]), held.num_rows, weights)
+
+
+def _pieces(rows: pa.RecordBatch, starts: np.ndarray, end: int, weights: np.ndarray) -> Iterator[pa.RecordBatch]:
+    if not len(starts):
+        return
+    term = rows.column("_t").to_numpy(zero_copy_only=False)
+    work = np.where(term >= 0, weights[np.maximum(term, 0)], 1) * pc.list_value_length(rows.column("docs")).to_numpy(zero_copy_only=False)
+    of = rows.column("batch_id").to_numpy(zero_copy_only=False)
+    cost = np.add.reduceat(work[:end], starts)
+    begin, total = starts[0], 0
+    for i, start in enumerate(starts):
+        if start > begin and (total + cost[i] > ADDS or of[start] != of[begin]):
+            yield rows.slice(begin, start - begin)
+            begin, total = start, 0
+        total += cost[i]
+    yield rows.slice(begin, end - begin)
+
+
+# Types of attributes that equal each other where their texts do.
+PLAIN_TYPES = ("string", "tinyint", "smallint", "int", "bigint", "boolean", "date")
+
+
 def search_index(index: TextIndex, queries: DataFrame, k: int, query_id: str = "query_id", text: str = "text", fields: tuple[str, ...] = (),
                  filters: tuple[str, ...] = (), work: dict[str, int] | None = None) -> DataFrame:
     """(query_id, doc_id, score, rank, *fields): best ``k`` documents per query by BM25 (6 decimals, ties by id), exact.
@@ -285,6 +404,14 @@ def search_index(index: TextIndex, queries: DataFrame, k: int, query_id: str = "
         total = distinct.limit(0).select("query_id", F.lit(None).alias("doc_id"), F.lit(0.0).alias("score"), F.lit(0).alias("rank"))
         return _for_all(everyone, distinct, total)
     asked = stage(asked.join(frequency, ["slot", "term"]).withColumn("idf", _idf(n)), "index-asked")
+    plain = all(blocks.schema[f].dataType == asked.schema[f].dataType and blocks.schema[f].dataType.simpleString() in PLAIN_TYPES for f in filters)
+    n_pairs = asked.agg(F.coalesce(F.sum(F.least(F.col("df"), F.lit(n // RANGE_DOCS + 1))), F.lit(0)).alias("n")).first()["n"]
+    if n_pairs > PAIR_ROWS and plain and fits(asked, ASKED_ROWS):
+        total = _score_ranges(index, blocks, asked, filters, mean, k, batches)
+        if work is not None:
+            met = blocks.select("term").join(asked.select("term"), "term").count()
+            work |= {"pairs": met, "read": met}
+        return _best(index, everyone, distinct, total, k, fields, batches)
     # a frequent term has a block in nearly every range: its blocks are dealt out over many tasks
     hot = hot_keys(asked.select("term", (F.col("df") / RANGE_DOCS).alias("n_blocks")).distinct(), "term", "n_blocks", HOT_ROWS)
     wanted = [F.col(f"_{f}").isNull() | F.col(f"_{f}").eqNullSafe(F.col(f)) for f in filters]
@@ -310,8 +437,12 @@ def search_index(index: TextIndex, queries: DataFrame, k: int, query_id: str = "
     open_ = stage(ranges.join(floor, "query_id", "left").filter(F.coalesce(F.col("reach") >= F.col("_kth") - SLACK, F.lit(True))).select("query_id", "batch_id", "range"), "index-open")
     if work is not None:
         work |= {"pairs": pairs.count(), "read": pairs.join(open_, ["query_id", "batch_id", "range"], "left_semi").count()}
-    total = scores(open_, floor).withColumn("score", F.round("score", 6))
-    best = topk(total, ["query_id"], [F.col("score").desc(), F.col("doc_id")], k)
+    return _best(index, everyone, distinct, scores(open_, floor), k, fields, batches)
+
+
+def _best(index: TextIndex, everyone: DataFrame, distinct: DataFrame, total: DataFrame, k: int, fields: tuple[str, ...], batches: list[int]) -> DataFrame:
+    """The best ``k`` of the scored documents, with their stored ``fields``, for every query that asks the same."""
+    best = topk(total.withColumn("score", F.round("score", 6)), ["query_id"], [F.col("score").desc(), F.col("doc_id")], k)
     if fields:
         best = stage(best.withColumn("slot", _slot("doc_id", index.slots)), "index-hits")
         kept = index.part("stored", batches, [r["slot"] for r in best.select("slot").distinct().collect()])

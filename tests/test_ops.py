@@ -137,6 +137,29 @@ def test_filters_per_query_and_stored_fields(spark, tmp_path):
         search_index(index, asked, 1, filters=("source",))
 
 
+@pytest.mark.parametrize("adds", [1, 1 << 21])
+def test_ranges_meet_all_queries_at_once(spark, tmp_path, monkeypatch, adds):
+    """With very many (query, block) pairs none becomes a row; the hits are the same, with filters, replaced documents, NULL queries and text ids."""
+    from fleet_engine.operators import textindex
+
+    index = TextIndex(spark, str(tmp_path / "index"), ("lang", "year"), ("source",))
+    docs = spark.range(500).selectExpr("concat('d', id) AS doc_id", "concat_ws(' ', 'the of', concat('w', id % 7), if(id % 3 = 0, 'the and', 'to'), concat('x', id % 50)) AS text",
+                                       "if(id % 11 = 0, NULL, if(id % 2 = 0, 'en', 'de')) AS lang", "int(id % 5) AS year", "concat('s', id % 4) AS source")
+    add_documents(index, docs, "doc_id", "text", 0)
+    add_documents(index, docs.filter("year = 3").withColumn("text", F.expr("if(lang = 'en', NULL, concat(text, ' new the'))")), "doc_id", "text", 1)
+    asked = spark.createDataFrame([(1, "the of w3", "en", None), (2, "new the x4", None, 3), (3, "w1 to", "de", 2), (4, None, None, None), (5, "zz", "en", 1), (6, "the of w3", "en", None),
+                                   (7, "and the", None, None)], "query_id long, text string, lang string, year int")
+    plain = rows(search_index(index, asked, 6, fields=("source",), filters=("lang", "year")))
+    monkeypatch.setattr(textindex, "PAIR_ROWS", 0)
+    monkeypatch.setattr(textindex, "ADDS", adds)
+    made = []
+    monkeypatch.setattr(textindex, "stage", lambda df, name, real=textindex.stage: made.append(name) or real(df, name))
+    work = {}
+    assert rows(search_index(index, asked, 6, fields=("source",), filters=("lang", "year"), work=work)) == plain and len(plain) > 20
+    assert "index-bounds" not in made and work["pairs"] > 0
+    assert rows(search_index(index, asked, 6)) == rows(search_index(index, asked.drop("lang", "year"), 6))
+
+
 def test_late_and_repeated_events_reach_silver_once(spark, tmp_path):
     source, out, seen = (str(tmp_path / n) for n in ("in", "out", "seen"))
     schema = "event_id long, vin string, engine_temp_raw string, error_code string, log_text string, recorded_at string"
