@@ -14,7 +14,7 @@ from fleet_engine.operators.inference import ModelFn, complete_batch, parse_diag
 from fleet_engine.operators.joins import apply_experiments
 from fleet_engine.operators.keywords import bm25_index, bm25_topk, keyword_search, write_index
 from fleet_engine.operators.vectors import vector_topk
-from fleet_engine.workspace import stage
+from fleet_engine.workspace import broadcast_bounded, stage
 
 
 @dataclass
@@ -46,6 +46,13 @@ def open_search(spark: SparkSession, path: str, attributes: tuple[str, ...]) ->
     return SearchService(spark.read.parquet(path), attributes)
 
 
+def _with_content(hits: DataFrame, texts: DataFrame) -> DataFrame:
+    """Hits with their ``content``. The ids of the hits go to the texts first, so texts that nobody found are not shuffled."""
+    hits = stage(hits, "found")
+    wanted = broadcast_bounded(hits.select("item_id").distinct(), 2_000_000)
+    return hits.join(texts.select("item_id", "content").join(wanted, "item_id", "left_semi"), "item_id")
+
+
 def diagnose_batch(requests: DataFrame, registry: DataFrame, manuals: DataFrame, logs: DataFrame, embedder: IDFModel,
                    templates: dict[str, str], model_fn: ModelFn, cache: DataFrame | None = None) -> DataFrame:
     """Structured diagnosis per request, all requests in one job.
@@ -59,9 +66,9 @@ def diagnose_batch(requests: DataFrame, registry: DataFrame, manuals: DataFrame,
              .withColumn("question", F.concat_ws(" ", "symptoms", F.coalesce("error_code", F.lit("")))))
     lookup = asked.select(F.col("request_id").alias("query_id"), "vin", "question")
     near = vector_topk(embed_text(lookup, "query_id", "question", model=embedder, keep=("vin",)), manuals, 1, key="vin")
-    vector = near.join(manuals.select("item_id", "content"), "item_id")
+    vector = _with_content(near, manuals)
     named = keyword_search(lookup, logs, "vin", 1, pattern="question", text="content")
-    keyword = named.join(logs.select("item_id", "content"), "item_id")
+    keyword = _with_content(named, logs)
     found = hybrid_search(asked.withColumnRenamed("request_id", "query_id"), vector, keyword)
     # searched once; rendered rows and rejects both read the written result
     found = stage(found, "diagnose")

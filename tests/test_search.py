@@ -252,3 +252,12 @@ def test_kernel_far_from_the_origin_and_beyond_single_precision():
         kernel.feed(pd.DataFrame({"item_id": np.arange(3000), "embedding": list(corpus)}))
         want = np.round(np.sqrt(((np.delete(corpus, 5, 0)[None] - asked[:, None]) ** 2).sum(2)), 6)
         assert np.array_equal(kernel.best.limit, np.sort(want, axis=1)[:, 2])
+
+
+def test_only_texts_that_were_found_are_shuffled(spark):
+    texts = spark.createDataFrame([(i, f"text {i}") for i in range(300)] + [(None, "x"), (4, "again")], "item_id long, content string")
+    hits = spark.createDataFrame([("a", 4), ("b", 4), ("c", 200), ("d", 999)], "query_id string, item_id long")
+    got = retrieval._with_content(hits, texts)
+    assert rows(got.select("query_id", "item_id", "content")) == rows(hits.join(texts, "item_id").select("query_id", "item_id", "content"))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan
