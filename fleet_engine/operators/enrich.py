@@ -144,10 +144,14 @@ def answer_column(text: str | Column, question: str | Column) -> Column:
     asked = F.array_distinct(tokens(F.lit(question) if isinstance(question, str) else question))
     options = F.transform(sentences(text), lambda s, i: F.struct(
         F.size(F.array_intersect(asked, tokens(s))).alias("hits"), (-i).alias("order"), s.alias("answer")))
-    best = F.array_max(options)
-    score = F.round(best["hits"] / F.size(asked), 6)
     empty = F.array().cast("array<struct<answer:string,score:double>>")
-    return F.when(best["hits"] > 0, F.array(F.struct(best["answer"].alias("answer"), score.alias("score")))).otherwise(empty)
+
+    def shown(best: Column) -> Column:
+        score = F.round(best["hits"] / F.size(asked), 6)
+        return F.when(best["hits"] > 0, F.array(F.struct(best["answer"].alias("answer"), score.alias("score")))).otherwise(empty)
+
+    # as the one element of an array, so that each sentence is cut into words once and not at every mention of the best one
+    return F.flatten(F.transform(F.array(F.array_max(options)), shown))
 
 
 def extract_answer(df: DataFrame, id: str, text: str, question: str | Column) -> DataFrame:

@@ -182,3 +182,10 @@ def test_silver_models(spark):
     assert set(faults) == {1, 3} and faults[1]["vin_masked"] == "***-***-1234" and faults[3]["fault_id"] is None
     assert faults[1]["driver_frustration_score"] == round(1 / 3, 6) and faults[3]["driver_frustration_score"] == -1.0
     assert faults[3]["target_component_extracted"] == "component pump failed" and faults[1]["target_component_extracted"] is None
+
+
+def test_the_best_sentence_is_looked_for_once(spark):
+    df = spark.createDataFrame([(1, "A pump. The pump of the engine\nengine"), (2, "none"), (3, None), (4, "")], "id int, t string")
+    found = enrich.extract_answer(df, "id", "t", "pump engine")
+    assert rows(found.select("id", "answers.answer", "answers.score")) == [(1, ["The pump of the engine"], [1.0]), (2, [], []), (3, [], []), (4, [], [])]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("array_max(") == 1
