@@ -406,7 +406,7 @@ def search_index(index: TextIndex, queries: DataFrame, k: int, query_id: str = "
     asked = stage(asked.join(frequency, ["slot", "term"]).withColumn("idf", _idf(n)), "index-asked")
     plain = all(blocks.schema[f].dataType == asked.schema[f].dataType and blocks.schema[f].dataType.simpleString() in PLAIN_TYPES for f in filters)
     n_pairs = asked.agg(F.coalesce(F.sum(F.least(F.col("df"), F.lit(n // RANGE_DOCS + 1))), F.lit(0)).alias("n")).first()["n"]
-    if n_pairs > PAIR_ROWS and plain and fits(asked, ASKED_ROWS):
+    if n_pairs > PAIR_ROWS and plain and fits(asked, ASKED_ROWS) and (not filters or distinct.select("query_id", *filters).distinct().groupBy("query_id").count().filter("count > 1").isEmpty()):
         total = _score_ranges(index, blocks, asked, filters, mean, k, batches)
         if work is not None:
             met = blocks.select("term").join(asked.select("term"), "term").count()
